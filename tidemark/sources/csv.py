@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.specs import Dataset
 
@@ -33,7 +33,7 @@ def read_checked(spark: SparkSession, path: str, spec: Dataset, match_header: bo
     A row is refused if it has too few or too many cells, a cell of the wrong type, or
     no value in a required column.
     """
-    schema = StructType(spec.schema.fields).add(RAW, StringType())
+    schema = StructType([*spec.schema.fields, StructField(RAW, StringType())])
     rows = _reader(spark, spec, match_header).option("columnNameOfCorruptRecord", RAW).schema(schema).csv(path)
     return rows.withColumn(REASON, refusal(spec))
 

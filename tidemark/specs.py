@@ -48,7 +48,7 @@ class Dataset:
     active: str | None = None
     required: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    csv_options: Mapping[str, str] = field(default_factory=dict)
+    csv_options: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     def __post_init__(self) -> None:
         if self.load not in (FULL, FACT, VERSIONED):
