@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,13 @@ MAX_HOT_KEYS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 _BYTES_PER_KEY = 48
 
-N = "_n"
 SPLITS = "_splits"
+_N = "_n"
 
 
 @dataclass(frozen=True)
 class KeyCounts:
-    """Row counts per key, kept as a checkpointed table, with their totals."""
+    """Row counts per key with their totals; ``table`` is computed when used unless kept."""
 
     table: DataFrame
     keys: tuple[str, ...]
@@ -32,10 +32,15 @@ class KeyCounts:
     total_keys: int
     largest: int
     key_bytes: int
+    kept: bool = False
 
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
         return self.key_bytes <= limit
 
+    def keep(self) -> KeyCounts:
+        """The same with its table checkpointed; only for key lists of a checked size."""
+        return self if self.kept else replace(self, table=_checkpoint(self.table), kept=True)
+
     def names(self) -> list[str]:
         """Key columns under names that cannot clash with the counted frame."""
         return [f"_key_{k}" for k in self.keys]
@@ -55,24 +60,27 @@ class KeyCounts:
         if self.largest <= rows_per_task:
             return None
         floor = max(rows_per_task, self.total_rows // MAX_HOT_KEYS)
-        return self.table.where(F.col(N) > floor).select(
-            *self.key_columns(), F.ceil(F.col(N) / F.lit(rows_per_task)).cast("long").alias(SPLITS)
-        )
+        parts = F.ceil(F.col(_N) / F.lit(rows_per_task)).cast("long").alias(SPLITS)
+        listed = self.table.where(F.col(_N) > floor).select(*self.key_columns(), parts)
+        return listed if self.kept else _checkpoint(listed)
 
 
 def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
-    """Count rows per key; partial aggregation keeps a hot key to one row per task."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return totals(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(N)).checkpoint(), keys)
-
+    """Count rows per key and total the counts in one job.
 
-def totals(table: DataFrame, keys: Sequence[str]) -> KeyCounts:
-    """Totals of a table with one row per key and its count."""
+    Reads the key columns only; partial aggregation reduces a hot key to one row per task.
+    """
+    table = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
     text = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
     row = table.agg(
-        F.coalesce(F.sum(N), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.max(N), F.lit(0)).alias("largest"),
+        F.coalesce(F.max(_N), F.lit(0)).alias("largest"),
         F.coalesce(F.sum(sum(text, F.lit(_BYTES_PER_KEY))), F.lit(0)).alias("bytes"),
     ).first()
     return KeyCounts(table, tuple(keys), row["rows"], row["keys"], row["largest"], row["bytes"])
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

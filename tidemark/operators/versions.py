@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import current_status, is_active, newest_first, oldest_first, same_key
-from tidemark.operators.hot_keys import N, ROWS_PER_TASK, SPLITS, KeyCounts, count_keys, totals
+from tidemark.operators.hot_keys import ROWS_PER_TASK, SPLITS, KeyCounts, count_keys
 from tidemark.operators.newest import NEWEST, mark_newest, split_rows
 from tidemark.operators.union import conform, union_by_name
-from tidemark.session import ensure_checkpoint_dir
 from tidemark.specs import CLOSED, EFF_END, EFF_START, STATUS, Dataset
 
 
@@ -51,6 +50,8 @@ def step(
     counts = counts or count_keys(incoming, spec.keys)
     if touched_only is None:
         touched_only = counts.fits_broadcast()
+    if touched_only:
+        counts = counts.keep()
     arrived = stamp_open(incoming, batch_date)
     order = newest_first(spec)
     hot = counts.hot(rows_per_task)
@@ -80,12 +81,7 @@ def rebuild(versions: DataFrame, spec: Dataset, batch: str, rows_per_task: int =
     on the batch of the next version of its key, or at once if it is not active.  This
     equals the daily steps if deliveries arrive in version order, see :func:`arrives_in_order`.
     """
-    ensure_checkpoint_dir(versions.sparkSession)
-    day_keys = [*spec.keys, batch]
-    per_day = count_keys(versions, day_keys)
-    per_key = totals(per_day.table.groupBy(*spec.keys).agg(F.sum(N).alias(N)), spec.keys)
-    hot = per_key.hot(rows_per_task)
-
+    hot = count_keys(versions, spec.keys).hot(rows_per_task)
     next_batch = F.lead(batch).over(
         Window.partitionBy(*spec.keys).orderBy(F.col(batch).asc_nulls_first(), *oldest_first(spec, None))
     )
@@ -98,7 +94,9 @@ def rebuild(versions: DataFrame, spec: Dataset, batch: str, rows_per_task: int =
     match = same_key(spec.keys, listed)
     cold_rows = versions.join(F.broadcast(hot), match, "left_anti").withColumn("_next", next_batch)
     hot_rows = versions.join(F.broadcast(hot), match, "left_semi")
-    marked = mark_newest(hot_rows, day_keys, newest_first(spec, None), per_day.hot(rows_per_task))
+    day_keys = [*spec.keys, batch]
+    hot_days = count_keys(hot_rows, day_keys).hot(rows_per_task)
+    marked = mark_newest(hot_rows, day_keys, newest_first(spec, None), hot_days)
     parts = split_rows(marked.join(F.broadcast(hot), match, "inner").drop(*listed), versions.columns)
     lane = F.when(F.col(NEWEST), F.lit(-1).cast("long")).otherwise(F.col("_part"))
     later = F.lead(batch).over(Window.partitionBy(*spec.keys, "_part").orderBy(F.col(batch).asc_nulls_first()))

@@ -7,6 +7,7 @@ from tidemark.plans.daily import (
     load_fact,
     load_full,
     load_versions,
+    refused_rows,
     run_batch,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "load_fact",
     "load_full",
     "load_versions",
+    "refused_rows",
     "run_batch",
 ]

@@ -9,16 +9,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
 from tidemark.operators import arrives_in_order, count_keys, rebuild, step
 from tidemark.sinks import register_table, write_batch, write_partitioned
 from tidemark.sources import BatchTable, check_header, read_checked, read_landed
-from tidemark.sources.csv import REASON
+from tidemark.sources.csv import RAW, REASON
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, STATUS, Dataset
 
-ACCEPTED = "accepted"
-
 
 @dataclass(frozen=True)
 class Roots:
@@ -51,7 +50,7 @@ class LoadReport:
 def check_delivery(
     spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots, bad_rows: str = "refuse"
 ) -> tuple[DataFrame, int, int]:
-    """Parse a delivery once and keep it as Parquet, accepted and refused rows apart.
+    """Parse a delivery once and keep it as Parquet, refused rows with their reason.
 
     Everything after this reads columns, not text.  ``bad_rows="null"`` accepts all
     rows, with NULL for the cells that could not be read.
@@ -65,16 +64,21 @@ def check_delivery(
         check_header(spark, path, spec)
         rows = read_checked(spark, path, spec)
 
-    accepted = F.lit(True) if bad_rows == "null" else F.col(REASON).isNull()
+    refused = F.lit(False) if bad_rows == "null" else F.col(REASON).isNotNull()
     counted = Observation()
-    rows = rows.withColumn(ACCEPTED, accepted).observe(
-        counted, F.count_if(ACCEPTED).alias("accepted"), F.count_if(~F.col(ACCEPTED)).alias("refused")
-    )
+    rows = rows.observe(counted, F.count_if(~refused).alias("accepted"), F.count_if(refused).alias("refused"))
+    kept = f"{roots.checked}/{spec.name}/{BATCH}={batch_date.isoformat()}"
+    write_partitioned(rows, kept)
+    checked = spark.read.schema(rows.schema).parquet(kept)
+    good = checked.where(~refused).select(*spec.schema.names)
+    return good, counted.get.get("accepted", 0), counted.get.get("refused", 0)
+
+
+def refused_rows(spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots) -> DataFrame:
+    """The rows of a checked delivery that were not loaded, as delivered and why."""
     kept = f"{roots.checked}/{spec.name}/{BATCH}={batch_date.isoformat()}"
-    write_partitioned(rows, kept, [ACCEPTED], gather=False)
-    schema = rows.schema
-    good = spark.read.schema(schema).parquet(kept).where(ACCEPTED).select(*spec.schema.names)
-    return good, counted.get["accepted"], counted.get["refused"]
+    schema = StructType([*spec.schema.fields, StructField(RAW, StringType()), StructField(REASON, StringType())])
+    return spark.read.schema(schema).parquet(kept).where(F.col(REASON).isNotNull())
 
 
 def load_full(table: BatchTable, rows: DataFrame, batch_date: date) -> dict[str, int]:
@@ -100,11 +104,11 @@ def load_versions(table: BatchTable, rows: DataFrame, batch_date: date, **option
     counted = Observation()
     stepped = stepped.observe(
         counted,
-        F.count_if(F.col(STATUS) == CURRENT).alias("current"),
-        F.count_if(F.col(STATUS) == CLOSED).alias("closed"),
+        F.count_if(F.col(STATUS) == CURRENT).alias(CURRENT),
+        F.count_if(F.col(STATUS) == CLOSED).alias(CLOSED),
     )
     write_batch(stepped, table, batch_date)
-    return {name: counted.get[name] for name in ("current", "closed")}
+    return {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)}
 
 
 LOADS: dict[str, Callable[[BatchTable, DataFrame, date], dict[str, int]]] = {

@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.tables import DROPPED, BatchTable
+from tidemark.sources.tables import DROPPED, BatchTable, file_system
 from tidemark.specs import CURRENT, STATUS
 
 
+# With this many open files per task, rows need no sort before a partitioned write.
+OPEN_FILES = 4
+_OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Let tasks write a few partition values side by side; Spark sorts if there are more."""
+    if int(spark.conf.get(_OPEN_FILES_SETTING)) > 0:
+        yield
+        return
+    spark.conf.set(_OPEN_FILES_SETTING, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_OPEN_FILES_SETTING)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (), gather: bool = True) -> None:
     """Replace a directory, with one level per partition column.
 
@@ -22,7 +41,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with _unsorted_writes(df.sparkSession):
+        writer.parquet(path)
 
 
 def write_batch(df: DataFrame, table: BatchTable, batch_date: date) -> None:
@@ -44,9 +64,9 @@ def drop_old_snapshots(table: BatchTable, keep: int = 2) -> list[date]:
         raise ValueError("keep at least the newest snapshot and the one before it")
     dropped = []
     for batch_date in table.batches()[:-keep]:
-        files, marker = table.file_system(f"{table.batch_path(batch_date)}/{DROPPED}")
+        files, marker = file_system(table.spark, f"{table.batch_path(batch_date)}/{DROPPED}")
         files.create(marker, True).close()
-        files, snapshot = table.file_system(f"{table.batch_path(batch_date)}/{STATUS}={CURRENT}")
+        files, snapshot = file_system(table.spark, f"{table.batch_path(batch_date)}/{STATUS}={CURRENT}")
         if files.delete(snapshot, True):
             dropped.append(batch_date)
     return dropped

@@ -14,6 +14,13 @@ from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 DROPPED = "_SNAPSHOT_DROPPED"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+
 class BatchTable:
     """The stored batches of one dataset below ``<root>/<dataset>``."""
 
@@ -30,16 +37,10 @@ class BatchTable:
         return self._batches_with("_SUCCESS")
 
     def _batches_with(self, marker: str) -> list[date]:
-        files, path = self.file_system(f"{self.location}/{BATCH}=*/{marker}")
+        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*/{marker}")
         found = files.globStatus(path) or []
         return sorted(date.fromisoformat(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
 
-    def file_system(self, path: str):
-        """The Hadoop file system of a path, and the path as it knows it."""
-        context = self.spark.sparkContext
-        hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
-
     def newest(self) -> date | None:
         return max(self.batches(), default=None)
 

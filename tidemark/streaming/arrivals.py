@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import LoadReport, Roots, run_batch
+from tidemark.plans import LoadReport, Roots, load_dataset
 from tidemark.sources import BatchTable
-from tidemark.sources.landing import raw_lines, read_lines, write_landed
+from tidemark.sources.landing import ARRIVAL, raw_lines, read_lines, write_landed
+from tidemark.sources.tables import file_system
 from tidemark.specs import BATCH, DATASETS, Dataset
 
 
@@ -21,12 +22,15 @@ def land_arrivals(
     checkpoint: str,
     batch_date: date | None = None,
     files_per_trigger: int | None = None,
+    landed: Callable[[str], None] | None = None,
 ) -> None:
     """Land all files below ``source`` that no earlier call has landed, then return.
 
-    The checkpoint remembers the files.  Each micro-batch replaces its own arrival partition, so one that
-    is run again after a failure lands its files once.  The batch is ``batch_date``
-    or else the ``_yyyymmdd`` in the file's path.
+    The checkpoint remembers the files.  Each micro-batch replaces its own arrival
+    partition, so one that is run again after a failure lands its files once.  The
+    batch is ``batch_date`` or else the ``_yyyymmdd`` in the file's path; files with neither
+    are kept without a batch.  ``landed`` is called with the arrival before the
+    micro-batch counts as done.
     """
     files = spark.readStream.option("recursiveFileLookup", True)
     if files_per_trigger is not None:
@@ -34,11 +38,15 @@ def land_arrivals(
     if batch_date is not None:
         batch = F.lit(batch_date)
     else:
-        batch = F.to_date(F.regexp_extract("file_path", r"_(\d{8})\.csv", 1), "yyyyMMdd")
+        stamp = F.regexp_extract("file_path", r"_(\d{8})\.csv", 1)
+        batch = F.to_date(F.nullif(stamp, F.lit("")), "yyyyMMdd")
     lines = raw_lines(files.text(source)).withColumn(BATCH, batch)
 
     def store(micro_batch: DataFrame, epoch: int) -> None:
-        write_landed(micro_batch, landing, f"epoch-{epoch:06d}")
+        arrival = f"epoch-{epoch:06d}"
+        write_landed(micro_batch, landing, arrival)
+        if landed is not None:
+            landed(arrival)
 
     (
         lines.writeStream.foreachBatch(store)
@@ -49,11 +57,15 @@ def land_arrivals(
     )
 
 
-def pending_batches(spark: SparkSession, landing: str, table: BatchTable) -> list[date]:
-    """Landed batches that are not stored yet, oldest first; reads partition values only."""
-    landed = read_lines(spark, landing).select(BATCH).distinct().collect()
-    stored = set(table.batches())
-    return sorted(row[0] for row in landed if row[0] is not None and row[0] not in stored)
+def batches_of(spark: SparkSession, landing: str, arrival: str | None = None) -> list[date]:
+    """Landed batch dates, oldest first, of all arrivals or of one; reads partition values only."""
+    files, path = file_system(spark, landing)
+    if not files.exists(path):
+        return []
+    lines = read_lines(spark, landing).where(F.col(BATCH).isNotNull())
+    if arrival is not None:
+        lines = lines.where(F.col(ARRIVAL) == arrival)
+    return sorted(row[0] for row in lines.select(BATCH).distinct().collect())
 
 
 def run_arrivals(
@@ -63,12 +75,27 @@ def run_arrivals(
     roots: Roots,
     datasets: Sequence[Dataset] = DATASETS,
     batch_date: date | None = None,
+    bad_rows: str = "refuse",
 ) -> list[LoadReport]:
-    """Land what is new below ``<source>/<dataset>`` and load every batch that became complete."""
-    pending: dict[date, list[Dataset]] = {}
+    """Land what is new below ``<source>/<dataset>`` and load the batches it belongs to.
+
+    A batch that gets further files later is loaded again as a whole.
+    Batches that were landed but never stored are tried again.
+    """
+    reports: list[LoadReport] = []
     for spec in datasets:
         landing = f"{roots.landing}/{spec.name}"
-        land_arrivals(spark, f"{source}/{spec.name}", landing, f"{checkpoint}/{spec.name}", batch_date)
-        for batch in pending_batches(spark, landing, BatchTable(spark, roots.tables, spec)):
-            pending.setdefault(batch, []).append(spec)
-    return [report for batch in sorted(pending) for report in run_batch(spark, batch, roots, pending[batch])]
+
+        def load(batches: list[date], spec: Dataset = spec) -> None:
+            reports.extend(load_dataset(spark, spec, batch, roots, bad_rows) for batch in batches)
+
+        def load_arrival(arrival: str, landing: str = landing, load: Callable = load) -> None:
+            load(batches_of(spark, landing, arrival))
+
+        land_arrivals(
+            spark, f"{source}/{spec.name}", landing, f"{checkpoint}/{spec.name}", batch_date, landed=load_arrival
+        )
+        done = {r.batch_date for r in reports if r.dataset == spec.name}
+        done.update(BatchTable(spark, roots.tables, spec).batches())
+        load([batch for batch in batches_of(spark, landing) if batch not in done])
+    return reports
