@@ -88,7 +88,7 @@ def test_all_cancelled_leaves_a_readable_snapshot(spark, tmp_path):
     assert load_versions(stored, subs(spark), DAYS[2]) == {"current": 1, "closed": 0}
 
 
-@pytest.mark.parametrize("options", [{"touched_only": False}, {"touched_only": True, "rows_per_task": 1}], ids=str)
+@pytest.mark.parametrize("options", [{"large_snapshot": -1}, {"large_snapshot": -1, "rows_per_task": 1}, {"total": 2}], ids=str)
 def test_ways_to_step_store_the_same(spark, table, tmp_path, options):
     other = BatchTable(spark, str(tmp_path / "other"), SUBSCRIPTIONS)
     for day, versions in zip(DAYS, DELIVERIES):

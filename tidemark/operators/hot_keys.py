@@ -31,15 +31,27 @@ class KeyCounts:
     total_rows: int
     total_keys: int
     largest: int
-    key_bytes: int
+    key_bytes: int | None
     kept: bool = False
 
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
-        return self.key_bytes <= limit
+        return self.key_bytes is not None and self.key_bytes <= limit
 
     def keep(self) -> KeyCounts:
-        """The same with its table checkpointed; only for key lists of a checked size."""
-        return self if self.kept else replace(self, table=_checkpoint(self.table), kept=True)
+        """The same with its table checkpointed, if counting again would take long.
+
+        Only for key lists of a checked size.
+        """
+        if self.kept or self.total_rows <= ROWS_PER_TASK:
+            return self
+        return replace(self, table=_checkpoint(self.table), kept=True)
+
+    @classmethod
+    def few(cls, df: DataFrame, keys: Sequence[str], rows: int) -> KeyCounts:
+        """Upper bounds for a frame known to have so few rows that no key can be hot; runs no job."""
+        if rows > ROWS_PER_TASK:
+            raise ValueError(f"{rows} rows may hold a hot key, count them")
+        return cls(_per_key(df, keys), tuple(keys), rows, rows, rows, None)
 
     def names(self) -> list[str]:
         """Key columns under names that cannot clash with the counted frame."""
@@ -70,7 +82,7 @@ def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
 
     Reads the key columns only; partial aggregation reduces a hot key to one row per task.
     """
-    table = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+    table = _per_key(df, keys)
     text = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
     row = table.agg(
         F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
@@ -81,6 +93,10 @@ def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
     return KeyCounts(table, tuple(keys), row["rows"], row["keys"], row["largest"], row["bytes"])
 
 
+def _per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -36,20 +36,21 @@ def step(
     batch_date: date,
     counts: KeyCounts | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    touched_only: bool | None = None,
+    touched_only: bool = False,
 ) -> DataFrame:
     """One day: the active snapshot plus a delivery become current and closed versions.
 
     ``existing`` holds at most one row per key, as every snapshot does.  The newest
     version of a key is current if it is active; all others are closed on the
-    batch date.  Only keys in the delivery can change, so while their list is small enough to
-    broadcast, the rows of all other keys skip the shuffle (``touched_only`` forces
-    either way).  Keys with too many delivered rows for one task are split.
+    batch date.  Keys with too many delivered rows for one task are split; ``counts``
+    are those of the delivery.
+
+    Only keys in the delivery can change.  With ``touched_only`` their list is broadcast and rows of
+    all other keys skip the shuffle, at the price of reading ``existing`` twice: right
+    for a large stored snapshot and a list of checked size.
     """
     incoming = conform(incoming, spec.schema)
     counts = counts or count_keys(incoming, spec.keys)
-    if touched_only is None:
-        touched_only = counts.fits_broadcast()
     if touched_only:
         counts = counts.keep()
     arrived = stamp_open(incoming, batch_date)

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
-from tidemark.operators import arrives_in_order, count_keys, rebuild, step
+from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step
+from tidemark.operators.hot_keys import ROWS_PER_TASK
 from tidemark.sinks import register_table, write_batch, write_partitioned
 from tidemark.sources import BatchTable, check_header, read_checked, read_landed
 from tidemark.sources.csv import RAW, REASON
-from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, STATUS, Dataset
+from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, VERSIONED, Dataset
 
 
 @dataclass(frozen=True)
@@ -81,26 +82,45 @@ def refused_rows(spark: SparkSession, spec: Dataset, batch_date: date, roots: Ro
     return spark.read.schema(schema).parquet(kept).where(F.col(REASON).isNotNull())
 
 
-def load_full(table: BatchTable, rows: DataFrame, batch_date: date) -> dict[str, int]:
+def load_full(table: BatchTable, rows: DataFrame, batch_date: date, total: int | None = None) -> dict[str, int]:
     """The delivery is the whole new state."""
     write_batch(rows, table, batch_date)
     return {}
 
 
-def load_fact(table: BatchTable, rows: DataFrame, batch_date: date) -> dict[str, int]:
+def load_fact(table: BatchTable, rows: DataFrame, batch_date: date, total: int | None = None) -> dict[str, int]:
     """The delivery is one more day of rows; nothing is merged or deduplicated."""
     write_batch(rows, table, batch_date)
     return {}
 
 
-def load_versions(table: BatchTable, rows: DataFrame, batch_date: date, **options) -> dict[str, int]:
+# Snapshots above this size are worth reading twice to keep most of them out of the shuffle.
+LARGE_SNAPSHOT = 1024 * 1024 * 1024
+
+
+def load_versions(
+    table: BatchTable,
+    rows: DataFrame,
+    batch_date: date,
+    total: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    large_snapshot: int = LARGE_SNAPSHOT,
+) -> dict[str, int]:
     """One type 2 step from the previous snapshot, written as one batch in one pass.
 
-    Earlier batches are only read, so the batch can be run again.
+    Earlier batches are only read, so the batch can be run again.  ``total`` is the
+    number of delivered rows, if known: few rows need no count per key.
     """
     spec = table.spec
     existing = table.snapshot(table.previous(batch_date))
-    stepped = step(existing, rows, spec, batch_date, counts=count_keys(rows, spec.keys), **options)
+    large = estimated_bytes(existing) > large_snapshot
+    if total is not None and total <= rows_per_task and not large:
+        counts = KeyCounts.few(rows, spec.keys, total)
+    else:
+        counts = count_keys(rows, spec.keys)
+    stepped = step(
+        existing, rows, spec, batch_date, counts, rows_per_task, touched_only=large and counts.fits_broadcast()
+    )
     counted = Observation()
     stepped = stepped.observe(
         counted,
@@ -111,11 +131,12 @@ def load_versions(table: BatchTable, rows: DataFrame, batch_date: date, **option
     return {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)}
 
 
-LOADS: dict[str, Callable[[BatchTable, DataFrame, date], dict[str, int]]] = {
-    "full": load_full,
-    "fact": load_fact,
-    "versioned": load_versions,
-}
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate, for a scan the size of its files; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+LOADS: dict[str, Callable[..., dict[str, int]]] = {FULL: load_full, FACT: load_fact, VERSIONED: load_versions}
 
 
 def load_dataset(
@@ -125,7 +146,7 @@ def load_dataset(
     table = BatchTable(spark, roots.tables, spec)
     try:
         rows, accepted, refused = check_delivery(spark, spec, batch_date, roots, bad_rows)
-        written = LOADS[spec.load](table, rows, batch_date)
+        written = LOADS[spec.load](table, rows, batch_date, accepted)
     except Exception as error:
         return LoadReport(spec.name, batch_date, ok=False, message=f"{type(error).__name__}: {error}")
     stale = tuple(b for b in table.batches() if b > batch_date) if spec.versioned else ()
