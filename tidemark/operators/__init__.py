@@ -5,7 +5,6 @@ from tidemark.operators.versions import (
     active_rows,
     arrives_in_order,
     as_of,
-    closed_rows,
     inactive_rows,
     rebuild,
     stamp_open,
@@ -17,7 +16,6 @@ __all__ = [
     "active_rows",
     "arrives_in_order",
     "as_of",
-    "closed_rows",
     "conform",
     "count_keys",
     "inactive_rows",

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import current_status, is_active, newest_first, oldest_first, same_key
 from tidemark.operators.hot_keys import ROWS_PER_TASK, SPLITS, KeyCounts, count_keys
 from tidemark.operators.newest import NEWEST, mark_newest, split_rows
 from tidemark.operators.union import conform, union_by_name
-from tidemark.specs import CLOSED, EFF_END, EFF_START, STATUS, Dataset
+from tidemark.specs import EFF_END, EFF_START, STATUS, Dataset
 
 
 def stamp_open(df: DataFrame, batch_date: date) -> DataFrame:
@@ -130,16 +129,6 @@ def arrives_in_order(versions: DataFrame, spec: Dataset, batch: str) -> bool:
 
 def as_of(history: DataFrame, day: date) -> DataFrame:
     """The versions valid on a day; intervals are half-open."""
-    return history.where(_valid_on(day))
-
-
-def _valid_on(day: date) -> Column:
-    return (F.col(EFF_START) <= F.lit(day)) & (F.col(EFF_END).isNull() | (F.col(EFF_END) > F.lit(day)))
-
-
-def closed_rows(stepped: DataFrame) -> DataFrame:
-    return stepped.where(F.col(STATUS) == CLOSED)
-
-
-def columns_of(spec: Dataset) -> Sequence[str]:
-    return [*spec.schema.names, EFF_START, EFF_END]
+    started = F.col(EFF_START) <= F.lit(day)
+    not_ended = F.col(EFF_END).isNull() | (F.col(EFF_END) > F.lit(day))
+    return history.where(started & not_ended)

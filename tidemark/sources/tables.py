@@ -5,9 +5,8 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.operators.versions import as_of, columns_of
+from tidemark.operators.versions import as_of
 from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
 # Marks a batch whose current rows were deleted.
@@ -36,8 +35,8 @@ class BatchTable:
         """Finished batches, oldest first; one listing call, whatever they hold."""
         return self._batches_with("_SUCCESS")
 
-    def _batches_with(self, marker: str) -> list[date]:
-        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*/{marker}")
+    def _batches_with(self, entry: str) -> list[date]:
+        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*/{entry}")
         found = files.globStatus(path) or []
         return sorted(date.fromisoformat(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
 
@@ -49,18 +48,26 @@ class BatchTable:
         return max((b for b in self.batches() if b < batch_date), default=None)
 
     def read(self, batches: list[date]) -> DataFrame:
-        """Rows of the given batches with the declared schema, which also holds if they are empty."""
-        if not batches:
-            return self.spark.createDataFrame([], self.spec.stored_schema)
-        reader = self.spark.read.schema(self.spec.stored_schema).option("basePath", self.location)
-        return reader.parquet(*(self.batch_path(b) for b in batches))
+        """All rows of the given batches."""
+        return self._scan([self.batch_path(b) for b in batches])
+
+    def _scan(self, paths: list[str]) -> DataFrame:
+        """Rows with the declared schema, which also holds where no file was written."""
+        if not paths:
+            return self.spark.createDataFrame([], self.spec.stored_schema).limit(0)
+        return self.spark.read.schema(self.spec.stored_schema).option("basePath", self.location).parquet(*paths)
+
+    def _status_paths(self, status: str, batches: list[date]) -> list[str]:
+        """Folders of one status; naming them keeps Spark from listing the others."""
+        written = set(self._batches_with(f"{STATUS}={status}"))
+        return [f"{self.batch_path(b)}/{STATUS}={status}" for b in batches if b in written]
 
     def snapshot(self, batch_date: date | None) -> DataFrame:
         """The active versions after a batch, or none without a batch."""
         if batch_date in self._batches_with(DROPPED):
             raise LookupError(f"{self.spec.name}: the snapshot of {batch_date} was dropped")
-        rows = self.read([] if batch_date is None else [batch_date])
-        return rows.where(F.col(STATUS) == CURRENT).select(*columns_of(self.spec))
+        batches = [] if batch_date is None else [batch_date]
+        return self._scan(self._status_paths(CURRENT, batches)).select(*self.spec.version_schema.names)
 
     def current(self) -> DataFrame:
         """The active versions after the newest batch."""
@@ -68,21 +75,19 @@ class BatchTable:
 
     def history(self) -> DataFrame:
         """Every version once: closed ones of all batches and the newest current ones."""
-        batches = self.batches()
-        rows = self.read(batches)
-        if batches:
-            rows = rows.where((F.col(STATUS) == CLOSED) | (F.col(BATCH) == F.lit(batches[-1])))
-        return rows.select(*columns_of(self.spec), STATUS)
+        return self._versions(self.batches())
 
     def as_of(self, day: date) -> DataFrame:
         """The versions valid on a day.
 
-        A version is closed by the batch that ends it, so only later batches can hold closed
-        versions that were still valid on that day.
+        A version is closed no earlier than the day it ends, so only later batches can
+        hold closed versions that were still valid on that day.
         """
         batches = self.batches()
-        if not batches:
-            return self.current()
-        rows = self.read([b for b in batches if b > day or b == batches[-1]])
-        rows = rows.where((F.col(STATUS) == CLOSED) | (F.col(BATCH) == F.lit(batches[-1])))
-        return as_of(rows.select(*columns_of(self.spec)), day)
+        later = self._versions([b for b in batches if b > day or b == batches[-1]])
+        return as_of(later.select(*self.spec.version_schema.names), day)
+
+    def _versions(self, batches: list[date]) -> DataFrame:
+        """Closed versions of the given batches and current ones of the last."""
+        paths = self._status_paths(CLOSED, batches) + self._status_paths(CURRENT, batches[-1:])
+        return self._scan(paths).select(*self.spec.version_schema.names, STATUS)
