@@ -144,16 +144,31 @@ def test_full_and_fact(spark, tmp_path):
     assert facts.read(DAYS[:1]).count() == 4
 
 
-def test_catalogue_follows_the_batches(spark, table):
-    name = "subs_registered"
-    register_table(table, name)
-    assert spark.table(name).count() == table.read(table.batches()).count()
-    load_versions(table, subs(spark, ("01-24", None)), date(2025, 1, 24))
-    register_table(table, name)
+@pytest.mark.parametrize("search", [True, False])
+def test_catalogue_follows_the_batches(spark, table, search):
+    name, late = "subs_registered", date(2025, 1, 24)
+    register_table(table, name, None if search else DAYS)
+    assert rows_of(spark.table(name)) == rows_of(table.read(DAYS))
+    load_versions(table, subs(spark, ("01-24", None)), late)
+    register_table(table, name, None if search else [late])
     assert spark.table(name).where("batch_dt = DATE '2025-01-24'").count() == 3
+    assert rows_of(spark.table(name)) == rows_of(table.read([*DAYS, late]))
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_catalogue_of_a_rerun_forgets_partitions_that_are_gone(spark, tmp_path):
+    facts = BatchTable(spark, str(tmp_path), TRANSACTIONS)
+    rows = lambda *plans: spark.createDataFrame([(1, 1, 1, p, None, None, None, "x") for p in plans], TRANSACTIONS.schema)
+    load_fact(facts, rows(1, 2, None), DAYS[0])
+    register_table(facts, "tx_registered", DAYS[:1])
+    assert rows_of(spark.table("tx_registered"), "price_plan_id") == rows_of(rows(1, 2, None), "price_plan_id")
+    load_fact(facts, rows(2, 3), DAYS[0])
+    register_table(facts, "tx_registered", DAYS[:1])
+    assert rows_of(spark.table("tx_registered"), "price_plan_id") == [(2,), (3,)]
+    assert spark.sql("SHOW PARTITIONS tx_registered").count() == 2
+    spark.sql("DROP TABLE tx_registered")
+
+
 def deliver(folder, day, spec, *lines):
     os.makedirs(folder, exist_ok=True)
     with open(delivery_path(str(folder), spec.name, day), "w") as out:

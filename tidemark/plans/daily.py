@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.batches import delivery_path
 from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step
 from tidemark.operators.hot_keys import ROWS_PER_TASK
+from tidemark.session import prepare
 from tidemark.sinks import register_table, write_batch, write_partitioned
 from tidemark.sources import BatchTable, check_header, read_checked, read_landed
 from tidemark.sources.csv import RAW, REASON
@@ -165,12 +166,13 @@ def run_batch(
 
     ``catalog`` is the database for the tables; without it nothing is registered.
     """
+    prepare(spark)
     with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
         reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows), datasets))
     if catalog is not None:
         for spec, report in zip(datasets, reports):
             if report.ok:
-                register_table(BatchTable(spark, roots.tables, spec), f"{catalog}.{spec.name}")
+                register_table(BatchTable(spark, roots.tables, spec), f"{catalog}.{spec.name}", [batch_date])
     return reports
 
 

@@ -34,7 +34,7 @@ from tidemark.queries.standins import (
     tx,
     users,
 )
-from tidemark.session import work_folder
+from tidemark.session import prepare, work_folder
 from tidemark.sinks import register_table, write_partitioned
 from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed
 from tidemark.sources.csv import REASON
@@ -98,6 +98,7 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _store(spark: SparkSession, spec: Dataset, parts: list[DataFrame], load, purpose: str) -> BatchTable:
     """Load deliveries in date order into a fresh table."""
+    prepare(spark)
     table = BatchTable(spark, work_folder(spark, purpose), spec)
     for batch_date, rows in zip(BATCHES, parts):
         load(table, rows, batch_date)
@@ -204,7 +205,7 @@ def scd2_by_start_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _tx_table(spark, sf_dir, "catalog_register")
     name = table.location.split("/")[-2].replace("-", "_")
-    register_table(table, name)
+    register_table(table, name, table.batches())
     return spark.table(name)
 
 

@@ -2,25 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+from urllib.parse import unquote
+
 from pyspark.sql.types import StructType
 
-from tidemark.sources.tables import BatchTable
+from tidemark.sources.tables import BatchTable, file_system
 from tidemark.specs import BATCH
 
-
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
-def register_table(table: BatchTable, name: str) -> None:
+def register_table(table: BatchTable, name: str, batches: Sequence[date] | None = None) -> None:
     """Declare an external table over the stored batches and bring its partitions up to date.
 
-    Partitions that were added are found and partitions that are gone are dropped.
+    With ``batches`` only those are looked at, which takes as long as they are large;
+    without, the whole table is searched.  Partitions that are gone are dropped either way.
     """
     spark, spec = table.spark, table.spec
-    partitions = ", ".join(f"`{c}`" for c in (BATCH, *spec.stored_partitions))
+    levels = (BATCH, *spec.stored_partitions)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(spec.stored_schema)}) USING parquet "
-        f"PARTITIONED BY ({partitions}) LOCATION '{table.location}'"
+        f"PARTITIONED BY ({', '.join(f'`{c}`' for c in levels)}) LOCATION '{table.location}'"
     )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    if batches is None:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        return
+    for batch_date in batches:
+        stored = _stored_partitions(table, batch_date)
+        known = spark.sql(f"SHOW PARTITIONS {name} PARTITION (`{BATCH}` = '{batch_date.isoformat()}')")
+        gone = {row[0] for row in known.collect()} - stored
+        for change, partitions in (("DROP IF EXISTS", gone), ("ADD IF NOT EXISTS", stored)):
+            if partitions:
+                joint = ", " if change.startswith("DROP") else " "
+                spark.sql(f"ALTER TABLE {name} {change} {joint.join(_clause(p) for p in sorted(partitions))}")
+
+
+def _stored_partitions(table: BatchTable, batch_date: date) -> set[str]:
+    """The innermost partitions of a batch, as ``level=value/...``."""
+    levels = table.spec.stored_partitions
+    pattern = "/".join([table.batch_path(batch_date), *(f"{c}=*" for c in levels)])
+    files, path = file_system(table.spark, pattern)
+    folders = [str(f.getPath().toString()) for f in files.globStatus(path) or []]
+    return {"/".join(folder.split("/")[-1 - len(levels) :]) for folder in folders}
+
+
+def _clause(partition: str) -> str:
+    pairs = (level.split("=", 1) for level in partition.split("/"))
+    return f"PARTITION ({', '.join(f'`{column}` = {_literal(value)}' for column, value in pairs)})"
+
+
+def _literal(value: str) -> str:
+    if value == _NO_VALUE:
+        return "NULL"
+    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import LoadReport, Roots, load_dataset
+from tidemark.session import prepare
 from tidemark.sources import BatchTable
 from tidemark.sources.landing import ARRIVAL, raw_lines, read_lines, write_landed
 from tidemark.sources.tables import file_system
@@ -82,6 +83,7 @@ def run_arrivals(
     A batch that gets further files later is loaded again as a whole.
     Batches that were landed but never stored are tried again.
     """
+    prepare(spark)
     reports: list[LoadReport] = []
     for spec in datasets:
         landing = f"{roots.landing}/{spec.name}"
