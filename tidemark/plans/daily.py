@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
 from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step
-from tidemark.operators.hot_keys import ROWS_PER_TASK
+from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
 from tidemark.session import prepare
 from tidemark.sinks import register_table, write_batch, write_partitioned
 from tidemark.sources import BatchTable, check_header, read_checked, read_landed
@@ -106,6 +106,7 @@ def load_versions(
     total: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     large_snapshot: int = LARGE_SNAPSHOT,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, int]:
     """One type 2 step from the previous snapshot, written as one batch in one pass.
 
@@ -119,9 +120,8 @@ def load_versions(
         counts = KeyCounts.few(rows, spec.keys, total)
     else:
         counts = count_keys(rows, spec.keys)
-    stepped = step(
-        existing, rows, spec, batch_date, counts, rows_per_task, touched_only=large and counts.fits_broadcast()
-    )
+    touched_only = large and counts.fits_broadcast(broadcast_bytes)
+    stepped = step(existing, rows, spec, batch_date, counts, rows_per_task, touched_only)
     counted = Observation()
     stepped = stepped.observe(
         counted,

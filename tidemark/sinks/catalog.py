@@ -8,11 +8,9 @@ from urllib.parse import unquote
 
 from pyspark.sql.types import StructType
 
-from tidemark.sources.tables import BatchTable, file_system
+from tidemark.sources.tables import NO_VALUE, BatchTable, file_system
 from tidemark.specs import BATCH
 
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
 
 def register_table(table: BatchTable, name: str, batches: Sequence[date] | None = None) -> None:
     """Declare an external table over the stored batches and bring its partitions up to date.
@@ -54,7 +52,7 @@ def _clause(partition: str) -> str:
 
 
 def _literal(value: str) -> str:
-    if value == _NO_VALUE:
+    if value == NO_VALUE:
         return "NULL"
     text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{text}'"

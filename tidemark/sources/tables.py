@@ -11,6 +11,8 @@ from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
 # Marks a batch whose current rows were deleted.
 DROPPED = "_SNAPSHOT_DROPPED"
+# How a partition folder spells NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def file_system(spark: SparkSession, path: str):

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.plans import LoadReport, Roots, load_dataset
 from tidemark.session import prepare
 from tidemark.sources import BatchTable
-from tidemark.sources.landing import ARRIVAL, raw_lines, read_lines, write_landed
-from tidemark.sources.tables import file_system
+from tidemark.sources.landing import ARRIVAL, raw_lines, write_landed
+from tidemark.sources.tables import NO_VALUE, file_system
 from tidemark.specs import BATCH, DATASETS, Dataset
 
+# A file is also picked up if it is this much older than the newest one seen.
+MAX_FILE_AGE = "3650d"
+
 
 def land_arrivals(
     spark: SparkSession,
@@ -33,7 +36,7 @@ def land_arrivals(
     are kept without a batch.  ``landed`` is called with the arrival before the
     micro-batch counts as done.
     """
-    files = spark.readStream.option("recursiveFileLookup", True)
+    files = spark.readStream.option("recursiveFileLookup", True).option("maxFileAge", MAX_FILE_AGE)
     if files_per_trigger is not None:
         files = files.option("maxFilesPerTrigger", files_per_trigger)
     if batch_date is not None:
@@ -58,15 +61,11 @@ def land_arrivals(
     )
 
 
-def batches_of(spark: SparkSession, landing: str, arrival: str | None = None) -> list[date]:
-    """Landed batch dates, oldest first, of all arrivals or of one; reads partition values only."""
-    files, path = file_system(spark, landing)
-    if not files.exists(path):
-        return []
-    lines = read_lines(spark, landing).where(F.col(BATCH).isNotNull())
-    if arrival is not None:
-        lines = lines.where(F.col(ARRIVAL) == arrival)
-    return sorted(row[0] for row in lines.select(BATCH).distinct().collect())
+def batches_of(spark: SparkSession, landing: str, arrival: str = "*") -> list[date]:
+    """Landed batch dates, oldest first, of all arrivals or of one; lists folders, reads no file."""
+    files, path = file_system(spark, f"{landing}/{BATCH}=*/{ARRIVAL}={arrival}")
+    found = {f.getPath().getParent().getName().split("=", 1)[1] for f in files.globStatus(path) or []}
+    return sorted(date.fromisoformat(value) for value in found - {NO_VALUE})
 
 
 def run_arrivals(
