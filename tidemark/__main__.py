@@ -1,4 +1,4 @@
-"""``spark-submit -m`` style entry: load the deliveries of one batch date."""
+"""Command line: load the deliveries of one batch date."""
 
 from __future__ import annotations
 
