@@ -31,11 +31,12 @@ def test_every_file_is_landed_once(spark, tmp_path):
     assert read_lines(spark, landing).count() == 2
     drop(source, "users_20250121.csv", USERS, user(1, DAYS[1]))
     drop(source / "nested", "users.csv", USERS, user(2, DAYS[1]))
+    drop(source / "nested", "users_20259999.csv", USERS, user(3, DAYS[1]))
     old = source / "users_20250121.csv"
     os.utime(old, (old.stat().st_atime, old.stat().st_mtime - 100 * 24 * 3600))
     land_arrivals(spark, str(source), landing, memory, files_per_trigger=1)
     found = {r.batch_dt: r["count"] for r in read_lines(spark, landing).groupBy("batch_dt").count().collect()}
-    assert found == {DAYS[0]: 2, DAYS[1]: 2, None: 2}
+    assert found == {DAYS[0]: 2, DAYS[1]: 2, None: 4}
 
 
 def test_arrivals_are_loaded(spark, tmp_path):

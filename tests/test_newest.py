@@ -114,9 +114,10 @@ def brute_force(rows):
 WHAT = ("user_id", "user_updated_timestamp", EFF_START, EFF_END)
 
 
-def test_steps_equal_brute_force_also_out_of_order(spark):
+@pytest.mark.parametrize("options", [{}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 4}], ids=str)
+def test_steps_equal_brute_force_also_out_of_order(spark, options):
     rows = skewed_users(spark, 11, rows=120, in_order=False).dropDuplicates(["user_id", "user_updated_timestamp"]).cache()
-    current, closed = fold(spark, rows)
+    current, closed = fold(spark, rows, **options)
     found = rows_of(current, *WHAT) + [tuple(r[c] for c in WHAT) for r in closed]
     assert sorted(found, key=repr) == brute_force(rows)
 

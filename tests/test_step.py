@@ -72,7 +72,7 @@ SCENARIOS = {
 }
 
 
-@pytest.mark.parametrize("options", [{"touched_only": True}, {"touched_only": False}, {"rows_per_task": 1}], ids=str)
+@pytest.mark.parametrize("options", [{}, {"rows_per_task": 1}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 1}], ids=str)
 @pytest.mark.parametrize("name", SCENARIOS)
 def test_scenarios(spark, name, options):
     existing, incoming, expected = SCENARIOS[name]

@@ -30,7 +30,10 @@ def main(arguments: list[str] | None = None) -> int:
         print(f"Error in the arguments: {error}", file=sys.stderr)
         return 1
 
-    spark = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    builder = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC")
+    if given.catalog:
+        builder = builder.enableHiveSupport()
+    spark = builder.getOrCreate()
     datasets = [d for d in DATASETS if not given.dataset or d.name in given.dataset]
     roots = Roots(given.deliveries, given.checked, given.tables)
     reports = run_batch(spark, batch_date, roots, datasets, given.bad_rows, given.catalog)

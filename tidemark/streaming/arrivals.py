@@ -43,7 +43,7 @@ def land_arrivals(
         batch = F.lit(batch_date)
     else:
         stamp = F.regexp_extract("file_path", r"_(\d{8})\.csv", 1)
-        batch = F.to_date(F.nullif(stamp, F.lit("")), "yyyyMMdd")
+        batch = F.try_to_date(stamp, "yyyyMMdd")
     lines = raw_lines(files.text(source)).withColumn(BATCH, batch)
 
     def store(micro_batch: DataFrame, epoch: int) -> None:
