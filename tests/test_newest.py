@@ -116,7 +116,8 @@ WHAT = ("user_id", "user_updated_timestamp", EFF_START, EFF_END)
 
 @pytest.mark.parametrize("options", [{}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 4}], ids=str)
 def test_steps_equal_brute_force_also_out_of_order(spark, options):
-    rows = skewed_users(spark, 11, rows=120, in_order=False).dropDuplicates(["user_id", "user_updated_timestamp"]).cache()
+    rows = skewed_users(spark, 11, rows=120, in_order=False)
+    rows = rows.dropDuplicates(["user_id", "user_updated_timestamp"]).cache()
     current, closed = fold(spark, rows, **options)
     found = rows_of(current, *WHAT) + [tuple(r[c] for c in WHAT) for r in closed]
     assert sorted(found, key=repr) == brute_force(rows)
@@ -138,7 +139,8 @@ def test_rebuild_of_copies_with_hot_days(spark):
 def test_out_of_order_arrival_is_noticed(spark):
     rows = skewed_users(spark, 4)
     assert op.arrives_in_order(rows, USERS, "delivered")
-    late = rows.withColumn("delivered", F.when(F.col("delivered") == F.lit(DAY), F.lit(date(2025, 2, 1))).otherwise(F.col("delivered")))
+    delivered = F.when(F.col("delivered") == F.lit(DAY), F.lit(date(2025, 2, 1))).otherwise(F.col("delivered"))
+    late = rows.withColumn("delivered", delivered)
     assert not op.arrives_in_order(late, USERS, "delivered")
 
 

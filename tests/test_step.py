@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import TODAY, YESTERDAY, intervals, rows_of, stored_subs, subs, users
 from tidemark.operators import stamp_open, step
@@ -72,7 +73,10 @@ SCENARIOS = {
 }
 
 
-@pytest.mark.parametrize("options", [{}, {"rows_per_task": 1}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 1}], ids=str)
+OPTIONS = [{}, {"rows_per_task": 1}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 1}]
+
+
+@pytest.mark.parametrize("options", OPTIONS, ids=str)
 @pytest.mark.parametrize("name", SCENARIOS)
 def test_scenarios(spark, name, options):
     existing, incoming, expected = SCENARIOS[name]
@@ -94,7 +98,7 @@ def test_reactivated_user(spark):
 
 
 def test_text_timestamps_are_cast_to_the_declared_type(spark):
-    incoming = subs(spark, ("01-21", None)).withColumn("subs_cancel_timestamp", __import__("pyspark").sql.functions.lit("open"))
+    incoming = subs(spark, ("01-21", None)).withColumn("subs_cancel_timestamp", F.lit("open"))
     stepped = step(stored_subs(spark), incoming, SUBSCRIPTIONS, TODAY)
     assert intervals(stepped) == [(CURRENT, "01-21", "01-21", None)]
     assert dict(stepped.dtypes)["subs_cancel_timestamp"] == "timestamp"

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
 from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step
 from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
-from tidemark.session import prepare
+from tidemark.session import OPEN_FILES, prepare
 from tidemark.sinks import register_table, write_batch, write_partitioned
 from tidemark.sources import BatchTable, check_header, read_checked, read_landed
 from tidemark.sources.csv import RAW, REASON
-from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, VERSIONED, Dataset
+from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
 
 
 @dataclass(frozen=True)
@@ -49,9 +49,19 @@ class LoadReport:
     stale: tuple[date, ...] = ()
 
 
+@dataclass(frozen=True)
+class Checked:
+    """The accepted rows of a delivery and what was counted while checking them."""
+
+    rows: DataFrame
+    accepted: int
+    refused: int
+    partition_values: int
+
+
 def check_delivery(
     spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots, bad_rows: str = "refuse"
-) -> tuple[DataFrame, int, int]:
+) -> Checked:
     """Parse a delivery once and keep it as Parquet, refused rows with their reason.
 
     Everything after this reads columns, not text.  ``bad_rows="null"`` accepts all
@@ -68,12 +78,23 @@ def check_delivery(
 
     refused = F.lit(False) if bad_rows == "null" else F.col(REASON).isNotNull()
     counted = Observation()
-    rows = rows.observe(counted, F.count_if(~refused).alias("accepted"), F.count_if(refused).alias("refused"))
+    rows = rows.observe(
+        counted,
+        F.count_if(~refused).alias("accepted"),
+        F.count_if(refused).alias("refused"),
+        _partition_values(spec).alias("partition_values"),
+    )
     kept = f"{roots.checked}/{spec.name}/{BATCH}={batch_date.isoformat()}"
     write_partitioned(rows, kept)
     checked = spark.read.schema(rows.schema).parquet(kept)
-    good = checked.where(~refused).select(*spec.schema.names)
-    return good, counted.get.get("accepted", 0), counted.get.get("refused", 0)
+    counts = {"accepted": 0, "refused": 0, "partition_values": 0, **counted.get}
+    return Checked(checked.where(~refused).select(*spec.schema.names), **counts)
+
+
+def _partition_values(spec: Dataset) -> Column:
+    """About how many partition values there are; decides file layout, nothing else."""
+    inner = [name for name in spec.partition_by if name in spec.schema.names]
+    return F.approx_count_distinct(F.struct(*inner)) if inner else F.lit(0).cast("long")
 
 
 def refused_rows(spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots) -> DataFrame:
@@ -83,16 +104,19 @@ def refused_rows(spark: SparkSession, spec: Dataset, batch_date: date, roots: Ro
     return spark.read.schema(schema).parquet(kept).where(F.col(REASON).isNotNull())
 
 
-def load_full(table: BatchTable, rows: DataFrame, batch_date: date, total: int | None = None) -> dict[str, int]:
+def load_full(table: BatchTable, rows: DataFrame, batch_date: date) -> None:
     """The delivery is the whole new state."""
     write_batch(rows, table, batch_date)
-    return {}
 
 
-def load_fact(table: BatchTable, rows: DataFrame, batch_date: date, total: int | None = None) -> dict[str, int]:
-    """The delivery is one more day of rows; nothing is merged or deduplicated."""
-    write_batch(rows, table, batch_date)
-    return {}
+def load_fact(table: BatchTable, rows: DataFrame, batch_date: date, partition_values: int | None = None) -> None:
+    """The delivery is one more day of rows; nothing is merged or deduplicated.
+
+    A task can write a few partition values side by side, so only if there are more are rows brought together.
+    """
+    if partition_values is None:
+        partition_values = rows.agg(_partition_values(table.spec)).first()[0]
+    write_batch(rows, table, batch_date, gather=partition_values > OPEN_FILES)
 
 
 # Snapshots above this size are worth reading twice to keep most of them out of the shuffle.
@@ -137,21 +161,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-LOADS: dict[str, Callable[..., dict[str, int]]] = {FULL: load_full, FACT: load_fact, VERSIONED: load_versions}
-
-
 def load_dataset(
     spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots, bad_rows: str = "refuse"
 ) -> LoadReport:
     """Check and load one dataset; an error is reported, not raised, so that other loads go on."""
     table = BatchTable(spark, roots.tables, spec)
     try:
-        rows, accepted, refused = check_delivery(spark, spec, batch_date, roots, bad_rows)
-        written = LOADS[spec.load](table, rows, batch_date, accepted)
+        checked = check_delivery(spark, spec, batch_date, roots, bad_rows)
+        written = {}
+        if spec.load == FULL:
+            load_full(table, checked.rows, batch_date)
+        elif spec.load == FACT:
+            load_fact(table, checked.rows, batch_date, checked.partition_values)
+        else:
+            written = load_versions(table, checked.rows, batch_date, checked.accepted)
     except Exception as error:
         return LoadReport(spec.name, batch_date, ok=False, message=f"{type(error).__name__}: {error}")
     stale = tuple(b for b in table.batches() if b > batch_date) if spec.versioned else ()
-    return LoadReport(spec.name, batch_date, True, "", accepted, refused, stale=stale, **written)
+    return LoadReport(spec.name, batch_date, True, "", checked.accepted, checked.refused, stale=stale, **written)
 
 
 def run_batch(

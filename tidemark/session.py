@@ -13,7 +13,7 @@ _local_folders: dict[str, str] = {}
 
 
 # With this many files open per task, rows of few partition values need no sort before a write.
-OPEN_FILES = 4
+OPEN_FILES = 8
 _OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 
 

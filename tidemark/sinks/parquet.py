@@ -25,14 +25,16 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     writer.parquet(path)
 
 
-def write_batch(df: DataFrame, table: BatchTable, batch_date: date) -> None:
+def write_batch(df: DataFrame, table: BatchTable, batch_date: date, gather: bool | None = None) -> None:
     """Replace one batch of a table.
 
     Two status values make at most two files per task, which is not worth a shuffle;
-    further partition levels are.
+    further partition levels are, unless the caller knows them to have few values.
     """
     spec = table.spec
-    write_partitioned(df, table.batch_path(batch_date), spec.stored_partitions, gather=bool(spec.partition_by))
+    if gather is None:
+        gather = bool(spec.partition_by)
+    write_partitioned(df, table.batch_path(batch_date), spec.stored_partitions, gather)
 
 
 def drop_old_snapshots(table: BatchTable, keep: int = 2) -> list[date]:
