@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from datetime import date
 
@@ -15,6 +16,8 @@ from tidemark.sources import BatchTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):

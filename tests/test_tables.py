@@ -44,6 +44,8 @@ def test_batches_and_previous(table):
     assert table.previous(DAYS[2]) == DAYS[1]
     assert table.previous(date(2025, 1, 22)) == DAYS[1]
     assert table.previous(DAYS[0]) is None
+    assert table.newest() == DAYS[2]
+    assert table.batches(after=DAYS[0]) == DAYS[1:]
 
 
 def test_current_history_as_of(table):
@@ -70,7 +72,9 @@ def test_running_a_batch_again_changes_nothing(spark, table):
 def test_unfinished_batch_is_not_seen(table):
     os.remove(f"{table.batch_path(DAYS[2])}/_SUCCESS")
     assert table.batches() == DAYS[:2]
+    assert table.previous(date(2025, 2, 1)) == DAYS[1]
     assert starts(table.current()) == [(1, "01-21")]
+    assert starts(table.as_of(DAYS[2])) == [(1, "01-21")]
     assert table.history().count() == 4
 
 

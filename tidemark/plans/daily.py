@@ -177,7 +177,7 @@ def load_dataset(
             written = load_versions(table, checked.rows, batch_date, checked.accepted)
     except Exception as error:
         return LoadReport(spec.name, batch_date, ok=False, message=f"{type(error).__name__}: {error}")
-    stale = tuple(b for b in table.batches() if b > batch_date) if spec.versioned else ()
+    stale = tuple(table.batches(after=batch_date)) if spec.versioned else ()
     return LoadReport(spec.name, batch_date, True, "", checked.accepted, checked.refused, stale=stale, **written)
 
 

@@ -51,8 +51,9 @@ def write_landed(lines: DataFrame, landing: str, arrival: str) -> None:
 
 
 def read_lines(spark: SparkSession, landing: str, batch_date: date | None = None) -> DataFrame:
-    lines = spark.read.schema(LANDED).parquet(landing)
-    return lines if batch_date is None else lines.where(F.col(BATCH) == F.lit(batch_date))
+    """Landed lines of all batches, or of one; other batches are not even listed."""
+    path = landing if batch_date is None else f"{landing}/{BATCH}={batch_date.isoformat()}"
+    return spark.read.schema(LANDED).option("basePath", landing).parquet(path)
 
 
 def _is_header(spec: Dataset) -> Column:

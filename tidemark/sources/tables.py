@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,10 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
 
 
+# Look-ups that run side by side; on object stores each is a request.
+_LOOKUPS = 16
+
+
 class BatchTable:
     """The stored batches of one dataset below ``<root>/<dataset>``."""
 
@@ -33,21 +38,38 @@ class BatchTable:
     def batch_path(self, batch_date: date) -> str:
         return f"{self.location}/{BATCH}={batch_date.isoformat()}"
 
-    def batches(self) -> list[date]:
-        """Finished batches, oldest first; one listing call, whatever they hold."""
-        return self._batches_with("_SUCCESS")
-
-    def _batches_with(self, entry: str) -> list[date]:
-        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*/{entry}")
-        found = files.globStatus(path) or []
-        return sorted(date.fromisoformat(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
+    def batches(self, after: date | None = None) -> list[date]:
+        """Finished batches, oldest first, of all dates or of those after one."""
+        dates = [b for b in self._folders() if after is None or b > after]
+        return self._with(dates, "_SUCCESS")
 
     def newest(self) -> date | None:
-        return max(self.batches(), default=None)
+        return self._newest(self._folders())
 
     def previous(self, batch_date: date) -> date | None:
         """The newest finished batch before a date, so a day without delivery breaks nothing."""
-        return max((b for b in self.batches() if b < batch_date), default=None)
+        return self._newest([b for b in self._folders() if b < batch_date])
+
+    def _newest(self, dates: list[date]) -> date | None:
+        return next((b for b in reversed(dates) if self._with([b], "_SUCCESS")), None)
+
+    def _folders(self) -> list[date]:
+        """Dates of all batches, finished or not; one listing."""
+        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*")
+        found = files.globStatus(path) or []
+        return sorted(date.fromisoformat(f.getPath().getName().split("=", 1)[1]) for f in found)
+
+    def _with(self, dates: list[date], entry: str) -> list[date]:
+        """The batches that contain a file or folder."""
+
+        def contains(batch_date: date) -> bool:
+            files, path = file_system(self.spark, f"{self.batch_path(batch_date)}/{entry}")
+            return files.exists(path)
+
+        if len(dates) < 2:
+            return [b for b in dates if contains(b)]
+        with ThreadPoolExecutor(_LOOKUPS) as pool:
+            return [b for b, found in zip(dates, pool.map(contains, dates)) if found]
 
     def read(self, batches: list[date]) -> DataFrame:
         """All rows of the given batches."""
@@ -61,14 +83,13 @@ class BatchTable:
 
     def _status_paths(self, status: str, batches: list[date]) -> list[str]:
         """Folders of one status; naming them keeps Spark from listing the others."""
-        written = set(self._batches_with(f"{STATUS}={status}"))
-        return [f"{self.batch_path(b)}/{STATUS}={status}" for b in batches if b in written]
+        return [f"{self.batch_path(b)}/{STATUS}={status}" for b in self._with(batches, f"{STATUS}={status}")]
 
     def snapshot(self, batch_date: date | None) -> DataFrame:
         """The active versions after a batch, or none without a batch."""
-        if batch_date in self._batches_with(DROPPED):
-            raise LookupError(f"{self.spec.name}: the snapshot of {batch_date} was dropped")
         batches = [] if batch_date is None else [batch_date]
+        if self._with(batches, DROPPED):
+            raise LookupError(f"{self.spec.name}: the snapshot of {batch_date} was dropped")
         return self._scan(self._status_paths(CURRENT, batches)).select(*self.spec.version_schema.names)
 
     def current(self) -> DataFrame:
@@ -85,8 +106,9 @@ class BatchTable:
         A version is closed no earlier than the day it ends, so only later batches can
         hold closed versions that were still valid on that day.
         """
-        batches = self.batches()
-        later = self._versions([b for b in batches if b > day or b == batches[-1]])
+        newest = self.newest()
+        batches = [] if newest is None else sorted({*self.batches(after=day), newest})
+        later = self._versions(batches)
         return as_of(later.select(*self.spec.version_schema.names), day)
 
     def _versions(self, batches: list[date]) -> DataFrame:

@@ -90,6 +90,9 @@ class Dataset:
         return ((STATUS,) if self.versioned else ()) + self.partition_by
 
 
+# Names, columns and order of the delivered files, and the keys, version order and
+# activity condition of their histories.
+
 PRICE_PLANS = Dataset(
     name="price_plans",
     schema=columns(
