@@ -27,6 +27,27 @@ def file_system(spark: SparkSession, path: str):
 _LOOKUPS = 16
 
 
+def batch_folders(spark: SparkSession, root: str) -> list[date]:
+    """Dates of all batch folders, finished or not; one listing."""
+    files, path = file_system(spark, f"{root}/{BATCH}=*")
+    values = {f.getPath().getName().split("=", 1)[1] for f in files.globStatus(path) or []}
+    return sorted(date.fromisoformat(value) for value in values - {NO_VALUE})
+
+
+def batches_with(spark: SparkSession, root: str, batches: list[date], entry: str) -> list[date]:
+    """Those of the batches whose folder contains a file or folder."""
+
+    def contains(batch_date: date) -> bool:
+        files, path = file_system(spark, f"{root}/{BATCH}={batch_date.isoformat()}/{entry}")
+        return files.exists(path)
+
+    if len(batches) < 2:
+        return [b for b in batches if contains(b)]
+    with ThreadPoolExecutor(_LOOKUPS) as pool:
+        return [b for b, found in zip(batches, pool.map(contains, batches)) if found]
+
+
+
 class BatchTable:
     """The stored batches of one dataset below ``<root>/<dataset>``."""
 
@@ -54,22 +75,10 @@ class BatchTable:
         return next((b for b in reversed(dates) if self._with([b], "_SUCCESS")), None)
 
     def _folders(self) -> list[date]:
-        """Dates of all batches, finished or not; one listing."""
-        files, path = file_system(self.spark, f"{self.location}/{BATCH}=*")
-        found = files.globStatus(path) or []
-        return sorted(date.fromisoformat(f.getPath().getName().split("=", 1)[1]) for f in found)
-
-    def _with(self, dates: list[date], entry: str) -> list[date]:
-        """The batches that contain a file or folder."""
-
-        def contains(batch_date: date) -> bool:
-            files, path = file_system(self.spark, f"{self.batch_path(batch_date)}/{entry}")
-            return files.exists(path)
-
-        if len(dates) < 2:
-            return [b for b in dates if contains(b)]
-        with ThreadPoolExecutor(_LOOKUPS) as pool:
-            return [b for b, found in zip(dates, pool.map(contains, dates)) if found]
+        return batch_folders(self.spark, self.location)
+
+    def _with(self, batches: list[date], entry: str) -> list[date]:
+        return batches_with(self.spark, self.location, batches, entry)
 
     def read(self, batches: list[date]) -> DataFrame:
         """All rows of the given batches."""

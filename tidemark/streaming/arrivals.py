@@ -12,7 +12,7 @@ from tidemark.plans import LoadReport, Roots, load_dataset
 from tidemark.session import prepare
 from tidemark.sources import BatchTable
 from tidemark.sources.landing import ARRIVAL, raw_lines, write_landed
-from tidemark.sources.tables import NO_VALUE, file_system
+from tidemark.sources.tables import batch_folders, batches_with
 from tidemark.specs import BATCH, DATASETS, Dataset
 
 # A file is also picked up if it is this much older than the newest one seen.
@@ -61,11 +61,10 @@ def land_arrivals(
     )
 
 
-def batches_of(spark: SparkSession, landing: str, arrival: str = "*") -> list[date]:
+def batches_of(spark: SparkSession, landing: str, arrival: str | None = None) -> list[date]:
     """Landed batch dates, oldest first, of all arrivals or of one; lists folders, reads no file."""
-    files, path = file_system(spark, f"{landing}/{BATCH}=*/{ARRIVAL}={arrival}")
-    found = {f.getPath().getParent().getName().split("=", 1)[1] for f in files.globStatus(path) or []}
-    return sorted(date.fromisoformat(value) for value in found - {NO_VALUE})
+    batches = batch_folders(spark, landing)
+    return batches if arrival is None else batches_with(spark, landing, batches, f"{ARRIVAL}={arrival}")
 
 
 def run_arrivals(
