@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from datetime import date
 
+from tidemark.__main__ import main
 from tidemark.plans import Roots
 from tidemark.sources import BatchTable
 from tidemark.sources.landing import read_lines
@@ -56,6 +57,20 @@ def test_arrivals_are_loaded(spark, tmp_path):
     assert BatchTable(spark, roots.tables, USERS).current().count() == 3
 
 
+def test_command_line_lands_and_loads(spark, tmp_path):
+    drop(tmp_path / "in" / "users", "anything.csv", USERS, user(1, DAYS[0]))
+    folders = [f"--{n}={tmp_path / n}" for n in ("landing", "checkpoint", "checked", "tables")]
+    spark.sql("CREATE DATABASE IF NOT EXISTS arrived")
+    arguments = [f"--source={tmp_path / 'in'}", *folders, "--dataset=users", "--catalog=arrived"]
+    assert main(["20250120", *arguments]) == 0
+    assert spark.table("arrived.users").where("batch_dt = DATE '2025-01-20'").count() == 1
+    drop(tmp_path / "in" / "users", "more.csv", USERS, user(1, DAYS[1]))
+    assert main(["20250121", *arguments]) == 0
+    assert spark.table("arrived.users").where("batch_dt = DATE '2025-01-21'").count() == 2
+    spark.sql("DROP DATABASE arrived CASCADE")
+    assert main(["20250121", f"--source={tmp_path}", *folders[2:]]) == 1
+
+
 def test_failed_batch_is_tried_again(spark, tmp_path):
     roots = Roots("", str(tmp_path / "checked"), str(tmp_path / "tables"), str(tmp_path / "landing"))
     run = lambda: run_arrivals(spark, str(tmp_path / "in"), str(tmp_path / "memory"), roots, [USERS])

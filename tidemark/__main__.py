@@ -10,12 +10,17 @@ from pyspark.sql import SparkSession
 from tidemark.batches import parse_batch_date
 from tidemark.plans import Roots, run_batch
 from tidemark.specs import DATASETS
+from tidemark.streaming import run_arrivals
 
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidemark", exit_on_error=False)
     parser.add_argument("batch_date", help="yyyymmdd")
-    parser.add_argument("--deliveries", required=True, help="folder with <dataset>_<yyyymmdd>.csv")
+    come_from = parser.add_mutually_exclusive_group(required=True)
+    come_from.add_argument("--deliveries", help="folder with <dataset>_<yyyymmdd>.csv")
+    come_from.add_argument("--source", help="folder with a folder per dataset; new files are landed as of the batch date")
+    parser.add_argument("--landing", help="with --source: folder for landed lines")
+    parser.add_argument("--checkpoint", help="with --source: folder that remembers the landed files")
     parser.add_argument("--checked", required=True, help="folder for checked deliveries")
     parser.add_argument("--tables", required=True, help="folder of the stored tables")
     parser.add_argument("--dataset", action="append", choices=[d.name for d in DATASETS], help="default: all")
@@ -24,6 +29,8 @@ def main(arguments: list[str] | None = None) -> int:
     try:
         given = parser.parse_args(arguments)
         batch_date = parse_batch_date(given.batch_date)
+        if given.source and not (given.landing and given.checkpoint):
+            raise ValueError("--source needs --landing and --checkpoint")
     except (argparse.ArgumentError, SystemExit, ValueError) as error:
         if isinstance(error, SystemExit) and error.code in (0, None):
             return 0
@@ -35,8 +42,13 @@ def main(arguments: list[str] | None = None) -> int:
         builder = builder.enableHiveSupport()
     spark = builder.getOrCreate()
     datasets = [d for d in DATASETS if not given.dataset or d.name in given.dataset]
-    roots = Roots(given.deliveries, given.checked, given.tables)
-    reports = run_batch(spark, batch_date, roots, datasets, given.bad_rows, given.catalog)
+    options = {"bad_rows": given.bad_rows, "catalog": given.catalog}
+    if given.source:
+        roots = Roots("", given.checked, given.tables, given.landing)
+        reports = run_arrivals(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)
+    else:
+        roots = Roots(given.deliveries, given.checked, given.tables)
+        reports = run_batch(spark, batch_date, roots, datasets, **options)
     for report in reports:
         print(report)
     return 0 if all(report.ok for report in reports) else 2

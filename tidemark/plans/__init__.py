@@ -8,6 +8,7 @@ from tidemark.plans.daily import (
     load_full,
     load_versions,
     refused_rows,
+    register_loaded,
     run_batch,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "load_full",
     "load_versions",
     "refused_rows",
+    "register_loaded",
     "run_batch",
 ]

@@ -197,20 +197,30 @@ def run_batch(
     with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
         reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows), datasets))
     if catalog is not None:
-        for spec, report in zip(datasets, reports):
-            if report.ok:
-                register_table(BatchTable(spark, roots.tables, spec), f"{catalog}.{spec.name}", [batch_date])
+        register_loaded(spark, roots, datasets, reports, catalog)
     return reports
 
 
+def register_loaded(
+    spark: SparkSession, roots: Roots, datasets: Sequence[Dataset], reports: Sequence[LoadReport], catalog: str
+) -> None:
+    """Register the batches that were loaded."""
+    for spec in datasets:
+        loaded = [r.batch_date for r in reports if r.ok and r.dataset == spec.name]
+        if loaded:
+            register_table(BatchTable(spark, roots.tables, spec), f"{catalog}.{spec.name}", loaded)
+
+
 def backfill(table: BatchTable, versions: DataFrame, batch: str) -> bool:
     """Store a whole history in one pass, as the batch of its last delivery.
 
-    Returns False, having written nothing, if deliveries are out of version order: then
-    only the daily steps give the right history.
+    Returns False, having written nothing, if there are no deliveries or if they are out of
+    version order: then only the daily steps give the right history.
     """
     if not arrives_in_order(versions, table.spec, batch):
         return False
     last = versions.agg(F.max(batch)).first()[0]
+    if last is None:
+        return False
     write_batch(rebuild(versions, table.spec, batch), table, last)
     return True

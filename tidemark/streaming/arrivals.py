@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import LoadReport, Roots, load_dataset
+from tidemark.plans import LoadReport, Roots, load_dataset, register_loaded
 from tidemark.session import prepare
 from tidemark.sources import BatchTable
 from tidemark.sources.landing import ARRIVAL, raw_lines, write_landed
@@ -75,6 +75,7 @@ def run_arrivals(
     datasets: Sequence[Dataset] = DATASETS,
     batch_date: date | None = None,
     bad_rows: str = "refuse",
+    catalog: str | None = None,
 ) -> list[LoadReport]:
     """Land what is new below ``<source>/<dataset>`` and load the batches it belongs to.
 
@@ -98,4 +99,6 @@ def run_arrivals(
         done = {r.batch_date for r in reports if r.dataset == spec.name}
         done.update(BatchTable(spark, roots.tables, spec).batches())
         load([batch for batch in batches_of(spark, landing) if batch not in done])
+    if catalog is not None:
+        register_loaded(spark, roots, datasets, reports, catalog)
     return reports
