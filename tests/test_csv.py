@@ -126,5 +126,7 @@ def test_specs_are_checked():
         Dataset("x", schema, "versioned", keys=("a",))
     with pytest.raises(ValueError):
         Dataset("x", schema, "fact", required=("b",))
+    with pytest.raises(ValueError):
+        Dataset("x", columns({"a": "double"}), "full", keys=("a",))
     with pytest.raises(ValueError):
         Dataset("x", schema, "sometimes")

@@ -14,6 +14,7 @@ from tidemark import operators as op
 from tidemark.functions import newest_first
 from tidemark.operators.hot_keys import SPLITS
 from tidemark.operators.newest import NEWEST, split_rows
+from tidemark.operators.touched import divide
 from tidemark.specs import EFF_END, EFF_START, STATUS, USERS
 
 DAY = date(2025, 1, 1)
@@ -114,7 +115,11 @@ def brute_force(rows):
 WHAT = ("user_id", "user_updated_timestamp", EFF_START, EFF_END)
 
 
-@pytest.mark.parametrize("options", [{}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 4}], ids=str)
+OPTIONS = [{}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 4}]
+OPTIONS += [{"touched_only": True, "broadcast_bytes": 400}]
+
+
+@pytest.mark.parametrize("options", OPTIONS, ids=str)
 def test_steps_equal_brute_force_also_out_of_order(spark, options):
     rows = skewed_users(spark, 11, rows=120, in_order=False)
     rows = rows.dropDuplicates(["user_id", "user_updated_timestamp"]).cache()
@@ -136,6 +141,21 @@ def test_rebuild_of_copies_with_hot_days(spark):
     assert rows_of(op.rebuild(rows, USERS, "delivered", 5)) == rows_of(op.rebuild(rows, USERS, "delivered"))
 
 
+@pytest.mark.parametrize("limit, way", [(10**9, "list"), (10_000, "bitmap"), (1_000, None)])
+def test_division_by_delivered_keys(spark, limit, way):
+    existing = spark.range(20_000).select(F.col("id").cast("int").alias("user_id"), F.lit("x").alias("payload"))
+    delivered = spark.range(0, 20_000, 20).select(F.col("id").cast("int").alias("user_id"))
+    divided = divide(existing, op.count_keys(delivered, USERS.keys), USERS, limit)
+    if way is None:
+        assert divided is None
+        return
+    untouched, touched = divided
+    assert untouched.count() + touched.count() == 20_000
+    assert untouched.where("user_id % 20 = 0").isEmpty()
+    assert touched.where("user_id % 20 = 0").count() == 1000
+    assert (touched.count() == 1000) if way == "list" else (1000 <= touched.count() < 5000)
+
+
 def test_out_of_order_arrival_is_noticed(spark):
     rows = skewed_users(spark, 4)
     assert op.arrives_in_order(rows, USERS, "delivered")

@@ -74,6 +74,8 @@ SCENARIOS = {
 
 
 OPTIONS = [{}, {"rows_per_task": 1}, {"touched_only": True}, {"touched_only": True, "rows_per_task": 1}]
+# Too little room for a list of keys, enough for a bitmap.
+OPTIONS += [{"touched_only": True, "broadcast_bytes": 90}]
 
 
 @pytest.mark.parametrize("options", OPTIONS, ids=str)

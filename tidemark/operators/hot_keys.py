@@ -16,7 +16,7 @@ ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 100_000
 # Largest estimated size of a key list that is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-_BYTES_PER_KEY = 48
+_BYTES_PER_KEY = 96
 
 SPLITS = "_splits"
 _N = "_n"
@@ -37,14 +37,17 @@ class KeyCounts:
     def fits_broadcast(self, limit: int = BROADCAST_BYTES) -> bool:
         return self.key_bytes is not None and self.key_bytes <= limit
 
+    @property
+    def slow(self) -> bool:
+        """Whether counting again would take long."""
+        return not self.kept and self.total_rows > ROWS_PER_TASK
+
     def keep(self) -> KeyCounts:
         """The same with its table checkpointed, if counting again would take long.
 
         Only for key lists of a checked size.
         """
-        if self.kept or self.total_rows <= ROWS_PER_TASK:
-            return self
-        return replace(self, table=_checkpoint(self.table), kept=True)
+        return replace(self, table=checkpointed(self.table), kept=True) if self.slow else self
 
     @classmethod
     def few(cls, df: DataFrame, keys: Sequence[str], rows: int) -> KeyCounts:
@@ -74,7 +77,7 @@ class KeyCounts:
         floor = max(rows_per_task, self.total_rows // MAX_HOT_KEYS)
         parts = F.ceil(F.col(_N) / F.lit(rows_per_task)).cast("long").alias(SPLITS)
         listed = self.table.where(F.col(_N) > floor).select(*self.key_columns(), parts)
-        return listed if self.kept else _checkpoint(listed)
+        return listed if self.kept else checkpointed(listed)
 
 
 def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
@@ -97,6 +100,7 @@ def _per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A result of bounded size kept in the shared folder, so that no broadcast waits for its making."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

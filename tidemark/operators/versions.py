@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import current_status, is_active, newest_first, oldest_first, same_key
-from tidemark.operators.hot_keys import ROWS_PER_TASK, SPLITS, KeyCounts, count_keys
+from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK, SPLITS, KeyCounts, count_keys
 from tidemark.operators.newest import NEWEST, mark_newest, split_rows
+from tidemark.operators.touched import divide
 from tidemark.operators.union import conform, union_by_name
 from tidemark.specs import EFF_END, EFF_START, STATUS, Dataset
 
@@ -36,6 +37,7 @@ def step(
     counts: KeyCounts | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     touched_only: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One day: the active snapshot plus a delivery become current and closed versions.
 
@@ -44,27 +46,25 @@ def step(
     batch date.  Keys with too many delivered rows for one task are split; ``counts``
     are those of the delivery.
 
-    Only keys in the delivery can change.  With ``touched_only`` their list is broadcast and rows of
-    all other keys skip the shuffle, at the price of reading ``existing`` twice: right
-    for a large stored snapshot and a list of checked size.  Closed rows then all come
-    out of the shuffle, in few files, and not one by one from wherever they were stored.
+    Only keys in the delivery can change.  With ``touched_only``, and if they can be told apart by a
+    broadcast of at most ``broadcast_bytes``, rows of all other keys skip the shuffle, at
+    the price of reading ``existing`` twice: right for a large stored snapshot.  Closed rows
+    then all come out of the shuffle, in few files, and not one by one from wherever they were stored.
     """
     incoming = conform(incoming, spec.schema)
     counts = counts or count_keys(incoming, spec.keys)
-    if touched_only:
-        counts = counts.keep()
     arrived = stamp_open(incoming, batch_date)
     order = newest_first(spec)
     hot = counts.hot(rows_per_task)
 
-    if not touched_only:
+    divided = divide(existing, counts, spec, broadcast_bytes) if touched_only else None
+    if divided is None:
         ranked = mark_newest(union_by_name(existing, arrived), spec.keys, order, hot)
     else:
-        touched = F.broadcast(counts.distinct_keys())
-        match = same_key(spec.keys, counts.names())
-        untouched = existing.join(touched, match, "left_anti").withColumn(NEWEST, F.lit(True))
-        changing = union_by_name(existing.join(touched, match, "left_semi"), arrived)
-        ranked = untouched.unionByName(mark_newest(changing, spec.keys, order, hot))
+        untouched, touched = divided
+        ranked = untouched.withColumn(NEWEST, F.lit(True)).unionByName(
+            mark_newest(union_by_name(touched, arrived), spec.keys, order, hot)
+        )
 
     current = F.col(NEWEST) & is_active(spec)
     return ranked.select(

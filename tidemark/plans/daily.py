@@ -144,8 +144,7 @@ def load_versions(
         counts = KeyCounts.few(rows, spec.keys, total)
     else:
         counts = count_keys(rows, spec.keys)
-    touched_only = large and counts.fits_broadcast(broadcast_bytes)
-    stepped = step(existing, rows, spec, batch_date, counts, rows_per_task, touched_only)
+    stepped = step(existing, rows, spec, batch_date, counts, rows_per_task, large, broadcast_bytes)
     counted = Observation()
     stepped = stepped.observe(
         counted,

@@ -14,6 +14,8 @@ CURRENT = "current"
 CLOSED = "closed"
 BATCH = "batch_dt"
 
+_FLOATING = ("float", "double")
+
 FULL = "full"
 FACT = "fact"
 VERSIONED = "versioned"
@@ -55,6 +57,9 @@ class Dataset:
             raise ValueError(f"{self.name}: unknown load {self.load!r}")
         if self.load == VERSIONED and not (self.keys and self.version_order and self.active):
             raise ValueError(f"{self.name}: a versioned dataset needs keys, version_order and active")
+        floating = [k for k in self.keys if k in self.schema.names and self.schema[k].dataType.typeName() in _FLOATING]
+        if floating:
+            raise ValueError(f"{self.name}: floating point keys {floating}")
         known = {*self.schema.names, EFF_START}
         named = {*self.keys, *self.ties, *self.required, *self.partition_by}
         if self.version_order:
