@@ -156,9 +156,14 @@ def test_full_and_fact(spark, tmp_path):
 def test_facts_of_many_plans_are_gathered(spark, tmp_path, plans, gathered):
     facts = BatchTable(spark, str(tmp_path), TRANSACTIONS)
     rows = spark.range(0, 3000, 1, 6).selectExpr(
-        "CAST(id AS INT) AS transaction_id", "1 AS user_id", "1 AS subs_id", f"CAST(id % {plans} AS INT) AS price_plan_id",
-        "CAST(1 AS DECIMAL(18,2)) AS transaction_amount", "CAST(NULL AS TIMESTAMP) AS transaction_created_timestamp",
-        "CAST(NULL AS TIMESTAMP) AS transaction_updated_timestamp", "'paid' AS transaction_status",
+        "CAST(id AS INT) AS transaction_id",
+        "1 AS user_id",
+        "1 AS subs_id",
+        f"CAST(id % {plans} AS INT) AS price_plan_id",
+        "CAST(1 AS DECIMAL(18,2)) AS transaction_amount",
+        "CAST(NULL AS TIMESTAMP) AS transaction_created_timestamp",
+        "CAST(NULL AS TIMESTAMP) AS transaction_updated_timestamp",
+        "'paid' AS transaction_status",
     )
     load_fact(facts, rows, DAYS[0])
     assert facts.read(DAYS[:1]).count() == 3000

@@ -18,7 +18,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("batch_date", help="yyyymmdd")
     come_from = parser.add_mutually_exclusive_group(required=True)
     come_from.add_argument("--deliveries", help="folder with <dataset>_<yyyymmdd>.csv")
-    come_from.add_argument("--source", help="folder with a folder per dataset; new files are landed as of the batch date")
+    come_from.add_argument("--source", help="folder with a folder per dataset; new files are landed first")
     parser.add_argument("--landing", help="with --source: folder for landed lines")
     parser.add_argument("--checkpoint", help="with --source: folder that remembers the landed files")
     parser.add_argument("--checked", required=True, help="folder for checked deliveries")
