@@ -93,6 +93,7 @@ def test_all_cancelled_leaves_a_readable_snapshot(spark, tmp_path):
 
 
 WAYS = [{"large_snapshot": -1}, {"large_snapshot": -1, "rows_per_task": 1}, {"total": 2}]
+WAYS += [{"large_snapshot": -1, "broadcast_bytes": 90}, {"large_snapshot": -1, "broadcast_bytes": -1}]
 
 
 @pytest.mark.parametrize("options", WAYS, ids=str)

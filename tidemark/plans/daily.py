@@ -98,7 +98,7 @@ def _partition_values(spec: Dataset) -> Column:
 
 
 def refused_rows(spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots) -> DataFrame:
-    """The rows of a checked delivery that were not loaded, as delivered and why."""
+    """The rows of a checked delivery with a cell or value amiss, and what; not loaded unless as NULL."""
     kept = f"{roots.checked}/{spec.name}/{BATCH}={batch_date.isoformat()}"
     schema = StructType([*spec.schema.fields, StructField(RAW, StringType()), StructField(REASON, StringType())])
     return spark.read.schema(schema).parquet(kept).where(F.col(REASON).isNotNull())
