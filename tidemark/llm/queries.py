@@ -1,6 +1,6 @@
 """All registered queries of the corpus operators."""
 
-from tidemark.llm import sharding, toxicity, vector_search  # noqa: F401
+from tidemark.llm import license_scan, sharding, toxicity, vector_search  # noqa: F401
 from tidemark.llm.registry import LLM_QUERIES, LLM_SQL
 
 __all__ = ["LLM_QUERIES", "LLM_SQL"]
