@@ -1,6 +1,6 @@
 """All registered queries of the corpus operators."""
 
-from tidemark.llm import decontamination, license_scan, ngram_join, packing, sharding, token_files, toxicity, vector_search  # noqa: F401
+from tidemark.llm import decontamination, license_scan, ngram_join, packing, pii, sharding, token_files, toxicity, vector_search  # noqa: F401
 from tidemark.llm.registry import LLM_QUERIES, LLM_SQL
 
 __all__ = ["LLM_QUERIES", "LLM_SQL"]
