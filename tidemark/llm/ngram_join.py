@@ -36,6 +36,8 @@ WORDS = 3
 SHARE = (90, 100)  # 100 * intersection >= 90 * union
 FREQUENT = 16  # classes
 FREQUENT_TOKENS = 1_000_000  # kept as frequent at most: the most frequent ones
+SKETCH_BITS = (512, 8192)  # of sets of fewer than LARGE_SET tokens, and of larger ones
+LARGE_SET = 1500
 BROADCAST_ROWS = 1_000_000  # ids sent to every task at most; beyond, rows are shuffled
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -79,6 +81,13 @@ def first_tokens(tokens: np.ndarray) -> np.ndarray:
     return tokens[: 2 * needed(len(tokens)) + 8] if linkable(len(tokens)) else tokens[:0]
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the tokens dealt into cells: two sets with as many cells differ in at least as many tokens as cells."""
+    bits = SKETCH_BITS[len(tokens) >= LARGE_SET]
+    cells = np.bincount((_mixed(tokens * _MIX[2]) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def size_class(size: int) -> int:
     """Sets of the wanted similarity are in the same class or in neighbouring ones."""
     return int(np.floor(np.log(size) / -np.log(0.89)))
@@ -144,7 +153,7 @@ def _key(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def sets(documents: DataFrame) -> DataFrame:
-    """One row per document: row, doc_id, k1 and k2 (key of its set), n, first (its first tokens)."""
+    """One row per document: row, doc_id, k1 and k2 (key of its set), n, first (its first tokens), sketch."""
 
     def made(ids, texts):
         found = [shingles(t) for t in texts]
@@ -155,9 +164,10 @@ def sets(documents: DataFrame) -> DataFrame:
             "k2": [k[1] for k in keys],
             "n": [len(x) for x in found],
             "first": [_signed(first_tokens(x)) for x in found],
+            "sketch": [sketch(x).tolist() for x in found],
         }
 
-    schema = "doc_id long, k1 long, k2 long, n long, first array<long>"
+    schema = "doc_id long, k1 long, k2 long, n long, first array<long>, sketch array<long>"
     return stored(map_rows(documents, made, schema, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
@@ -181,7 +191,9 @@ def whole_sets(documents: DataFrame, classes: DataFrame) -> DataFrame:
 
     texts = _only(documents.select("doc_id", "text"), classes, ["doc_id"])
     again = map_rows(texts, made, "k1 long, k2 long, tokens binary", "text")
-    return again.join(classes.select("cls", "n", "k1", "k2"), ["k1", "k2"]).dropDuplicates(["cls"]).select("cls", "n", "tokens")
+    keys = classes.select("cls", "n", "k1", "k2")
+    keys = F.broadcast(keys) if classes.count() <= BROADCAST_ROWS else keys
+    return again.join(keys, ["k1", "k2"]).dropDuplicates(["cls"]).select("cls", "n", "tokens")
 
 
 def frequent_tokens(first: DataFrame) -> np.ndarray:
@@ -207,7 +219,7 @@ def index(documents: DataFrame, classes: DataFrame) -> DataFrame:
     schema = "cls long, n long, entries array<long>"
     tried = stored(map_rows(classes, by_first, schema, "cls", "n", "first"), "entries")
     lacking = classes.join(tried.where("entries IS NULL").select("cls"), "cls", "left_semi")
-    rest = map_rows(whole_sets(documents, stored(lacking.drop("first"), "lacking")), by_all, schema, "cls", "n", "tokens")
+    rest = map_rows(whole_sets(documents, stored(lacking.drop("first", "sketch"), "lacking")), by_all, schema, "cls", "n", "tokens")
     flat = tried.where("entries IS NOT NULL").unionByName(rest)
     return flat.select("cls", "n", F.explode(F.array_distinct("entries")).alias("entry"))
 
@@ -216,11 +228,23 @@ def _similar_sizes(a: str, b: str) -> F.Column:
     return F.lit(SHARE[1]) * F.least(a, b) >= F.lit(SHARE[0]) * F.greatest(a, b)
 
 
+def _may_be_similar(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs whose sketches differ in no more cells than the sets may differ in tokens; loses no link."""
+    for side in ("a", "b"):
+        known = classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}n"), F.col("sketch").alias(f"{side}s"))
+        pairs = pairs.join(known, side)
+    cells = F.aggregate(F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    cells = F.when(F.size("as") == F.size("bs"), cells).otherwise(0)
+    both = F.col("an") + F.col("bn")
+    least = F.ceil(both * F.lit(SHARE[0]) / F.lit(SHARE[0] + SHARE[1]))
+    return pairs.where(cells <= both - 2 * least).select("a", "b")
+
+
 def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs a, b of classes whose whole sets are similar."""
-    pairs = stored(pairs, "candidates")
+    pairs = stored(_may_be_similar(classes, pairs), "candidates")
     involved = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = stored(classes.join(involved, "cls", "left_semi").drop("first"), "involved")
+    wanted = stored(classes.join(involved, "cls", "left_semi").drop("first", "sketch"), "involved")
     held = stored(whole_sets(documents, wanted).select("cls", "tokens"), "whole-sets")
     left = held.select(F.col("cls").alias("a"), F.col("tokens").alias("left"))
     right = held.select(F.col("cls").alias("b"), F.col("tokens").alias("right"))
@@ -266,10 +290,13 @@ def join(documents: DataFrame) -> DataFrame:
     """doc_id, row, n_shingles, component_id of every document."""
     rows = sets(documents)
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least_id"))
-    members = stored(rows.drop("first").join(groups, ["k1", "k2"], "left"), "members")
+    members = stored(rows.drop("first", "sketch").join(groups, ["k1", "k2"], "left"), "members")
     reps = members.where("row = cls").select("cls")
     classes = stored(
-        _only(rows.withColumn("cls", F.col("row")), reps, ["cls"]).select("cls", "doc_id", "k1", "k2", "n", "first"), "classes"
+        _only(rows.withColumn("cls", F.col("row")), reps, ["cls"]).select(
+            "cls", "doc_id", "k1", "k2", "n", "first", "sketch"
+        ),
+        "classes",
     )
     found = linked_classes(documents, classes)
     placed = _with_component(members.where("n > 0").select("cls", "least_id").distinct(), found, "cls")
