@@ -159,8 +159,8 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    leaked = found_items(documents, benchmark).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    leaked = found_items(documents, benchmark).select(F.col("doc_id").alias("__leaked_id"), F.col("text_hash").alias("__leaked_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__leaked_id")) & (F.xxhash64("text") == F.col("__leaked_hash"))
     return documents.join(_few(stored(leaked, "leaked")), same, "left_anti")
 
 

@@ -25,7 +25,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stored, table
@@ -153,13 +153,14 @@ def _key(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def sets(documents: DataFrame) -> DataFrame:
-    """One row per document: row, doc_id, k1 and k2 (key of its set), n, first (its first tokens), sketch."""
+    """One row per document: row, doc_id, text_hash, k1 and k2 (key of its set), n, first (its first tokens), sketch."""
 
-    def made(ids, texts):
+    def made(ids, hashes, texts):
         found = [shingles(t) for t in texts]
         keys = [_key(x) for x in found]
         return {
             "doc_id": ids,
+            "text_hash": hashes,
             "k1": [k[0] for k in keys],
             "k2": [k[1] for k in keys],
             "n": [len(x) for x in found],
@@ -167,8 +168,10 @@ def sets(documents: DataFrame) -> DataFrame:
             "sketch": [sketch(x).tolist() for x in found],
         }
 
-    schema = "doc_id long, k1 long, k2 long, n long, first array<long>, sketch array<long>"
-    return stored(map_rows(documents, made, schema, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "shingles")
+    schema = "doc_id long, text_hash long, k1 long, k2 long, n long, first array<long>, sketch array<long>"
+    held = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    made_sets = map_rows(held, made, schema, "doc_id", "text_hash", "text")
+    return stored(made_sets.withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
 def _only(frame: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
@@ -287,7 +290,7 @@ def linked_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def join(documents: DataFrame) -> DataFrame:
-    """doc_id, row, n_shingles, component_id of every document."""
+    """doc_id, row, text_hash, n_shingles, component_id of every document."""
     rows = sets(documents)
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least_id"))
     members = stored(rows.drop("first", "sketch").join(groups, ["k1", "k2"], "left"), "members")
@@ -302,9 +305,36 @@ def join(documents: DataFrame) -> DataFrame:
     placed = _with_component(members.where("n > 0").select("cls", "least_id").distinct(), found, "cls")
     ids = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = placed.select("cls", "component").join(ids, "component").select("cls", "component_id")
-    whole = members.select("doc_id", "row", "n", "cls").join(named, "cls", "left")
+    whole = members.select("doc_id", "row", "text_hash", "n", "cls").join(named, "cls", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return whole.select("doc_id", "row", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return whole.select("doc_id", "row", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """``documents`` with one document of every component: that with the component's id. Rows without words all stay.
+
+    Where ids repeat, the first row of the component with that id stays.
+    """
+    found = stored(join(documents), "components")
+    named = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # rows with one id and different texts may be in one component or in several
+    heads = named.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = heads.where("rows > 1").count() > 0
+    kept = named.unionByName(found.where("n_shingles = 0"))
+    if repeated:
+        worded = named.select("doc_id", "text_hash", "row").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row"))
+        first = Window.partitionBy("doc_id").orderBy("row")
+        single = worded.withColumn("nth", F.row_number().over(first)).where("nth = 1")
+        kept = single.select("doc_id", "text_hash").unionByName(found.where("n_shingles = 0").select("doc_id", "text_hash"))
+    wanted = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).distinct()
+    few = wanted.count() <= BROADCAST_ROWS
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.xxhash64("text") == F.col("__kept_hash"))
+    held = documents.join(F.broadcast(wanted) if few else wanted, same, "left_semi")
+    if not repeated:
+        return held
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64("text"))
+    wordless = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == ""
+    return held.withColumn("__nth", F.row_number().over(order)).where((F.col("__nth") == 1) | wordless).drop("__nth")
 
 
 @query()

@@ -275,6 +275,18 @@ def score(documents: DataFrame, model: Model, *keep: str) -> DataFrame:
     return map_rows(documents, scored, f"{types}, score double, predicted int", *names)
 
 
+def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents`` that are not predicted toxic, with all their columns."""
+    small_batches(documents.sparkSession)
+
+    def keep(parts):
+        for part in parts:
+            if part.num_rows:
+                yield part.filter(pa.array(model.score(part.column("text").to_pylist()) < THRESHOLD))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 @query()
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
