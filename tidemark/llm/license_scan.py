@@ -28,9 +28,9 @@ LONG_COVER = 12
 
 # The phrases every scan looks for, and the label of each.
 PHRASES = (
-    (("mit", "license"), "mit"),
-    (("apache", "license"), "apache"),
-    (("general", "public", "license"), "gpl"),
+    ((b"mit", b"license"), "mit"),
+    ((b"apache", b"license"), "apache"),
+    ((b"general", b"public", b"license"), "gpl"),
 )
 
 # Notices and passages of public licences, by label.
