@@ -79,3 +79,41 @@ def test_failed_batch_is_tried_again(spark, tmp_path):
     (tmp_path / "in" / "users" / "users_20250120.csv").write_text("id,name\n1,ann\n")
     assert [r.ok for r in run()] == [False]
     assert [r.ok for r in run()] == [False]
+
+
+def test_failed_reload_is_tried_again(spark, tmp_path, monkeypatch):
+    import tidemark.streaming.arrivals as arrivals
+
+    roots = Roots("", str(tmp_path / "checked"), str(tmp_path / "tables"), str(tmp_path / "landing"))
+    run = lambda: run_arrivals(spark, str(tmp_path / "in"), str(tmp_path / "memory"), roots, [USERS])
+    drop(tmp_path / "in" / "users", "users_20250120.csv", USERS, user(1, DAYS[0]))
+    assert [r.current for r in run()] == [1]
+    drop(tmp_path / "in" / "users", "more_20250120.csv", USERS, user(2, DAYS[0]))
+    works = arrivals.load_dataset
+    failed = lambda spark, spec, batch, *_: arrivals.LoadReport(spec.name, batch, ok=False, message="lost")
+    monkeypatch.setattr(arrivals, "load_dataset", failed)
+    assert [r.ok for r in run()] == [False]
+    monkeypatch.setattr(arrivals, "load_dataset", works)
+    assert [(r.ok, r.current) for r in run()] == [(True, 2)]
+    assert run() == []
+
+
+def test_no_file_is_lost(spark, tmp_path):
+    roots = Roots("", str(tmp_path / "checked"), str(tmp_path / "tables"), str(tmp_path / "landing"))
+    source = tmp_path / "in" / "users"
+    run = lambda memory: run_arrivals(spark, str(tmp_path / "in"), str(tmp_path / memory), roots, [USERS])
+    drop(source, "users_20250120.csv", USERS, user(1, DAYS[0]))
+    assert [r.current for r in run("memory")] == [1]
+    drop(source, "users_20250121.csv", USERS, user(2, DAYS[1]))
+    drop(source, "undated.csv", USERS, user(3, DAYS[1]))
+    os.utime(source / "users_20250121.csv", (0, 0))
+    found = run("memory")
+    assert [(r.batch_date, r.ok) for r in found] == [(DAYS[1], True), (None, False)]
+    assert "undated.csv" in found[1].message
+
+    for name in os.listdir(source):
+        if name.endswith(".csv"):
+            (source / name).write_text("")
+    drop(source, "later_20250121.csv", USERS, user(4, DAYS[1]))
+    found = {r.batch_date: r for r in run("other memory")}  # its first micro-batch replaces no earlier one
+    assert found[DAYS[1]].ok and found[DAYS[1]].accepted == 2

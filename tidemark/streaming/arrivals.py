@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import LoadReport, Roots, load_dataset, register_loaded
 from tidemark.session import prepare
-from tidemark.sources import BatchTable
-from tidemark.sources.landing import ARRIVAL, raw_lines, write_landed
-from tidemark.sources.tables import batch_folders, batches_with
+from tidemark.sources.landing import ARRIVAL, LANDED, raw_lines, write_landed
+from tidemark.sources.tables import NO_VALUE, batch_folders, batches_with, file_system
 from tidemark.specs import BATCH, DATASETS, Dataset
 
-# A file is also picked up if it is this much older than the newest one seen.
-MAX_FILE_AGE = "3650d"
+# Spark passes over files that are older than the newest one seen by more than this; no file is.
+MAX_FILE_AGE = "3650000d"
+# Marks a landed arrival whose batch was loaded with it.
+LOADED = "_LOADED"
 
 
 def land_arrivals(
@@ -31,7 +33,8 @@ def land_arrivals(
     """Land all files below ``source`` that no earlier call has landed, then return.
 
     The checkpoint remembers the files.  Each micro-batch replaces its own arrival
-    partition, so one that is run again after a failure lands its files once.  The
+    partition, so one that is run again after a failure lands its files once; partitions are named by
+    checkpoint too, so another checkpoint never replaces them.  The
     batch is ``batch_date`` or else the ``_yyyymmdd`` in the file's path; files with neither
     are kept without a batch.  ``landed`` is called with the arrival before the
     micro-batch counts as done.
@@ -47,7 +50,7 @@ def land_arrivals(
     lines = raw_lines(files.text(source)).withColumn(BATCH, batch)
 
     def store(micro_batch: DataFrame, epoch: int) -> None:
-        arrival = f"epoch-{epoch:06d}"
+        arrival = f"{_identity(spark, checkpoint)}-epoch-{epoch:06d}"
         write_landed(micro_batch, landing, arrival)
         if landed is not None:
             landed(arrival)
@@ -61,6 +64,35 @@ def land_arrivals(
     )
 
 
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """The start of the identifier that Spark keeps in a checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"].split("-")[0]
+
+
+def arrival_folders(spark: SparkSession, landing: str, batch: str = "*", entry: str = "") -> set[str]:
+    """Folders of landed arrivals with a batch, or of those that contain an entry."""
+    files, path = file_system(spark, f"{landing}/{BATCH}={batch}/{ARRIVAL}=*{entry and '/' + entry}")
+    found = [f.getPath() for f in files.globStatus(path) or []]
+    return {(p.getParent() if entry else p).toString() for p in found}
+
+
+def waiting_batches(spark: SparkSession, landing: str) -> list[date]:
+    """Batches with an arrival that no successful load has read."""
+    waiting = arrival_folders(spark, landing) - arrival_folders(spark, landing, entry=LOADED)
+    values = {folder.rsplit("/", 2)[1].split("=", 1)[1] for folder in waiting}
+    return sorted(date.fromisoformat(value) for value in values - {NO_VALUE})
+
+
+def undated_files(spark: SparkSession, landing: str) -> list[str]:
+    """Some of the landed files that belong to no batch, because neither caller nor name gives a date."""
+    folder = f"{landing}/{BATCH}={NO_VALUE}"
+    files, path = file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    rows = spark.read.schema(LANDED).option("basePath", landing).parquet(folder).select("file_path").distinct()
+    return sorted(r["file_path"] for r in rows.limit(5).collect())
+
+
 def batches_of(spark: SparkSession, landing: str, arrival: str | None = None) -> list[date]:
     """Landed batch dates, oldest first, of all arrivals or of one; lists folders, reads no file."""
     batches = batch_folders(spark, landing)
@@ -76,11 +108,13 @@ def run_arrivals(
     batch_date: date | None = None,
     bad_rows: str = "refuse",
     catalog: str | None = None,
+    limits: Mapping[str, int] | None = None,
 ) -> list[LoadReport]:
     """Land what is new below ``<source>/<dataset>`` and load the batches it belongs to.
 
     A batch that gets further files later is loaded again as a whole.
-    Batches that were landed but never stored are tried again.
+    Batches are tried again until a load has read all their arrivals.  Files without a date are
+    reported by every call: they are landed, but belong to no batch.
     """
     prepare(spark)
     reports: list[LoadReport] = []
@@ -88,7 +122,12 @@ def run_arrivals(
         landing = f"{roots.landing}/{spec.name}"
 
         def load(batches: list[date], spec: Dataset = spec) -> None:
-            reports.extend(load_dataset(spark, spec, batch, roots, bad_rows) for batch in batches)
+            for batch in batches:
+                arrived = arrival_folders(spark, f"{roots.landing}/{spec.name}", batch.isoformat())
+                reports.append(load_dataset(spark, spec, batch, roots, bad_rows, limits))
+                for folder in arrived if reports[-1].ok else ():
+                    files, marker = file_system(spark, f"{folder}/{LOADED}")
+                    files.create(marker, True).close()
 
         def load_arrival(arrival: str, landing: str = landing, load: Callable = load) -> None:
             load(batches_of(spark, landing, arrival))
@@ -97,8 +136,9 @@ def run_arrivals(
             spark, f"{source}/{spec.name}", landing, f"{checkpoint}/{spec.name}", batch_date, landed=load_arrival
         )
         done = {r.batch_date for r in reports if r.dataset == spec.name}
-        done.update(BatchTable(spark, roots.tables, spec).batches())
-        load([batch for batch in batches_of(spark, landing) if batch not in done])
+        load([batch for batch in waiting_batches(spark, landing) if batch not in done])
+        if undated := undated_files(spark, landing):
+            reports.append(LoadReport(spec.name, None, ok=False, message=f"no date in the names of files such as {undated}"))
     if catalog is not None:
         register_loaded(spark, roots, datasets, reports, catalog)
     return reports
