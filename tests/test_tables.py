@@ -71,6 +71,9 @@ def test_running_a_batch_again_changes_nothing(spark, table):
 
 def test_unfinished_batch_is_not_seen(table):
     os.remove(f"{table.batch_path(DAYS[2])}/_SUCCESS")
+    assert table.batches() == DAYS
+    os.remove(f"{table.batch_path(DAYS[2])}/_FINISHED")
+    assert table.unfinished(date(2025, 2, 1)) == [DAYS[2]]
     assert table.batches() == DAYS[:2]
     assert table.previous(date(2025, 2, 1)) == DAYS[1]
     assert starts(table.current()) == [(1, "01-21")]

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from tidemark.sources.tables import DROPPED, BatchTable, file_system
+from tidemark.sources.tables import DROPPED, FINISHED, BatchTable, file_system
 from tidemark.specs import CURRENT, STATUS
 
 
@@ -35,6 +35,8 @@ def write_batch(df: DataFrame, table: BatchTable, batch_date: date, gather: bool
     if gather is None:
         gather = bool(spec.partition_by)
     write_partitioned(df, table.batch_path(batch_date), spec.stored_partitions, gather)
+    files, marker = file_system(table.spark, f"{table.batch_path(batch_date)}/{FINISHED}")
+    files.create(marker, True).close()
 
 
 def drop_old_snapshots(table: BatchTable, keep: int = 2) -> list[date]:

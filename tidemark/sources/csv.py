@@ -44,15 +44,19 @@ def refusal(spec: Dataset) -> Column:
     return reduce(lambda c, name: c.when(F.col(name).isNull(), F.lit(f"missing {name}")), spec.required, start)
 
 
-def found_header(spark: SparkSession, path: str) -> list[str]:
+def separator(spec: Dataset) -> str:
+    return spec.csv_options.get("sep") or spec.csv_options.get("delimiter") or ","
+
+
+def found_header(spark: SparkSession, path: str, spec: Dataset) -> list[str]:
     """Column names in the first line of a delivery; reads one line, not the file."""
     line = spark.read.text(path).first()
-    return [] if line is None else [cell.strip().strip('"') for cell in line[0].split(",")]
+    return [] if line is None else [cell.strip().strip('"') for cell in line[0].split(separator(spec))]
 
 
 def check_header(spark: SparkSession, path: str, spec: Dataset) -> None:
     """Refuse a delivery by its first line, naming the columns that differ."""
-    found, declared = found_header(spark, path), spec.schema.names
+    found, declared = found_header(spark, path, spec), spec.schema.names
     if found != declared:
         raise HeaderMismatch(f"{spec.name}: header of {path} is {found}, declared {declared}")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
-from tidemark.sources.csv import RAW, REASON, HeaderMismatch, refusal
+from tidemark.sources.csv import RAW, REASON, HeaderMismatch, refusal, separator
 from tidemark.specs import BATCH, Dataset
 
 ARRIVAL = "arrival"
@@ -57,7 +57,9 @@ def read_lines(spark: SparkSession, landing: str, batch_date: date | None = None
 
 
 def _is_header(spec: Dataset) -> Column:
-    return F.translate("line", '" \t\r', "") == F.lit(",".join(spec.schema.names))
+    sep = separator(spec)
+    ignored = "".join(c for c in '" \t\r' if c != sep)
+    return F.translate("line", ignored, "") == F.lit(sep.join(spec.schema.names))
 
 
 def files_without_header(lines: DataFrame, spec: Dataset) -> DataFrame:
@@ -76,6 +78,8 @@ def parse_landed(lines: DataFrame, spec: Dataset) -> DataFrame:
 
 def read_landed(spark: SparkSession, landing: str, spec: Dataset, batch_date: date) -> DataFrame:
     """Parse the landed lines of one batch; a file without the declared header refuses the batch."""
+    if str(spec.csv_options.get("multiLine", "")).lower() == "true":
+        raise ValueError(f"{spec.name}: rows with line breaks cannot be landed line by line, load the files directly")
     lines = read_lines(spark, landing, batch_date)
     wrong = files_without_header(lines, spec).first()
     if wrong is not None:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.versions import as_of
 from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
+# Written by the engine after a batch's write has returned; committers may leave out their own marker.
+FINISHED = "_FINISHED"
+_COMMITTED = "_SUCCESS"
 # Marks a batch whose current rows were deleted.
 DROPPED = "_SNAPSHOT_DROPPED"
 # How a partition folder spells NULL.
@@ -62,7 +65,12 @@ class BatchTable:
     def batches(self, after: date | None = None) -> list[date]:
         """Finished batches, oldest first, of all dates or of those after one."""
         dates = [b for b in self._folders() if after is None or b > after]
-        return self._with(dates, "_SUCCESS")
+        return self._finished(dates)
+
+    def unfinished(self, before: date) -> list[date]:
+        """Batch folders before a date, after the newest finished one, that a lost write left behind."""
+        dates, newest = [b for b in self._folders() if b < before], self.previous(before)
+        return [b for b in dates if newest is None or b > newest]
 
     def newest(self) -> date | None:
         return self._newest(self._folders())
@@ -72,7 +80,12 @@ class BatchTable:
         return self._newest([b for b in self._folders() if b < batch_date])
 
     def _newest(self, dates: list[date]) -> date | None:
-        return next((b for b in reversed(dates) if self._with([b], "_SUCCESS")), None)
+        return next((b for b in reversed(dates) if self._finished([b])), None)
+
+    def _finished(self, batches: list[date]) -> list[date]:
+        marked = set(self._with(batches, FINISHED))
+        marked.update(self._with([b for b in batches if b not in marked], _COMMITTED))
+        return [b for b in batches if b in marked]
 
     def _folders(self) -> list[date]:
         return batch_folders(self.spark, self.location)
