@@ -100,9 +100,16 @@ def test_reactivated_user(spark):
 
 
 def test_text_timestamps_are_cast_to_the_declared_type(spark):
-    incoming = subs(spark, ("01-21", None)).withColumn("subs_cancel_timestamp", F.lit("open"))
-    stepped = step(stored_subs(spark), incoming, SUBSCRIPTIONS, TODAY)
+    text = lambda value: subs(spark, ("01-21", None)).withColumn("subs_cancel_timestamp", F.lit(value).cast("string"))
+    stepped = step(stored_subs(spark), text(None), SUBSCRIPTIONS, TODAY)
     assert intervals(stepped) == [(CURRENT, "01-21", "01-21", None)]
+    with pytest.raises(Exception, match="does not fit"):  # NULL would open a cancelled subscription again
+        step(stored_subs(spark), text("2025-01-21 25:61"), SUBSCRIPTIONS, TODAY).collect()
+    large = subs(spark, ("01-21", None)).withColumn("user_id", F.lit(1 << 40))
+    with pytest.raises(Exception, match="does not fit"):
+        step(stored_subs(spark), large, SUBSCRIPTIONS, TODAY).collect()
+    stepped = step(stored_subs(spark), text("2025-01-21 08:00:00"), SUBSCRIPTIONS, TODAY)
+    assert intervals(stepped) == [(CLOSED, "01-21", "01-21", "01-21")]
     assert dict(stepped.dtypes)["subs_cancel_timestamp"] == "timestamp"
 
 

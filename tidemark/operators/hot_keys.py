@@ -50,9 +50,9 @@ class KeyCounts:
         return replace(self, table=checkpointed(self.table), kept=True) if self.slow else self
 
     @classmethod
-    def few(cls, df: DataFrame, keys: Sequence[str], rows: int) -> KeyCounts:
+    def few(cls, df: DataFrame, keys: Sequence[str], rows: int, rows_per_task: int = ROWS_PER_TASK) -> KeyCounts:
         """Upper bounds for a frame known to have so few rows that no key can be hot; runs no job."""
-        if rows > ROWS_PER_TASK:
+        if rows > rows_per_task:
             raise ValueError(f"{rows} rows may hold a hot key, count them")
         return cls(_per_key(df, keys), tuple(keys), rows, rows, rows, None)
 

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Collection
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Cast columns to the declared types; a value that does not fit becomes NULL."""
+def conform(df: DataFrame, schema: StructType, decisive: Collection[str] = ()) -> DataFrame:
+    """Cast columns to the declared types.
+
+    A value that does not fit becomes NULL, except in a ``decisive`` column, where it is an error: there NULL
+    would mean something else, such as that a subscription was never cancelled.
+    """
     declared = {f.name: f.dataType for f in schema.fields}
+
+    def fitted(name: str) -> Column:
+        value = F.col(name).try_cast(declared[name])
+        if name not in decisive:
+            return value
+        message = F.concat(F.lit(f"{name} does not fit {declared[name].simpleString()}: "), F.col(name).cast("string"))
+        return F.when(F.col(name).isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
     casts = {
-        f.name: F.col(f.name).try_cast(declared[f.name])
+        f.name: fitted(f.name)
         for f in df.schema.fields
         if f.name in declared and f.dataType != declared[f.name]
     }

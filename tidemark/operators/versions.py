@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import current_status, is_active, newest_first, oldest_first, same_key
-from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK, SPLITS, KeyCounts, count_keys
+from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK, SPLITS, KeyCounts, checkpointed, count_keys
 from tidemark.operators.newest import NEWEST, mark_newest, split_rows
 from tidemark.operators.touched import divide
 from tidemark.operators.union import conform, union_by_name
@@ -51,7 +51,7 @@ def step(
     the price of reading ``existing`` twice: right for a large stored snapshot.  Closed rows
     then all come out of the shuffle, in few files, and not one by one from wherever they were stored.
     """
-    incoming = conform(incoming, spec.schema)
+    incoming = conform(incoming, spec.schema, spec.decisive)
     counts = counts or count_keys(incoming, spec.keys)
     arrived = stamp_open(incoming, batch_date)
     order = newest_first(spec)
@@ -62,6 +62,8 @@ def step(
         ranked = mark_newest(union_by_name(existing, arrived), spec.keys, order, hot)
     else:
         untouched, touched = divided
+        if hot is not None:  # read by each branch of the ranking
+            touched = checkpointed(touched)
         ranked = untouched.withColumn(NEWEST, F.lit(True)).unionByName(
             mark_newest(union_by_name(touched, arrived), spec.keys, order, hot)
         )
@@ -113,7 +115,7 @@ def _with_interval(df: DataFrame, spec: Dataset, batch: str) -> DataFrame:
         *spec.schema.names,
         F.col(batch).alias(EFF_START),
         end.alias(EFF_END),
-        current_status(end.isNull()).alias(STATUS),
+        current_status(is_active(spec) & F.col("_next").isNull()).alias(STATUS),
     )
 
 

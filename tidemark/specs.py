@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -67,6 +68,14 @@ class Dataset:
         if named - known:
             raise ValueError(f"{self.name}: unknown columns {sorted(named - known)}")
 
+    @property
+    def decisive(self) -> tuple[str, ...]:
+        """Columns that decide what becomes of a row of a history: keys, version order, activity."""
+        if not self.versioned:
+            return ()
+        read = set(re.findall(r"\w+", self.active)) | {*self.keys, self.version_order}
+        return tuple(name for name in self.schema.names if name in read)
+
     @property
     def versioned(self) -> bool:
         return self.load == VERSIONED
