@@ -25,6 +25,8 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--tables", required=True, help="folder of the stored tables")
     parser.add_argument("--dataset", action="append", choices=[d.name for d in DATASETS], help="default: all")
     parser.add_argument("--bad-rows", choices=["refuse", "null"], default="refuse")
+    parser.add_argument("--broadcast-mb", type=int, help="largest list or bitmap of delivered keys to broadcast")
+    parser.add_argument("--large-snapshot-mb", type=int, help="snapshots above are read twice to spare a shuffle")
     parser.add_argument("--catalog", help="database in which to register the tables")
     try:
         given = parser.parse_args(arguments)
@@ -42,7 +44,9 @@ def main(arguments: list[str] | None = None) -> int:
         builder = builder.enableHiveSupport()
     spark = builder.getOrCreate()
     datasets = [d for d in DATASETS if not given.dataset or d.name in given.dataset]
-    options = {"bad_rows": given.bad_rows, "catalog": given.catalog}
+    sizes = {"broadcast_bytes": given.broadcast_mb, "large_snapshot": given.large_snapshot_mb}
+    limits = {name: mb << 20 for name, mb in sizes.items() if mb is not None}
+    options = {"bad_rows": given.bad_rows, "catalog": given.catalog, "limits": limits}
     if given.source:
         roots = Roots("", given.checked, given.tables, given.landing)
         reports = run_arrivals(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,14 @@ class Roots:
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What one load did; ``stale`` lists later batches that must now be run again."""
+    """What one load did.
+
+    ``stale`` lists later batches that must now be run again, ``unfinished`` earlier ones whose write was lost:
+    the load passed over them, and is to be run again after them.  Files without a date have no ``batch_date``.
+    """
 
     dataset: str
-    batch_date: date
+    batch_date: date | None
     ok: bool
     message: str = ""
     accepted: int = 0
@@ -47,6 +52,7 @@ class LoadReport:
     current: int = 0
     closed: int = 0
     stale: tuple[date, ...] = ()
+    unfinished: tuple[date, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -65,7 +71,8 @@ def check_delivery(
     """Parse a delivery once and keep it as Parquet, refused rows with their reason.
 
     Everything after this reads columns, not text.  ``bad_rows="null"`` accepts all
-    rows, with NULL for the cells that could not be read.
+    rows, with NULL for the cells that could not be read; of a history, malformed rows without a value in a
+    decisive column are refused even so, since the value may have been there.
     """
     if bad_rows not in ("refuse", "null"):
         raise ValueError(f"bad_rows must be refuse or null, got {bad_rows!r}")
@@ -76,7 +83,10 @@ def check_delivery(
         check_header(spark, path, spec)
         rows = read_checked(spark, path, spec)
 
-    refused = F.lit(False) if bad_rows == "null" else F.col(REASON).isNotNull()
+    refused = F.col(REASON).isNotNull()
+    if bad_rows == "null":
+        lost = reduce(lambda c, name: c | F.col(name).isNull(), spec.decisive, F.lit(False))
+        refused = F.col(RAW).isNotNull() & lost
     counted = Observation()
     rows = rows.observe(
         counted,
@@ -138,10 +148,13 @@ def load_versions(
     number of delivered rows, if known: few rows need no count per key.
     """
     spec = table.spec
-    existing = table.snapshot(table.previous(batch_date))
+    previous = table.previous(batch_date)
+    if previous is None and (left := table.unfinished(batch_date)):
+        raise LookupError(f"{spec.name}: no finished batch before {batch_date}, but unfinished ones: {left}")
+    existing = table.snapshot(previous)
     large = estimated_bytes(existing) > large_snapshot
     if total is not None and total <= rows_per_task and not large:
-        counts = KeyCounts.few(rows, spec.keys, total)
+        counts = KeyCounts.few(rows, spec.keys, total, rows_per_task)
     else:
         counts = count_keys(rows, spec.keys)
     stepped = step(existing, rows, spec, batch_date, counts, rows_per_task, large, broadcast_bytes)
@@ -161,9 +174,17 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def load_dataset(
-    spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots, bad_rows: str = "refuse"
+    spark: SparkSession,
+    spec: Dataset,
+    batch_date: date,
+    roots: Roots,
+    bad_rows: str = "refuse",
+    limits: Mapping[str, int] | None = None,
 ) -> LoadReport:
-    """Check and load one dataset; an error is reported, not raised, so that other loads go on."""
+    """Check and load one dataset; an error is reported, not raised, so that other loads go on.
+
+    ``limits`` are ``rows_per_task``, ``large_snapshot`` and ``broadcast_bytes`` of :func:`load_versions`.
+    """
     table = BatchTable(spark, roots.tables, spec)
     try:
         checked = check_delivery(spark, spec, batch_date, roots, bad_rows)
@@ -173,11 +194,12 @@ def load_dataset(
         elif spec.load == FACT:
             load_fact(table, checked.rows, batch_date, checked.partition_values)
         else:
-            written = load_versions(table, checked.rows, batch_date, checked.accepted)
+            written = load_versions(table, checked.rows, batch_date, checked.accepted, **(limits or {}))
+        unfinished = tuple(table.unfinished(batch_date)) if spec.versioned else ()
     except Exception as error:
         return LoadReport(spec.name, batch_date, ok=False, message=f"{type(error).__name__}: {error}")
     stale = tuple(table.batches(after=batch_date)) if spec.versioned else ()
-    return LoadReport(spec.name, batch_date, True, "", checked.accepted, checked.refused, stale=stale, **written)
+    return LoadReport(spec.name, batch_date, True, "", checked.accepted, checked.refused, stale=stale, unfinished=unfinished, **written)
 
 
 def run_batch(
@@ -187,14 +209,16 @@ def run_batch(
     datasets: Sequence[Dataset] = DATASETS,
     bad_rows: str = "refuse",
     catalog: str | None = None,
+    limits: Mapping[str, int] | None = None,
 ) -> list[LoadReport]:
     """Load all datasets of one date side by side, then register those that were loaded.
 
-    ``catalog`` is the database for the tables; without it nothing is registered.
+    ``catalog`` is the database for the tables; without it nothing is registered.  ``limits`` as for
+    :func:`load_dataset`.
     """
     prepare(spark)
     with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
-        reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows), datasets))
+        reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows, limits), datasets))
     if catalog is not None:
         register_loaded(spark, roots, datasets, reports, catalog)
     return reports
@@ -214,12 +238,15 @@ def backfill(table: BatchTable, versions: DataFrame, batch: str) -> bool:
     """Store a whole history in one pass, as the batch of its last delivery.
 
     Returns False, having written nothing, if there are no deliveries or if they are out of
-    version order: then only the daily steps give the right history.
+    version order: then only the daily steps give the right history.  Rows without a delivery date, and a
+    table that has batches already, are errors.
     """
-    if not arrives_in_order(versions, table.spec, batch):
-        return False
-    last = versions.agg(F.max(batch)).first()[0]
-    if last is None:
+    if stored := table.batches():
+        raise ValueError(f"{table.spec.name} has batches from {stored[0]} to {stored[-1]}; a back-fill would repeat them")
+    last, undated = versions.agg(F.max(batch), F.count_if(F.col(batch).isNull())).first()
+    if undated:
+        raise ValueError(f"{undated} rows of {table.spec.name} have no {batch}")
+    if last is None or not arrives_in_order(versions, table.spec, batch):
         return False
     write_batch(rebuild(versions, table.spec, batch), table, last)
     return True

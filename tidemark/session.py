@@ -20,12 +20,22 @@ _OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 def prepare(spark: SparkSession) -> None:
     """Settings the loads profit from, where the session leaves them at their default.
 
-    They stay set: Spark reads them both when it plans a write and when it runs it.
+    They stay set: Spark reads them both when it plans a write and when it runs it.  A cluster without a
+    shared folder is refused here, not on the first day that is large enough to need one.
     """
+    if _named_folder(spark) is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(_NO_FOLDER)
     if int(spark.conf.get(_OPEN_FILES_SETTING)) <= 0:
         spark.conf.set(_OPEN_FILES_SETTING, OPEN_FILES)
 
 
+_NO_FOLDER = "set spark.checkpoint.dir to a folder every executor can reach"
+
+
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A session for tests and benches; on a cluster the caller brings its own."""
     return (
@@ -46,12 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may leave it unset; it then gets a temporary folder that
     is removed when Python exits.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
+    if named := _named_folder(spark):
         return named.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        raise RuntimeError(_NO_FOLDER)
     if context.applicationId not in _local_folders:
         folder = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
