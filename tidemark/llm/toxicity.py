@@ -73,7 +73,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     hits = [i for i, w in enumerate(words) if w in known or w[:5] in starts or w[:6] in starts]
     near = sum(not SECOND_PERSON.isdisjoint(words[max(0, i - NEAR) : i + NEAR + 1]) for i in hits)
     persons = sum(map(words.count, ("you", "your", "du", "tu", "vous", "usted")))
-    masked = [m for m in _MASKED.findall(low) if lexicon.has(unmask(m))]
+    masked = [m for m in _MASKED.findall(low) if lexicon.has(unmask(m)) or lexicon.has(unmask(m.rstrip("!|*$")))]
     spaced = [m for m in _SPACED.findall(low) if lexicon.has(re.sub(r"[ .\-_*]", "", m))]
     stretched = [m for m in words if _REPEATED.search(m) and lexicon.has(_REPEATED.sub(r"\1", m))] if _REPEATED.search(low) else []
     hidden = len(masked) + len(spaced) + len(stretched)
