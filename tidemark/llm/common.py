@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.session import work_folder
 
 # Rows a Python worker holds at a time; long texts count by bytes as well.
-BATCH_ROWS = 512
+BATCH_ROWS = 4096
 BATCH_BYTES = 16 << 20
 _BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", str(BATCH_ROWS)),
@@ -64,16 +64,17 @@ def map_rows(frame: DataFrame, function: Callable[..., dict[str, list]], schema:
 
 
 def running_number(
-    frame: DataFrame, within: list[str], order: list[str], number: str, rows_per_bucket: int = 200_000
+    frame: DataFrame, within: list[str], order: list[str], number: str, rows: int | None = None, rows_per_bucket: int = 200_000
 ) -> DataFrame:
     """Number the rows of each group from 0 without gaps, with no task holding a whole group.
 
     Rows are dealt into buckets by a hash of ``order`` (which must tell rows of a group apart);
     each bucket is numbered by itself, then shifted by the rows of the group's earlier buckets.
+    ``rows`` is about how many rows there are; without it they are counted.
     """
     from pyspark.sql import Window
 
-    buckets = max(1, -(-frame.count() // rows_per_bucket))
+    buckets = max(1, -(-(frame.count() if rows is None else rows) // rows_per_bucket))
     placed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     counts = placed.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -233,7 +233,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most `capacity` rows
         counts[r["length"]] = r["n"]
     shared = spark.sparkContext.broadcast(places(pack_counts(counts, capacity), capacity))
-    numbered = running_number(cut, ["length"], ["row"], "number")
+    numbered = running_number(cut, ["length"], ["row"], "number", int(counts.sum()))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def placed(*values):

@@ -21,7 +21,7 @@ from tidemark.llm.common import running_number, stored, table
 from tidemark.llm.registry import query
 
 SHARDS = 8
-ROUNDS = 5
+ROUNDS = 4
 GROUP_PART = 1 / 16  # of a shard
 
 
@@ -54,25 +54,25 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
     part_rows = max(2, int(n * GROUP_PART / shards))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     parts = F.ceil(F.col("members") / part_rows)
-    placed = running_number(rows.select("id", "key"), [], ["id"], "at") if n else rows.withColumn("at", F.lit(0))
+    placed = running_number(rows.select("id", "key"), [], ["id"], "at", n) if n else rows.withColumn("at", F.lit(0))
     placed = placed.withColumn("shard", (F.col("at") % shards).cast("int")).join(sizes, "key", "left")
     placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), parts)).select("id", "key", "part", "shard")
     placed = stored(placed, "shards-0")
     linked = F.col("part").isNotNull()
     for turn in range(1, rounds + 1):
-        wished = wishes(placed)
+        wished = stored(wishes(placed), f"wishes-{turn}")
         counts = wished.where(linked).groupBy("shard", "wish").agg(F.count(F.lit(1)).alias("n")).collect()
         wanted = {(r["shard"], r["wish"]): r["n"] for r in counts if r["shard"] != r["wish"]}
         free = {r["shard"]: r["n"] for r in placed.where(~linked).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         moves, fill = exchange_plan(wanted, free, shards)
         if not moves:
             break
-        movers = running_number(wished.where(linked & (F.col("wish") != F.col("shard"))), ["shard", "wish"], ["gain", "key", "id"], "nth")
+        movers = running_number(wished.where(linked & (F.col("wish") != F.col("shard"))), ["shard", "wish"], ["gain", "key", "id"], "nth", n)
         quota = F.lit(0)
         for (a, b), most in moves.items():
             quota = F.when((F.col("shard") == a) & (F.col("wish") == b), most).otherwise(quota)
         moved = movers.where(F.col("nth") < quota).select("id", F.col("wish").alias("new"))
-        fillers = running_number(placed.where(~linked), ["shard"], ["id"], "nth")
+        fillers = running_number(placed.where(~linked), ["shard"], ["id"], "nth", n)
         target = F.lit(None).cast("int")
         for a, ranges in _ranges(fill).items():
             for first, end, b in ranges:
@@ -118,7 +118,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(documents.withColumn("id", F.monotonically_increasing_id()), "shard-rows")
     placed = propagate(rows.select("id", "key"))
     whole = rows.drop("key").join(placed.select("id", "shard"), "id")
-    slots = running_number(whole, ["shard"], ["doc_id", "id"], "slot")
+    slots = running_number(whole, ["shard"], ["doc_id", "id"], "slot", rows.count())
     return slots.select(
         "doc_id",
         "size",
