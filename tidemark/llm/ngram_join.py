@@ -10,8 +10,9 @@ by removing n - 1 of them, so the prefix is extended until
     rare tokens + sum over groups of (frequent tokens - 1)  >=  size - least overlap + 1.
 
 Every pair of similar sets then shares a rare token or a pair. Links are verified with the whole sets.
-Classes that share an entry are first compared with one of them; what that links is a component. Only
-pairs from different components are compared further, so that groups of copies never meet pairwise.
+Classes that share an entry are first compared with one of them, in ``STAR_ROUNDS`` rounds with other
+centres; what that links is a component. Then every pair from different components that shares an entry
+is compared, unless sketches of the sets rule it out, so that groups of copies never meet pairwise.
 No list of partners is capped; which tokens count as frequent changes the cost, not the result.
 
 Defined results: texts that are null or without words have no shingles and are linked with nothing.
@@ -25,7 +26,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stored, table
@@ -40,6 +41,9 @@ SKETCH_BITS = (512, 8192)  # of sets of fewer than LARGE_SET tokens, and of larg
 LARGE_SET = 1500
 BROADCAST_ROWS = 1_000_000  # ids sent to every task at most; beyond, rows are shuffled
 
+STAR_ROUNDS = 4
+CENTRE_ORDERS = 4
+
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -227,25 +231,39 @@ def index(documents: DataFrame, classes: DataFrame) -> DataFrame:
     return flat.select("cls", "n", F.explode(F.array_distinct("entries")).alias("entry"))
 
 
-def _similar_sizes(a: str, b: str) -> F.Column:
+def _similar_sizes(a: str, b: str) -> Column:
     return F.lit(SHARE[1]) * F.least(a, b) >= F.lit(SHARE[0]) * F.greatest(a, b)
 
 
-def _may_be_similar(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs whose sketches differ in no more cells than the sets may differ in tokens; loses no link."""
+def _differing_cells(a: str, b: str, longs: int) -> Column:
+    """Cells in which two sketches differ, over their first ``longs`` numbers; 0 if they have not as many cells."""
+    apart = sum((F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(longs)), F.lit(0))
+    return F.when(F.size(a) == F.size(b), apart).otherwise(0)
+
+
+def _may_be_similar(cells: Column, an: str, bn: str) -> Column:
+    """Whether sets of two sizes, whose sketches differ in so many cells, may be similar; true for every link."""
+    both = F.col(an) + F.col(bn)
+    # whole numbers: the least overlap, rounded up
+    least = F.floor((both * SHARE[0] + (SHARE[0] + SHARE[1] - 1)) / F.lit(SHARE[0] + SHARE[1]))
+    return _similar_sizes(an, bn) & (cells <= both - 2 * least)
+
+
+def _by_sketch(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs that whole sketches do not rule out."""
     for side in ("a", "b"):
         known = classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}n"), F.col("sketch").alias(f"{side}s"))
         pairs = pairs.join(known, side)
-    cells = F.aggregate(F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    cells = F.when(F.size("as") == F.size("bs"), cells).otherwise(0)
-    both = F.col("an") + F.col("bn")
-    least = F.ceil(both * F.lit(SHARE[0]) / F.lit(SHARE[0] + SHARE[1]))
-    return pairs.where(cells <= both - 2 * least).select("a", "b")
+    longs = F.when(F.size("as") > SKETCH_BITS[0] // 64, F.aggregate(
+        F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
+    )).otherwise(_differing_cells("as", "bs", SKETCH_BITS[0] // 64))
+    cells = F.when(F.size("as") == F.size("bs"), longs).otherwise(0)
+    return pairs.where(_may_be_similar(cells, "an", "bn")).select("a", "b")
 
 
 def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs a, b of classes whose whole sets are similar."""
-    pairs = stored(_may_be_similar(classes, pairs), "candidates")
+    pairs = stored(_by_sketch(classes, pairs), "candidates")
     involved = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = stored(classes.join(involved, "cls", "left_semi").drop("first", "sketch"), "involved")
     held = stored(whole_sets(documents, wanted).select("cls", "tokens"), "whole-sets")
@@ -270,22 +288,57 @@ def _with_component(frame: DataFrame, found: DataFrame, column: str) -> DataFram
     return frame.join(known, column, "left").withColumn("component", F.coalesce("component", column))
 
 
+def _unsettled(held: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries (with component) that classes of several components share."""
+    placed = stored(_with_component(held.select("entry", "cls", "n"), found, "cls"), "placed-entries")
+    mixed = placed.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return placed.join(mixed.select("entry"), "entry", "left_semi")
+
+
+def _stars(held: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each class with the centre of an entry they share, where they are of different components.
+
+    Centres are the least classes in one of ``CENTRE_ORDERS`` orders, so that a group has few of them.
+    """
+    order = F.pmod(F.xxhash64("entry"), F.lit(CENTRE_ORDERS)) if turn else F.lit(0)
+    ranked = held.withColumn("by", F.xxhash64("cls", order, F.lit(turn)) if turn else F.col("cls"))
+    centre = ranked.groupBy("entry").agg(F.min(F.struct("by", "cls", "n", "component")).alias("c"))
+    pairs = held.join(centre, "entry").where("component <> c.component").where(_similar_sizes("n", "c.n"))
+    return pairs.select(F.greatest("cls", "c.cls").alias("a"), F.least("cls", "c.cls").alias("b")).distinct()
+
+
 def linked_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     """node, component of every class that is linked with another."""
-    held = stored(index(documents, classes), "index")
-    shared = held.groupBy("entry").agg(F.min(F.struct("cls", "n")).alias("least"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    # entries of a single class fall away here
-    held = stored(held.join(shared.select("entry", F.col("least.cls").alias("b"), F.col("least.n").alias("bn")), "entry"), "shared-entries")
-    stars = held.where("cls <> b").where(_similar_sizes("n", "bn")).select(F.col("cls").alias("a"), "b").distinct()
-    links = verified(documents, classes, stars)
-    found = components(links, "a", "b")
-    placed = stored(_with_component(held.select("entry", "cls", "n", "b"), found, "cls"), "placed-entries")
-    mixed = placed.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = placed.join(mixed.select("entry"), "entry", "left_semi")
-    other = open_.select("entry", F.col("cls").alias("c"), F.col("n").alias("cn"), F.col("component").alias("cc"))
-    # pairs with the star's centre are settled already
-    rest = open_.join(other, "entry").where("cls > c AND component <> cc AND c <> b").where(_similar_sizes("n", "cn"))
-    more = verified(documents, classes, rest.select(F.col("cls").alias("a"), F.col("c").alias("b")).distinct())
+    spark = documents.sparkSession
+    found = spark.createDataFrame([], "node long, component long")
+    links = spark.createDataFrame([], "a long, b long")
+    held = index(documents, classes)
+    tried = None
+    for turn in range(STAR_ROUNDS):
+        if not turn:
+            held = stored(held, "index")
+            shared = held.groupBy("entry").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("entry")
+            # entries of a single class fall away here
+            open_ = stored(held.join(shared, "entry", "left_semi").withColumn("component", F.col("cls")), "shared-entries")
+        else:
+            open_ = stored(_unsettled(open_, found), "shared-entries")
+        pairs = _stars(open_, turn)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "stars")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = stored(links.unionByName(verified(documents, classes, pairs)), "links")
+        found = components(links, "a", "b")
+    open_ = _unsettled(open_, found)
+    known = classes.select("cls", F.slice("sketch", 1, SKETCH_BITS[0] // 64).alias("s"), F.size("sketch").alias("z"))
+    open_ = stored(open_.join(known, "cls"), "open-entries")
+    other = open_.select("entry", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "component", "s", "z")))
+    # every pair that is still open is compared, by its sketch first
+    cells = F.when(F.col("z") == F.col("z2"), _differing_cells("s", "s2", SKETCH_BITS[0] // 64)).otherwise(0)
+    meet = (open_["entry"] == other["entry"]) & (F.col("cls") > F.col("cls2")) & (F.col("component") != F.col("component2"))
+    rest = open_.join(other, meet & _may_be_similar(cells, "n", "n2")).select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+    rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
+    more = verified(documents, classes, rest)
     return components(links.unionByName(more), "a", "b")
 
 
