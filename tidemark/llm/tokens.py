@@ -1,20 +1,69 @@
 """Token ids of texts with a public tokenizer, encoding each distinct word once per worker.
 
 Both tokenizers split a text before they merge: no token crosses a space that stands between two
-characters that are not white space. Texts are cut there, pieces looked up, and only unseen pieces
-encoded, many at a time. The look-up is emptied at ``CACHE_PIECES``, so a worker's memory is bounded.
+characters that are not white space. Texts are cut there, pieces looked up by a 128-bit hash, and only
+unseen pieces encoded, many at a time. The look-up is arrays of a few dozen bytes a piece and is emptied at
+``CACHE_PIECES``, so a worker's memory is bounded.
 """
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 1_200_000
-LONG_PIECE = 200  # bytes; longer pieces are encoded but not kept
+CACHE_PIECES = 3_000_000
+LONG_PIECE = 200  # characters; longer pieces are encoded but not kept
+_FIRST = "\x02"  # marks the first piece of a text, which follows no space
+
+
+class Pieces:
+    """Token ids by the hash of a piece, in arrays sorted by its first half."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.first = self.second = np.zeros(0, np.uint64)
+        self.begin = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, "<u4")
+        self.used = 0
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Row of every hash, or -1."""
+        if not len(self.first):
+            return np.full(len(first), -1)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
+
+    def add(self, first: np.ndarray, second: np.ndarray, found: list[bytes]) -> None:
+        ids = np.frombuffer(b"".join(found), "<u4")
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), "<u4")])
+        self.ids[self.used : self.used + len(ids)] = ids
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        begin = self.used + np.cumsum(size, dtype=np.int64) - size
+        self.used += len(ids)
+        whole = np.concatenate([self.first, first])
+        order = np.argsort(whole, kind="stable")
+        self.first = whole[order]
+        self.second = np.concatenate([self.second, second])[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.size = np.concatenate([self.size, size])[order]
+
+
+def _hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(p.encode("utf-8", "surrogatepass")) for p in pieces]), np.uint64)
+    return both[::2], both[1::2]
 
 
 class WordEncoder:
@@ -23,7 +72,7 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Pieces()
         # a piece keeps the space before it if that decides its tokens
         self.spaced = self._ids("a b") != self._ids("a") + self._ids("b")
         last = "</w>"  # as both files write it
@@ -43,17 +92,16 @@ class WordEncoder:
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _cut(self, text: str) -> list[str]:
-        """Pieces that joined by spaces give the text, with a space before each line end that cuts.
-
-        A space or line end cuts if it stands between two characters that are no white space.
-        """
-        if (
+    def _plain(self, text: str) -> bool:
+        """Whether every space and line end of the text cuts: each stands between characters that are no white space."""
+        return (
             text.replace("\n", "").isprintable()  # then spaces and line ends are the only white space
             and "  " not in text and "\n\n" not in text and " \n" not in text and "\n " not in text
             and text[0] not in " \n" and text[-1] not in " \n"
-        ):
-            return text.replace("\n", " \n").split(" ")
+        )
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of any text that joined by spaces give the text; each but the first follows a space that cuts."""
         out: list[str] = []
         pending: list[str] = []
         for piece in text.split(" "):
@@ -65,33 +113,38 @@ class WordEncoder:
                     out.append(" ".join(pending))
                 pending = [piece]
         out.append(" ".join(pending))
+        out[0] = _FIRST + out[0]
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode unseen pieces, many in one text where the tokens show where each begins or ends."""
-        kinds: dict[int, list[str]] = {}
-        for p in pieces:
-            kinds.setdefault(self._kind(p), []).append(p)
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of unseen pieces, many in one text where the tokens show where each begins or ends."""
+        out: list[bytes] = [b""] * len(pieces)
+        kinds: dict[int, list[int]] = {}
+        for k, p in enumerate(pieces):
+            kinds.setdefault(self._kind(p), []).append(k)
         odd = kinds.pop(0, [])
-        self.pieces.update(zip(odd, self._bytes([self._lead(p) for p in odd]), strict=True))
         for kind, same in kinds.items():
             for start in range(0, len(same), 2000):
                 some = same[start : start + 2000]
-                text = "".join(map(self._lead, some)) if self.spaced else " ".join(some)
-                ids = np.frombuffer(self._bytes([text])[0], "<u4")
+                leads = [self._lead(pieces[k]) for k in some]
+                ids = np.frombuffer(self._bytes([("" if self.spaced else " ").join(leads)])[0], "<u4")
                 if self.spaced:
                     at = np.flatnonzero(self.starts[ids] if kind == 1 else ids == self.line_end)
                 else:
                     at = np.concatenate([[0], np.flatnonzero(self.ends[ids])[kind - 1 :: kind] + 1])[:-1]
                 if len(at) != len(some):  # a character that the tokenizer reads differently
-                    self.pieces.update(zip(some, self._bytes([self._lead(p) for p in some]), strict=True))
+                    odd += some
                     continue
-                for piece, a, b in zip(some, at.tolist(), [*at[1:].tolist(), len(ids)], strict=True):
-                    self.pieces[piece] = ids[a:b].tobytes()
+                packed, cuts = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                for k, (a, b) in zip(some, pairwise(cuts), strict=True):
+                    out[k] = packed[a:b]
+        for k, ids in zip(odd, self._bytes([self._lead(pieces[k]) for k in odd]), strict=True):
+            out[k] = ids
+        return out
 
     def _kind(self, piece: str) -> int:
         """With spaces kept: 1 begins with its space, 2 with a line end. Without: the number of words. 0: neither."""
-        if " " in piece:
+        if " " in piece or piece[:1] == _FIRST:
             return 0
         if self.spaced:
             if piece.isprintable():
@@ -104,24 +157,62 @@ class WordEncoder:
         return 2 if piece[-1:] in (",", ".") and piece[:-1].isalpha() and (piece.isascii() or piece[:-1].lower().isalpha()) else 0
 
     def _lead(self, piece: str) -> str:
-        """The piece with the space before it, if there is one and it decides the piece's tokens."""
+        """The piece as it stands in its text, with the space before it if there is one."""
+        if piece[:1] == _FIRST:
+            return piece[1:]
         return f" {piece}" if self.spaced and piece[:1] != "\n" else piece
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self._cut(t) if t else [] for t in texts]
+    def _looked_up(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First id, number of ids of every piece, and the ids they lie in."""
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
-        # the first piece of a text has no space before it
-        firsts = self._bytes([c[0] for c in cut if c]) if self.spaced else []
-        rest = [c[1:] if self.spaced else c for c in cut]
-        unseen = set(chain.from_iterable(rest)).difference(self.pieces)
-        long = {p for p in unseen if len(p) > LONG_PIECE}
-        if unseen:
-            self._learn(list(unseen))
-        lead = iter(firsts)
-        out = [(next(lead) if self.spaced and c else b"") + b"".join(map(self.pieces.__getitem__, r)) for c, r in zip(cut, rest, strict=True)]
-        for p in long:
-            del self.pieces[p]
+        first, second = _hashes(distinct)
+        unseen = np.flatnonzero(self.pieces.find(first, second) < 0)
+        kept = [k for k in unseen.tolist() if len(distinct[k]) <= LONG_PIECE and distinct[k][:1] != _FIRST]
+        if kept:
+            self.pieces.add(first[kept], second[kept], self._learn([distinct[k] for k in kept]))
+        row = self.pieces.find(first, second)
+        here = row >= 0
+        begin, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        begin[here], size[here] = self.pieces.begin[row[here]], self.pieces.size[row[here]]
+        ids, other = self.pieces.ids[: self.pieces.used], np.flatnonzero(~here).tolist()
+        if other:
+            found = self._learn([distinct[k] for k in other])
+            size[other] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            begin[other] = len(ids) + np.cumsum(size[other]) - size[other]
+            ids = np.concatenate([ids, np.frombuffer(b"".join(found), "<u4")])
+        return begin, size, ids
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Texts that every space and line end cuts; each distinct piece of them is handled once."""
+        cut = pc.split_pattern(pa.array([_FIRST + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        begins, sizes, ids = self._looked_up(coded.dictionary.to_pylist())
+        count = sizes[which]
+        ends = np.cumsum(count)
+        # the tokens of every piece, one after another
+        at = np.repeat(begins[which] - (ends - count), count) + np.arange(ends[-1])
+        ids = ids[at].tobytes()
+        cuts = [0, *(4 * ends[cut.offsets.to_numpy()[1:] - 1]).tolist()]
+        return [ids[a:b] for a, b in pairwise(cuts)]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        plain = [k for k, t in enumerate(texts) if t and self._plain(t)]
+        out = [b""] * len(texts)
+        for k, ids in zip(plain, self._encode_plain([texts[k] for k in plain]) if plain else [], strict=True):
+            out[k] = ids
+        rest = [k for k in set(range(len(texts))).difference(plain) if texts[k]]
+        marked = [k for k in rest if _FIRST in texts[k]]
+        for k, ids in zip(marked, self._bytes([texts[k] for k in marked]), strict=True):
+            out[k] = ids
+        rest = [k for k in rest if _FIRST not in texts[k]]
+        cut = [self._cut(texts[k]) for k in rest]
+        distinct = list(set(chain.from_iterable(cut)))
+        begins, sizes, ids = self._looked_up(distinct)
+        found = {p: ids[a : a + n].tobytes() for p, a, n in zip(distinct, begins.tolist(), sizes.tolist(), strict=True)}
+        for k, pieces in zip(rest, cut, strict=True):
+            out[k] = b"".join(map(found.__getitem__, pieces))
         return out
 
 
