@@ -54,7 +54,7 @@ def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
 
 def matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(rows, -1).astype(np.int64)
+    return flat.reshape(rows, len(flat) // rows if rows else 0).astype(np.int64)
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
