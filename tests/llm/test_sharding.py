@@ -18,7 +18,7 @@ def sizes(placed):
 
 
 def test_groups_meet_and_sizes_stay(spark):
-    keys = [f"g{k % 40}" for k in range(120)] + [f"single{k}" for k in range(280)]
+    keys = [f"g{k % 41}" for k in range(120)] + [f"single{k}" for k in range(280)]
     before = sharding.propagate(rows_of(spark, keys), rounds=0)
     after = sharding.propagate(rows_of(spark, keys))
     for placed in (before, after):
