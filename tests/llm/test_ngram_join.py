@@ -106,7 +106,7 @@ def test_odd_rows(spark):
     for r in found:
         by_id.setdefault(r["doc_id"], []).append((r["n_shingles"], r["component_id"]))
     assert by_id[1] == [(0, 1)] and by_id[2] == [(0, 2)] and by_id[3] == [(0, 3)] and by_id[4] == [(1, 4)]
-    assert sorted(by_id[5]) == [(6, 5)] * 2 + [(7, 5)] and by_id[None][0][1] is None and by_id[7] == [(1, 7)]
+    assert by_id[5] == [(7, 5)] * 3 and by_id[None][0][1] is None and by_id[7] == [(1, 7)]
     assert nj.join(documents(spark, [])).count() == 0
 
 
