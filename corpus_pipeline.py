@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group of similar ones: four fifths of their five-word shingles in common."""
+    return ngram_join.one_of_each(docs, words=5, share=(80, 100))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from corpus import ODD, SF, documents
 from tidemark.llm import ngram_join as nj
 from tidemark.llm.components import components
@@ -127,3 +128,47 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert all(found[k] == 1 for k in range(1, 61)) and {found[k] for k in (100, 150, 200)} == {100}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def brute_five_words(rows):
+    """Least ids of the components of pairs with four fifths of their five-word shingles in common."""
+    sets = {}
+    for i, text in rows:
+        words = text.lower().split()
+        sets[i] = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    group = {i: {i} for i in sets}
+    for a in sets:
+        for b in sets:
+            if group[a] is not group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                group[a] |= group[b]
+                for i in group[b]:
+                    group[i] = group[a]
+    return {min(g) for g in group.values()}
+
+
+@pytest.mark.parametrize("frequent", [1, 16])
+def test_stage_against_five_word_brute_force(spark, monkeypatch, frequent):
+    monkeypatch.setattr(nj, "FREQUENT", frequent)
+    base = [f"v{k}" for k in range(100)]
+    other = [*base[:30], "x", *base[31:70], "y", *base[71:]]  # 0.82 on five words, 0.89 on three
+    rows = [*near_copies(), (900, " ".join(base)), (901, " ".join(other))]
+    wanted = brute_five_words(rows)
+    assert 900 in wanted and 901 not in wanted
+    kept = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF)
+    assert {r["doc_id"] for r in kept.collect()} == wanted
+
+
+def test_similar_sets_share_an_entry_at_other_shares():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(5, 300))
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        changed = rng.random(len(x)) < rng.uniform(0, 0.12)
+        y = np.unique(np.where(changed, rng.integers(0, 1 << 63, len(x)).astype(np.uint64), x))
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 80 * (len(x) + len(y) - both):
+            continue
+        for share in (0.0, 0.5, 1.0):
+            often = np.sort(x[rng.random(len(x)) < share])
+            found = [nj.entries(s, len(s), often, (80, 100)) for s in (x, y)]
+            assert not changed.any() or len(np.intersect1d(*found)), (n, share)

@@ -33,6 +33,7 @@ from tidemark.llm.common import map_rows, stored, table
 from tidemark.llm.components import components
 from tidemark.llm.registry import query
 
+# What op10 asks for; callers may give others.
 WORDS = 3
 SHARE = (90, 100)  # 100 * intersection >= 90 * union
 FREQUENT = 16  # classes
@@ -70,9 +71,9 @@ def least_overlap(size: int, share: tuple[int, int] = SHARE) -> int:
     return -(-size * share[0] // share[1])
 
 
-def needed(size: int) -> int:
+def needed(size: int, share: tuple[int, int] = SHARE) -> int:
     """Tokens of a prefix of which two similar sets must share one."""
-    return size - least_overlap(size) + 1
+    return size - least_overlap(size, share) + 1
 
 
 def linkable(size: int, share: tuple[int, int] = SHARE) -> bool:
@@ -80,9 +81,9 @@ def linkable(size: int, share: tuple[int, int] = SHARE) -> bool:
     return share[1] * size >= share[0] * (size + 1)
 
 
-def first_tokens(tokens: np.ndarray) -> np.ndarray:
+def first_tokens(tokens: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray:
     """The tokens in which frequency is counted and prefixes are looked for first."""
-    return tokens[: 2 * needed(len(tokens)) + 8] if linkable(len(tokens)) else tokens[:0]
+    return tokens[: 2 * needed(len(tokens), share) + 8] if linkable(len(tokens), share) else tokens[:0]
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -92,14 +93,19 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(cells.astype(np.uint8)).view(np.int64)
 
 
-def size_class(size: int) -> int:
+def _step(share: tuple[int, int]) -> float:
+    """Logarithm of the ratio of sizes from one class to the next, which is wider than ``share``."""
+    return -np.log(share[0] / share[1] - 0.01)
+
+
+def size_class(size: int, share: tuple[int, int] = SHARE) -> int:
     """Sets of the wanted similarity are in the same class or in neighbouring ones."""
-    return int(np.floor(np.log(size) / -np.log(0.89)))
+    return int(np.floor(np.log(size) / _step(share)))
 
 
-def groups_of(size_class_: int) -> int:
+def groups_of(size_class_: int, share: tuple[int, int] = SHARE) -> int:
     """Groups that the frequent tokens of sets of a size class are dealt into."""
-    return max(1, int(needed(int(np.exp(-np.log(0.89) * (size_class_ + 1)))) / 1.2))
+    return max(1, int(needed(int(np.exp(_step(share) * (size_class_ + 1))), share) / 1.2))
 
 
 def _pairs(frequent: np.ndarray, groups: int, lack: int, salt: int) -> np.ndarray | None:
@@ -125,14 +131,14 @@ def _pairs(frequent: np.ndarray, groups: int, lack: int, salt: int) -> np.ndarra
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def entries(tokens: np.ndarray, size: int, frequent: np.ndarray) -> np.ndarray | None:
+def entries(tokens: np.ndarray, size: int, frequent: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray | None:
     """Index entries of a set of ``size`` by its first ``tokens``; None if these do not suffice.
 
     ``frequent`` is sorted. With all tokens given there is always an answer.
     """
-    if not linkable(size):
+    if not linkable(size, share):
         return np.zeros(0, np.uint64)
-    want = needed(size)
+    want = needed(size, share)
     at = np.searchsorted(frequent, tokens)
     often = np.zeros(len(tokens), bool) if not len(frequent) else frequent[np.minimum(at, len(frequent) - 1)] == tokens
     rare = tokens[~often]
@@ -141,9 +147,9 @@ def entries(tokens: np.ndarray, size: int, frequent: np.ndarray) -> np.ndarray |
     if len(tokens) < size:
         return None
     out = [rare]
-    own = size_class(size)
+    own = size_class(size, share)
     for c in (own, own + 1):
-        out.append(_pairs(tokens[often], groups_of(c), want - len(rare), c + 1))
+        out.append(_pairs(tokens[often], groups_of(c, share), want - len(rare), c + 1))
     return None if any(x is None for x in out) else np.concatenate(out)
 
 
@@ -156,11 +162,11 @@ def _key(tokens: np.ndarray) -> tuple[int, int]:
     return high, low
 
 
-def sets(documents: DataFrame) -> DataFrame:
+def sets(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """One row per document: row, doc_id, text_hash, k1 and k2 (key of its set), n, first (its first tokens), sketch."""
 
     def made(ids, hashes, texts):
-        found = [shingles(t) for t in texts]
+        found = [shingles(t, words) for t in texts]
         keys = [_key(x) for x in found]
         return {
             "doc_id": ids,
@@ -168,7 +174,7 @@ def sets(documents: DataFrame) -> DataFrame:
             "k1": [k[0] for k in keys],
             "k2": [k[1] for k in keys],
             "n": [len(x) for x in found],
-            "first": [_signed(first_tokens(x)) for x in found],
+            "first": [_signed(first_tokens(x, share)) for x in found],
             "sketch": [sketch(x).tolist() for x in found],
         }
 
@@ -188,11 +194,11 @@ def _only(frame: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     return frame.join(F.broadcast(wanted) if few else wanted, same, "left_semi")
 
 
-def whole_sets(documents: DataFrame, classes: DataFrame) -> DataFrame:
+def whole_sets(documents: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """cls, n, tokens (64-bit, packed) of the given classes, made again from their texts."""
 
     def made(texts):
-        found = [shingles(t) for t in texts]
+        found = [shingles(t, words) for t in texts]
         keys = [_key(x) for x in found]
         return {"k1": [k[0] for k in keys], "k2": [k[1] for k in keys], "tokens": [x.tobytes() for x in found]}
 
@@ -210,29 +216,30 @@ def frequent_tokens(first: DataFrame) -> np.ndarray:
     return np.sort(often.select("token").toArrow()["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def index(documents: DataFrame, classes: DataFrame) -> DataFrame:
+def index(documents: DataFrame, classes: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """entry, cls, n: what every class is found by."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(frequent_tokens(classes))
 
     def by_first(cls, n, first):
-        found = [entries(np.array(f, np.int64).view(np.uint64), size, shared.value) for f, size in zip(first, n, strict=True)]
+        found = [entries(np.array(f, np.int64).view(np.uint64), size, shared.value, share) for f, size in zip(first, n, strict=True)]
         return {"cls": cls, "n": n, "entries": [None if x is None else _signed(x) for x in found]}
 
     def by_all(cls, n, tokens):
-        found = [entries(np.frombuffer(t, np.uint64), size, shared.value) for t, size in zip(tokens, n, strict=True)]
+        found = [entries(np.frombuffer(t, np.uint64), size, shared.value, share) for t, size in zip(tokens, n, strict=True)]
         return {"cls": cls, "n": n, "entries": [_signed(x) for x in found]}
 
     schema = "cls long, n long, entries array<long>"
     tried = stored(map_rows(classes, by_first, schema, "cls", "n", "first"), "entries")
     lacking = classes.join(tried.where("entries IS NULL").select("cls"), "cls", "left_semi")
-    rest = map_rows(whole_sets(documents, stored(lacking.drop("first", "sketch"), "lacking")), by_all, schema, "cls", "n", "tokens")
+    lacking = stored(lacking.drop("first", "sketch"), "lacking")
+    rest = map_rows(whole_sets(documents, lacking, words), by_all, schema, "cls", "n", "tokens")
     flat = tried.where("entries IS NOT NULL").unionByName(rest)
     return flat.select("cls", "n", F.explode(F.array_distinct("entries")).alias("entry"))
 
 
-def _similar_sizes(a: str, b: str) -> Column:
-    return F.lit(SHARE[1]) * F.least(a, b) >= F.lit(SHARE[0]) * F.greatest(a, b)
+def _similar_sizes(a: str, b: str, share: tuple[int, int]) -> Column:
+    return F.lit(share[1]) * F.least(a, b) >= F.lit(share[0]) * F.greatest(a, b)
 
 
 def _differing_cells(a: str, b: str, longs: int) -> Column:
@@ -241,15 +248,15 @@ def _differing_cells(a: str, b: str, longs: int) -> Column:
     return F.when(F.size(a) == F.size(b), apart).otherwise(0)
 
 
-def _may_be_similar(cells: Column, an: str, bn: str) -> Column:
+def _may_be_similar(cells: Column, an: str, bn: str, share: tuple[int, int]) -> Column:
     """Whether sets of two sizes, whose sketches differ in so many cells, may be similar; true for every link."""
     both = F.col(an) + F.col(bn)
     # whole numbers: the least overlap, rounded up
-    least = F.floor((both * SHARE[0] + (SHARE[0] + SHARE[1] - 1)) / F.lit(SHARE[0] + SHARE[1]))
-    return _similar_sizes(an, bn) & (cells <= both - 2 * least)
+    least = F.floor((both * share[0] + (share[0] + share[1] - 1)) / F.lit(share[0] + share[1]))
+    return _similar_sizes(an, bn, share) & (cells <= both - 2 * least)
 
 
-def _by_sketch(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _by_sketch(classes: DataFrame, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Pairs that whole sketches do not rule out."""
     for side in ("a", "b"):
         known = classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}n"), F.col("sketch").alias(f"{side}s"))
@@ -258,15 +265,15 @@ def _by_sketch(classes: DataFrame, pairs: DataFrame) -> DataFrame:
         F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
     )).otherwise(_differing_cells("as", "bs", SKETCH_BITS[0] // 64))
     cells = F.when(F.size("as") == F.size("bs"), longs).otherwise(0)
-    return pairs.where(_may_be_similar(cells, "an", "bn")).select("a", "b")
+    return pairs.where(_may_be_similar(cells, "an", "bn", share)).select("a", "b")
 
 
-def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """Pairs a, b of classes whose whole sets are similar."""
-    pairs = stored(_by_sketch(classes, pairs), "candidates")
+    pairs = stored(_by_sketch(classes, pairs, share), "candidates")
     involved = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = stored(classes.join(involved, "cls", "left_semi").drop("first", "sketch"), "involved")
-    held = stored(whole_sets(documents, wanted).select("cls", "tokens"), "whole-sets")
+    held = stored(whole_sets(documents, wanted, words).select("cls", "tokens"), "whole-sets")
     left = held.select(F.col("cls").alias("a"), F.col("tokens").alias("left"))
     right = held.select(F.col("cls").alias("b"), F.col("tokens").alias("right"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -276,7 +283,7 @@ def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> Data
         for x, y in zip(left, right, strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(SHARE[1] * common >= SHARE[0] * (len(x) + len(y) - common))
+            keep.append(share[1] * common >= share[0] * (len(x) + len(y) - common))
         return {"a": [v for v, k in zip(a, keep, strict=True) if k], "b": [v for v, k in zip(b, keep, strict=True) if k]}
 
     return stored(map_rows(both, similar, "a long, b long", "a", "b", "left", "right"), "links")
@@ -295,7 +302,7 @@ def _unsettled(held: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed.select("entry"), "entry", "left_semi")
 
 
-def _stars(held: DataFrame, turn: int) -> DataFrame:
+def _stars(held: DataFrame, turn: int, share: tuple[int, int]) -> DataFrame:
     """Pairs of each class with the centre of an entry they share, where they are of different components.
 
     Centres are the least classes in one of ``CENTRE_ORDERS`` orders, so that a group has few of them.
@@ -303,16 +310,16 @@ def _stars(held: DataFrame, turn: int) -> DataFrame:
     order = F.pmod(F.xxhash64("entry"), F.lit(CENTRE_ORDERS)) if turn else F.lit(0)
     ranked = held.withColumn("by", F.xxhash64("cls", order, F.lit(turn)) if turn else F.col("cls"))
     centre = ranked.groupBy("entry").agg(F.min(F.struct("by", "cls", "n", "component")).alias("c"))
-    pairs = held.join(centre, "entry").where("component <> c.component").where(_similar_sizes("n", "c.n"))
+    pairs = held.join(centre, "entry").where("component <> c.component").where(_similar_sizes("n", "c.n", share))
     return pairs.select(F.greatest("cls", "c.cls").alias("a"), F.least("cls", "c.cls").alias("b")).distinct()
 
 
-def linked_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
+def linked_classes(documents: DataFrame, classes: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """node, component of every class that is linked with another."""
     spark = documents.sparkSession
     found = spark.createDataFrame([], "node long, component long")
     links = spark.createDataFrame([], "a long, b long")
-    held = index(documents, classes)
+    held = index(documents, classes, words, share)
     tried = None
     for turn in range(STAR_ROUNDS):
         if not turn:
@@ -322,12 +329,12 @@ def linked_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
             open_ = stored(held.join(shared, "entry", "left_semi").withColumn("component", F.col("cls")), "shared-entries")
         else:
             open_ = stored(_unsettled(open_, found), "shared-entries")
-        pairs = _stars(open_, turn)
+        pairs = _stars(open_, turn, share)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "stars")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = stored(links.unionByName(verified(documents, classes, pairs)), "links")
+        links = stored(links.unionByName(verified(documents, classes, pairs, words, share)), "links")
         found = components(links, "a", "b")
     open_ = _unsettled(open_, found)
     known = classes.select("cls", F.slice("sketch", 1, SKETCH_BITS[0] // 64).alias("s"), F.size("sketch").alias("z"))
@@ -336,15 +343,15 @@ def linked_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     # every pair that is still open is compared, by its sketch first
     cells = F.when(F.col("z") == F.col("z2"), _differing_cells("s", "s2", SKETCH_BITS[0] // 64)).otherwise(0)
     meet = (open_["entry"] == other["entry"]) & (F.col("cls") > F.col("cls2")) & (F.col("component") != F.col("component2"))
-    rest = open_.join(other, meet & _may_be_similar(cells, "n", "n2")).select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+    rest = open_.join(other, meet & _may_be_similar(cells, "n", "n2", share)).select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
     rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
-    more = verified(documents, classes, rest)
+    more = verified(documents, classes, rest, words, share)
     return components(links.unionByName(more), "a", "b")
 
 
-def join(documents: DataFrame) -> DataFrame:
+def join(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """doc_id, row, text_hash, n_shingles, component_id of every document."""
-    rows = sets(documents)
+    rows = sets(documents, words, share)
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least_id"))
     members = stored(rows.drop("first", "sketch").join(groups, ["k1", "k2"], "left"), "members")
     reps = members.where("row = cls").select("cls")
@@ -354,7 +361,7 @@ def join(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    found = linked_classes(documents, classes)
+    found = linked_classes(documents, classes, words, share)
     placed = _with_component(members.where("n > 0").select("cls", "least_id").distinct(), found, "cls")
     ids = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = placed.select("cls", "component").join(ids, "component").select("cls", "component_id")
@@ -363,12 +370,12 @@ def join(documents: DataFrame) -> DataFrame:
     return whole.select("doc_id", "row", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """``documents`` with one document of every component: that with the component's id. Rows without words all stay.
 
     Where ids repeat, the first row of the component with that id stays.
     """
-    found = stored(join(documents), "components")
+    found = stored(join(documents, words, share), "components")
     named = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
     # rows with one id and different texts may be in one component or in several
     heads = named.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"))
