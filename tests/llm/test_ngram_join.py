@@ -172,3 +172,16 @@ def test_similar_sets_share_an_entry_at_other_shares():
             often = np.sort(x[rng.random(len(x)) < share])
             found = [nj.entries(s, len(s), often, (80, 100)) for s in (x, y)]
             assert not changed.any() or len(np.intersect1d(*found)), (n, share)
+
+
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 9) for _ in range(40))
+    rows = [(None, text()) for _ in range(6)] + [(5, text()) for _ in range(6)] + [(k, text()) for k in range(10, 16)]
+    copies = [rows[0], rows[6], rows[6], (20, rows[1][1]), (5, rows[2][1]), (21, rows[12][1])]
+    odd = [(5, "  "), (5, "  "), (None, None), (None, None)]
+    kept = nj.one_of_each(documents(spark, rows + copies + odd)).collect()
+    wanted = [rows[0], (20, rows[1][1]), (5, rows[2][1]), *rows[3:], *odd]
+    assert sorted(map(repr, wanted)) == sorted(repr((r["doc_id"], r["text"])) for r in kept)
+    both = {r["text"] for r in nj.one_of_each(documents(spark, ODD)).where("doc_id = 5").collect()}
+    assert both == {t for i, t in ODD if i == 5}

@@ -26,7 +26,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stored, table
@@ -350,7 +350,7 @@ def linked_classes(documents: DataFrame, classes: DataFrame, words: int, share:
 
 
 def join(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """doc_id, row, text_hash, n_shingles, component_id of every document."""
+    """doc_id, row, text_hash, n_shingles, component_id and component (a class of it; null without words) of every document."""
     rows = sets(documents, words, share)
     groups = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least_id"))
     members = stored(rows.drop("first", "sketch").join(groups, ["k1", "k2"], "left"), "members")
@@ -364,37 +364,35 @@ def join(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHAR
     found = linked_classes(documents, classes, words, share)
     placed = _with_component(members.where("n > 0").select("cls", "least_id").distinct(), found, "cls")
     ids = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = placed.select("cls", "component").join(ids, "component").select("cls", "component_id")
+    named = placed.select("cls", "component").join(ids, "component").select("cls", "component", "component_id")
     whole = members.select("doc_id", "row", "text_hash", "n", "cls").join(named, "cls", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return whole.select("doc_id", "row", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return whole.select("doc_id", "row", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"), "component")
 
 
 def one_of_each(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """``documents`` with one document of every component: that with the component's id. Rows without words all stay.
+    """``documents`` with one document of every component: the first row with the least known id. Rows without words all stay.
 
-    Where ids repeat, the first row of the component with that id stays.
+    Components are told apart by their classes, so null and repeated ids lose none. Rows with equal ids and texts are one.
     """
     found = stored(join(documents, words, share), "components")
-    named = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # rows with one id and different texts may be in one component or in several
-    heads = named.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"))
+    same_rows = ["component", "doc_id", "text_hash"]
+    distinct = found.where("n_shingles > 0").groupBy(*same_rows).agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("rows"))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "text_hash", "rows")).alias("head")
+    heads = stored(distinct.groupBy("component").agg(head).select("head.doc_id", "head.text_hash", "head.rows"), "heads")
     repeated = heads.where("rows > 1").count() > 0
-    kept = named.unionByName(found.where("n_shingles = 0"))
-    if repeated:
-        worded = named.select("doc_id", "text_hash", "row").groupBy("doc_id", "text_hash").agg(F.min("row").alias("row"))
-        first = Window.partitionBy("doc_id").orderBy("row")
-        single = worded.withColumn("nth", F.row_number().over(first)).where("nth = 1")
-        kept = single.select("doc_id", "text_hash").unionByName(found.where("n_shingles = 0").select("doc_id", "text_hash"))
+    kept = heads.select("doc_id", "text_hash").unionByName(found.where("n_shingles = 0").select("doc_id", "text_hash"))
     wanted = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).distinct()
     few = wanted.count() <= BROADCAST_ROWS
     same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.xxhash64("text") == F.col("__kept_hash"))
     held = documents.join(F.broadcast(wanted) if few else wanted, same, "left_semi")
     if not repeated:
         return held
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64("text"))
+    held = stored(held.withColumn("__row", F.monotonically_increasing_id()), "repeated-rows")
     wordless = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == ""
-    return held.withColumn("__nth", F.row_number().over(order)).where((F.col("__nth") == 1) | wordless).drop("__nth")
+    own = F.when(wordless, F.col("__row"))
+    first = held.groupBy("doc_id", F.xxhash64("text").alias("__hash"), own.alias("__own")).agg(F.min("__row").alias("__row"))
+    return held.join(first.select("__row"), "__row", "left_semi").drop("__row")
 
 
 @query()
