@@ -67,3 +67,22 @@ def test_odd_rows(spark, tmp_path):
     assert len(rows) == len(ODD)
     null = next(r for r in rows if r["doc_id"] == 1)
     assert (null["size"], null["text_crc32"]) == (1, 0)
+
+
+def test_large_groups_that_fit_stay_whole(spark):
+    keys = [f"big{k}" for k in range(5) for _ in range((380, 300, 250, 100, 60)[k])]
+    keys += [f"pair{k % 300}" for k in range(600)] + [f"single{k}" for k in range(1510)]
+    placed = sharding.propagate(rows_of(spark, keys))
+    assert placed.count() == len(keys) == placed.select("id").distinct().count()
+    assert set(sizes(placed).values()) == {400}
+    shards = Counter((r["key"], r["shard"]) for r in placed.where("key like 'big%'").collect())
+    assert len(shards) == 5
+    assert sharding.together(placed) > 0.95
+
+
+def test_seats():
+    seats, room = sharding.seated([("a", 25), ("b", 9), ("c", 5), ("d", 1)], [10, 10, 10, 10, 10])
+    assert seats == {"a": [(0, 10, 0), (10, 20, 1), (20, 25, 2)], "b": [(0, 9, 3)], "c": [(0, 5, 2)], "d": [(0, 1, 3)]}
+    assert room == [0, 0, 0, 0, 10]
+    assert sharding.seated([("a", 6), ("b", 6), ("c", 6)], [9, 9]) == (
+        {"a": [(0, 6, 0)], "b": [(0, 6, 1)], "c": [(0, 3, 0), (3, 6, 1)]}, [0, 0])

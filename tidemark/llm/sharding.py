@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation: linked documents move towards each other under quotas.
 
-Documents with equal texts are linked. All start evenly dealt. In each round every linked document
-wants to be where most of its group is; documents move only as exchanges, so no shard's row count
-ever changes: opposite wishes are exchanged, and unlinked documents go the other way for the rest.
-Groups larger than a share of a shard (``GROUP_PART``) are split into parts first, each of which
-gathers by itself, preferring shards that hold much of the whole group.
+Documents with equal texts are linked. Groups larger than a share of a shard (``GROUP_PART``; fewer than
+shards / ``GROUP_PART`` of them) start seated, largest first, each in the fullest shard that still holds
+all of it. Only a group larger than a shard, or than the room left in any, is cut: it fills shards whole,
+those with most room first. All other documents start evenly dealt over the room left. In each round every
+linked document wants to be where most of its group is; documents move only as exchanges, so no shard's row
+count ever changes: opposite wishes are exchanged, and unlinked documents go the other way for the rest.
 
 The law is ``rows``: row counts of shards differ by at most one. Slots number a shard's rows from 0.
 
@@ -14,7 +15,7 @@ rows and ids are rows of their own. Null ids are kept. Other columns are ignored
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import running_number, stored, table
@@ -48,16 +49,60 @@ def _ranges(plan: dict[tuple[int, int], int]) -> dict[int, list[tuple[int, int,
     return out
 
 
+def seated(groups: list[tuple[str, int]], room: list[int]) -> tuple[dict[str, list[tuple[int, int, int]]], list[int]]:
+    """Per group, given largest first, the (first, end, shard) of its numbered rows; and the room that is left."""
+    seats, room = {}, list(room)
+    for key, members in groups:
+        whole = [s for s in range(len(room)) if room[s] >= members]
+        order = [min(whole, key=lambda s: (room[s], s))] if whole else sorted(range(len(room)), key=lambda s: (-room[s], s))
+        at, seats[key] = 0, []
+        for s in order:
+            if n := min(members - at, room[s]):
+                seats[key].append((at, at + n, s))
+                room[s] -= n
+                at += n
+    return seats, room
+
+
+def _dealt(room: list[int]) -> Column:
+    """The shard of the row numbered ``at``, dealt in turn to the shards that still have room."""
+    shard, at, full = F.lit(0), 0, 0
+    for level in sorted(set(room) - {0}):
+        open_ = [s for s in range(len(room)) if room[s] >= level]
+        turn = F.get(F.array(*map(F.lit, open_)), ((F.col("at") - at) % len(open_)).cast("int"))
+        shard = F.when(F.col("at") >= at, turn).otherwise(shard)
+        at += (level - full) * len(open_)
+        full = level
+    return shard.cast("int")
+
+
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """``rows`` (id: unique long, key: group) with ``shard``: sizes at most one apart."""
     n = rows.count()
-    part_rows = max(2, int(n * GROUP_PART / shards))
+    room = [n // shards + (k < n % shards) for k in range(shards)]
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    parts = F.ceil(F.col("members") / part_rows)
-    placed = running_number(rows.select("id", "key"), [], ["id"], "at", n) if n else rows.withColumn("at", F.lit(0))
-    placed = placed.withColumn("shard", (F.col("at") % shards).cast("int")).join(sizes, "key", "left")
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("id"), parts)).select("id", "key", "part", "shard")
-    placed = stored(placed, "shards-0")
+    sizes = stored(sizes, "group-sizes")
+    large = sizes.where(F.col("members") > max(2, int(n * GROUP_PART / shards))).orderBy(F.desc("members"), "key").collect()
+    seats, room = seated([(r["key"], r["members"]) for r in large], room)
+    rest = rows.select("id", "key")
+    if seats:
+        spark = rows.sparkSession
+        ranges = spark.createDataFrame(
+            [(key, first, end, shard) for key, some in seats.items() for first, end, shard in some],
+            "key string, first long, end long, shard int",
+        )
+        keys = F.broadcast(ranges.select("key").distinct())
+        numbered = running_number(rest.join(keys, "key", "left_semi"), ["key"], ["id"], "at", n)
+        same = (numbered["key"] == ranges["key"]) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("end"))
+        sitting = numbered.join(F.broadcast(ranges), same).select("id", numbered["key"], "shard")
+        rest = rest.join(keys, "key", "left_anti")
+    placed = running_number(rest, [], ["id"], "at", n) if n else rest.withColumn("at", F.lit(0))
+    placed = placed.withColumn("shard", _dealt(room)).select("id", "key", "shard")
+    placed = placed.unionByName(sitting) if seats else placed
+    # only a group larger than a shard is of several parts, one for each shard that it fills
+    part = F.when(F.col("members") > max(1, n // shards + (n % shards > 0)), F.col("shard")).otherwise(0)
+    placed = placed.join(sizes, "key", "left").withColumn("part", F.when(F.col("members").isNotNull(), part))
+    placed = stored(placed.select("id", "key", "part", "shard"), "shards-0")
     linked = F.col("part").isNotNull()
     for turn in range(1, rounds + 1):
         wished = stored(wishes(placed), f"wishes-{turn}")
@@ -106,6 +151,11 @@ def co_located(placed: DataFrame) -> float:
     return row[0] if row[0] is not None else 1.0
 
 
+def together(placed: DataFrame) -> float:
+    """Share of linked documents that are in the shard with most of their whole group."""
+    return co_located(placed.withColumn("part", F.when(F.col("part").isNotNull(), 0)))
+
+
 @query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
