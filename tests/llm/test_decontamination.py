@@ -61,3 +61,17 @@ def test_plan_is_native(spark):
     docs, bench = documents(spark, [(1, ITEM)]), items(spark, [(10, ITEM)])
     plan = dc.found_items(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+CLIPS = "the shop of Anna sold 48 clips to Bert in the month of May and then Anna sold 24 more clips to Carl so how many clips did Anna sell to Bert and to Carl in all"
+
+
+def test_copies_with_other_values_in_one_text(spark):
+    other = CLIPS.replace("Anna", "Dora").replace("Bert", "Adam").replace("Carl", "Fritz").replace("48", "7").replace("24", "100")
+    third = CLIPS.replace("Anna", "Cleo").replace("Bert", "Yan").replace("Carl", "Abel").replace("48", "70").replace("24", "31").replace("May", "June")
+    put_in = other.replace("then", "then one day later")
+    docs = [(1, CLIPS + ". " + other), (2, other + ". " + CLIPS + "."), (3, other + ". " + third), (4, put_in + ". " + third), (5, other)]
+    got = found(spark, docs, [(10, CLIPS)])
+    assert {d for d, _ in got} == {1, 2, 3, 4, 5}
+    assert got[1, 10]["n_verbatim"] == got[2, 10]["n_verbatim"] == got[1, 10]["n_windows"]
+    assert dc.clean_documents(documents(spark, docs), items(spark, [(10, CLIPS)])).count() == 0

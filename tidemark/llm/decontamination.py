@@ -8,6 +8,11 @@ stand in the slots must agree: within a document each value of an item is read a
 counterpart, and a window counts if all its slots follow that reading. An item is found in a document if
 ``SHARE`` of its windows count. Windows with fewer than ``LITERALS`` ordinary words are no evidence.
 
+``op9_decontamination`` has one reading per document, as its SQL says. ``found_items`` and ``clean_documents``
+by themselves (``whole``) read every stretch of the document of about half the item's length by itself as well,
+so that several copies with different values do not hide each other; the best stretch counts. Windows that
+are the item's word by word always count.
+
 Only DataFrame functions. Every document is read whole, once for the windows; documents with
 candidates are read again for their values.
 
@@ -82,6 +87,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         "item_id",
         "item",
         "item_at",
+        F.size("canon").alias("length"),
         window_at(F.col("canon"), F.col("item_at")).alias("canon"),
         window_at(F.col("raw"), F.col("item_at")).alias("item_raw"),
     )
@@ -95,7 +101,20 @@ def _few(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
-def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _occurrences(whole: bool) -> Column:
+    """What a window is judged with: the whole document, and stretches where it may be of the same copy of the item.
+
+    Copies are an item's length apart; stretches of half of it, in two ways that overlap, allow for words put in.
+    """
+    document = F.struct(F.lit(0).alias("turn"), F.lit(0).cast("long").alias("stretch"))
+    if not whole:
+        return F.array(document)
+    off, wide = F.col("at") - F.col("item_at"), F.greatest(F.lit(1), F.floor(F.col("length") / 2))
+    stretches = (F.floor(off / wide), F.floor((off + F.floor(F.col("length") / 4)) / wide))
+    return F.array(document, *(F.struct(F.lit(k + 1).alias("turn"), x.alias("stretch")) for k, x in enumerate(stretches)))
+
+
+def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFrame:
     """One row per document (doc_id and text_hash) and item found in it, with its counts of windows."""
     items = stored(item_windows(benchmark), "item-windows")
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -121,14 +140,17 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id",
         "text_hash",
         "hash",
+        F.col("at") if whole else F.lit(0).alias("at"),
         window_at(F.col("doc_canon"), F.col("at")).alias("doc_window"),
         window_at(F.col("raw"), F.col("at")).alias("doc_raw"),
     )
     pairs = places.distinct().join(items, "hash").where("canon = doc_window")
     chosen = candidates.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("item_id").alias("i"), F.col("item").alias("j"))
     same_item = same & F.col("item_id").eqNullSafe(F.col("i")) & F.col("item").eqNullSafe(F.col("j"))
-    pairs = stored(pairs.join(chosen, same_item, "left_semi"), "window-pairs")
-    key = ["doc_id", "text_hash", "item_id", "item"]
+    pairs = pairs.join(chosen, same_item, "left_semi").withColumn("o", F.explode(_occurrences(whole)))
+    pairs = stored(pairs.select("*", "o.turn", "o.stretch").drop("o", "at").distinct(), "window-pairs")
+    found = ["doc_id", "text_hash", "item_id", "item"]
+    key = [*found, "turn", "stretch"]
     slots = F.filter(
         F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"].startswith("#")
     )
@@ -147,14 +169,15 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     clash = F.lit(True)
     for c in against.columns:
         clash = clash & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    agreeing = pairs.join(renamed, clash, "left_anti")
     changed = ~F.col("item_raw").eqNullSafe(F.col("doc_raw"))
+    agreeing = pairs.join(renamed, clash & changed if whole else clash, "left_anti")
     counted = agreeing.groupBy(*key).agg(
         F.max("n_windows").alias("n_windows"),
         F.countDistinct("item_at").alias("n_found"),
         F.countDistinct(F.when(~changed, F.col("item_at"))).alias("n_verbatim"),
     )
-    return counted.where(F.col("n_found") >= SHARE * F.col("n_windows"))
+    best = counted.groupBy(*found).agg(*(F.max(n).alias(n) for n in ("n_windows", "n_found", "n_verbatim")))
+    return best.where(F.col("n_found") >= SHARE * F.col("n_windows"))
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -214,7 +237,7 @@ FROM counted WHERE n_found >= {SHARE} * n_windows
 """
 )
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=False)
     return found.select(
         "doc_id", "item_id", "n_windows", "n_found", "n_verbatim", (F.col("n_found") / F.col("n_windows")).alias("share")
     )
