@@ -75,3 +75,14 @@ def test_copies_with_other_values_in_one_text(spark):
     assert {d for d, _ in got} == {1, 2, 3, 4, 5}
     assert got[1, 10]["n_verbatim"] == got[2, 10]["n_verbatim"] == got[1, 10]["n_windows"]
     assert dc.clean_documents(documents(spark, docs), items(spark, [(10, CLIPS)])).count() == 0
+
+
+def test_changed_names_that_begin_sentences(spark):
+    item = "Natalia sold clips to 48 of her friends in April. Natalia then sold half as many clips in May. Carl bought three clips from her. How many clips did she sell altogether in April and May?"
+    other = item.replace("Natalia", "Susan").replace("48", "60").replace("Carl", "Peter").replace("three", "five")
+    mixed = item.replace("Natalia", "Susan", 1).replace("Carl", "Susan").replace("Natalia", "Peter", 1)
+    docs = [(1, item), (2, "Question: " + other + " Answer"), (3, "So it is said. " + item), (4, "Natalia sold a house in May. How many did she sell?")]
+    got = found(spark, docs + [(5, mixed)], [(10, item)])
+    assert {(1, 10), (2, 10), (3, 10)} <= set(got) and (4, 10) not in got
+    assert got[1, 10]["n_verbatim"] == got[3, 10]["n_verbatim"] == got[1, 10]["n_windows"]
+    assert got[2, 10]["n_found"] > got[2, 10]["n_verbatim"]

@@ -11,7 +11,8 @@ counterpart, and a window counts if all its slots follow that reading. An item i
 ``op9_decontamination`` has one reading per document, as its SQL says. ``found_items`` and ``clean_documents``
 by themselves (``whole``) read every stretch of the document of about half the item's length by itself as well,
 so that several copies with different values do not hide each other; the best stretch counts. Windows that
-are the item's word by word always count.
+are the item's word by word always count. They also compare a second template, in which words that begin
+a sentence are names, unless they are ordinary (``STARTERS``) and differ, and number words are numbers.
 
 Only DataFrame functions. Every document is read whole, once for the windows; documents with
 candidates are read again for their values.
@@ -42,6 +43,20 @@ UNITS = (
     " ghz w kw mw v a j kj cal kcal kb mb gb tb bit bits byte bytes"
 ).split()
 
+# Words that often begin a sentence and are nobody's name.
+STARTERS = (
+    "a about after all also an and another any are as at because before both but by can could did do does during each"
+    " either every few find finally first for from given had has have he her here his how however i if in instead is it"
+    " its last later let many more most my next no not now of on once one only or other our out over she should since"
+    " so some soon still such than that the their them then there these they this those though through thus to today"
+    " together tomorrow two under until was we were what when where whether which while who whose why will with would"
+    " yesterday yet you your"
+).split()
+NUMBERS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+
 _SENTENCE = r"(^|[.!?\n]\s*)(\p{Lu})"
 _WORD = r"\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)+|~?\p{L}+|[0-9]+(?:[.,][0-9]+)*"
 
@@ -51,12 +66,25 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, _SENTENCE, "$1~$2"), F.lit(_WORD), F.lit(0))
 
 
-def template(words: Column) -> Column:
-    """The words with values replaced by ``#num``, ``#name`` and ``#unit``."""
+def template(words: Column, wide: bool = False) -> Column:
+    """The words with values replaced by ``#num``, ``#name`` and ``#unit``.
+
+    ``wide`` takes words that begin a sentence for names, and number words for numbers.
+    """
 
     def canonical(word: Column, at: Column) -> Column:
-        low, first = F.lower(word), F.substring(word, 1, 1)
-        follows_number = F.coalesce(F.get(words, at - 1).substr(1, 1).between("0", "9"), F.lit(False))
+        low, first, before = F.lower(word), F.substring(word, 1, 1), F.get(words, at - 1)
+        is_number = before.substr(1, 1).between("0", "9")
+        if wide:
+            is_number = is_number | F.ltrim(F.lower(before), F.lit("~")).isin(NUMBERS)
+            plain = F.ltrim(low, F.lit("~"))
+            return (
+                F.when(first.between("0", "9") | plain.isin(NUMBERS), F.lit("#num"))
+                .when(F.coalesce(is_number, F.lit(False)) & low.isin(UNITS), F.lit("#unit"))
+                .when((first == "~") | (first != F.substring(low, 1, 1)), F.lit("#name"))
+                .otherwise(low)
+            )
+        follows_number = F.coalesce(is_number, F.lit(False))
         return (
             F.when(first == "~", F.substring(low, 2, 1 << 30))
             .when(first.between("0", "9"), F.lit("#num"))
@@ -78,11 +106,17 @@ def window_at(words: Column, at: Column) -> Column:
     return F.slice(words, at + 1, WORDS)
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def _bare(words: Column) -> Column:
+    """The words without the marks of words that begin a sentence."""
+    return F.transform(words, lambda w: F.ltrim(w, F.lit("~")))
+
+
+def item_windows(benchmark: DataFrame, whole: bool = True) -> DataFrame:
     """item_id, item (a row of the benchmark), at, hash, template and values of every window, and the item's count."""
     texts = benchmark.select("item_id", "text").distinct().select("item_id", F.xxhash64("text").alias("item"), raw_words(F.col("text")).alias("raw"))
-    made = texts.withColumn("canon", template(F.col("raw")))
-    placed = made.select("item_id", "item", "raw", "canon", F.explode(_starts(F.col("canon"))).alias("item_at"))
+    made = texts.withColumn("canon", template(F.col("raw"))).withColumn("wide", template(F.col("raw"), True))
+    made = made.withColumn("raw", _bare(F.col("raw"))) if whole else made
+    placed = made.select("item_id", "item", "raw", "canon", "wide", F.explode(_starts(F.col("canon"))).alias("item_at"))
     windows = placed.select(
         "item_id",
         "item",
@@ -90,11 +124,16 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         F.size("canon").alias("length"),
         window_at(F.col("canon"), F.col("item_at")).alias("canon"),
         window_at(F.col("raw"), F.col("item_at")).alias("item_raw"),
+        window_at(F.col("wide"), F.col("item_at")).alias("wide"),
     )
     literal = F.size(F.filter("canon", lambda w: ~w.startswith("#")))
-    windows = windows.where(literal >= LITERALS).withColumn("hash", F.xxhash64("canon"))
+    windows = windows.where(literal >= LITERALS)
     all_windows = Window.partitionBy("item_id", "item")
-    return windows.withColumn("n_windows", F.count(F.lit(1)).over(all_windows))
+    windows = windows.withColumn("n_windows", F.count(F.lit(1)).over(all_windows))
+    if whole:
+        # what the wide template says of the same places
+        windows = windows.withColumn("canon", F.explode(F.array_distinct(F.array("canon", "wide")))).where(literal >= LITERALS)
+    return windows.drop("wide").withColumn("hash", F.xxhash64("canon"))
 
 
 def _few(frame: DataFrame) -> DataFrame:
@@ -116,15 +155,16 @@ def _occurrences(whole: bool) -> Column:
 
 def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFrame:
     """One row per document (doc_id and text_hash) and item found in it, with its counts of windows."""
-    items = stored(item_windows(benchmark), "item-windows")
+    items = stored(item_windows(benchmark, whole), "item-windows")
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     canon = template(F.col("raw"))
     hashes = F.transform(_starts(F.col("canon")), lambda at: F.xxhash64(window_at(F.col("canon"), at)))
-    hashed = (
-        texts.withColumn("raw", raw_words(F.col("text")))
-        .withColumn("canon", canon)
-        .select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hash"))
-    )
+    worded = texts.withColumn("raw", raw_words(F.col("text"))).withColumn("canon", canon)
+    hashed = worded.select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hash"))
+    if whole:
+        wide = worded.withColumn("canon", template(F.col("raw"), True))
+        wide = wide.select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hash"))
+        hashed = hashed.unionByName(wide)
     hits = stored(hashed.join(_few(items.select("hash").distinct()), "hash", "left_semi"), "window-hits")
     matched = hits.join(_few(items.select("hash", "item_id", "item", "item_at", "n_windows")), "hash")
     per_item = matched.groupBy("doc_id", "text_hash", "item_id", "item").agg(
@@ -135,16 +175,22 @@ def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True)
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
     again = texts.join(_few(wanted), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
     words = again.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), raw_words(F.col("text")).alias("raw"))
-    words = words.withColumn("doc_canon", template(F.col("raw")))
+    words = words.withColumn("doc_canon", template(F.col("raw"))).withColumn("doc_wide", template(F.col("raw"), True))
+    words = words.withColumn("raw", _bare(F.col("raw"))) if whole else words
     places = hits.join(wanted, same, "left_semi").join(words, same).select(
         "doc_id",
         "text_hash",
         "hash",
         F.col("at") if whole else F.lit(0).alias("at"),
         window_at(F.col("doc_canon"), F.col("at")).alias("doc_window"),
+        window_at(F.col("doc_wide") if whole else F.col("doc_canon"), F.col("at")).alias("doc_wide"),
         window_at(F.col("raw"), F.col("at")).alias("doc_raw"),
     )
-    pairs = places.distinct().join(items, "hash").where("canon = doc_window")
+    pairs = places.distinct().join(items, "hash").where("canon = doc_window OR canon = doc_wide").drop("doc_window", "doc_wide")
+    if whole:
+        ordinary = lambda s: F.lower(s["item_raw"]).isin(STARTERS) | F.lower(s["doc_raw"]).isin(STARTERS)
+        renamed_words = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"] == "#name")
+        pairs = pairs.where(~F.exists(renamed_words, lambda s: ordinary(s) & (F.lower(s["item_raw"]) != F.lower(s["doc_raw"]))))
     chosen = candidates.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("item_id").alias("i"), F.col("item").alias("j"))
     same_item = same & F.col("item_id").eqNullSafe(F.col("i")) & F.col("item").eqNullSafe(F.col("j"))
     pairs = pairs.join(chosen, same_item, "left_semi").withColumn("o", F.explode(_occurrences(whole)))
@@ -155,7 +201,7 @@ def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True)
         F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"].startswith("#")
     )
     values = pairs.withColumn("slot", F.explode(slots)).select(
-        *key, "item_at", "doc_raw", "slot.canon", F.col("slot.item_raw").alias("value"), F.col("slot.doc_raw").alias("reading")
+        *key, "item_at", "hash", "doc_raw", "slot.canon", F.col("slot.item_raw").alias("value"), F.col("slot.doc_raw").alias("reading")
     )
     readings = values.groupBy(*key, "canon", "value", "reading").agg(F.count(F.lit(1)).alias("n"))
     first = Window.partitionBy(*key, "canon", "value").orderBy(F.desc("n"), "reading")
@@ -164,7 +210,7 @@ def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True)
     clash = F.lit(True)
     for c in odd.columns:
         clash = clash & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    against = values.join(renamed, clash, "left_semi").select(*key, "item_at", "doc_raw").distinct()
+    against = values.join(renamed, clash, "left_semi").select(*key, "item_at", "hash", "doc_raw").distinct()
     renamed = against.select(*(F.col(c).alias(f"_{c}") for c in against.columns))
     clash = F.lit(True)
     for c in against.columns:
