@@ -181,22 +181,23 @@ def strongest(runs: Column) -> Column:
     return F.aggregate(runs, F.lit(None).cast(_RUN), better)
 
 
-def planted(text: Column, doc_id: Column) -> Column:
-    """Every tenth text by the checksum of its id, made periodic from some word on."""
-    checksum = F.crc32(doc_id.cast("string").cast("binary"))
-    words = F.filter(F.split(text, r"[ \t-\r]+", -1), lambda word: word != "")
-    n, g = F.size(words).cast("long"), F.floor(checksum / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    places = F.sequence(F.lit(0).cast("long"), n - 1)
-    repeated = F.transform(places, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-    return F.when((checksum % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(text)
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth text by the checksum of its id is made periodic from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[ \t-\r]+", -1), lambda word: word != "")
+    cut = docs.select("doc_id", "text", F.floor(checksum / 10).alias("g"), F.when(checksum % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.col("g")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    copies = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    periodic = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(copies, F.lit(1), n - a)), " ")
+    return cut.select("doc_id", F.when(n > 0, periodic).otherwise(F.col("text")).alias("text"))
 
 
 @query()
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = periodic_runs(docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text")))
+    found = periodic_runs(planted(docs))
     lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
     best = found.withColumn("best", strongest(F.col("runs")))
     return best.select(
