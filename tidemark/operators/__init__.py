@@ -1,3 +1,4 @@
+from tidemark.operators.by_key import step_by_key, touched_buckets
 from tidemark.operators.hot_keys import KeyCounts, count_keys
 from tidemark.operators.newest import latest_per_key, mark_newest, superseded
 from tidemark.operators.union import conform, union_by_name
@@ -24,6 +25,8 @@ __all__ = [
     "rebuild",
     "stamp_open",
     "step",
+    "step_by_key",
     "superseded",
+    "touched_buckets",
     "union_by_name",
 ]

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
-from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step
+from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step, step_by_key, touched_buckets
 from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
 from tidemark.session import OPEN_FILES, prepare
-from tidemark.sinks import register_table, write_batch, write_partitioned
-from tidemark.sources import BatchTable, check_header, read_checked, read_landed
+from tidemark.sinks import register_table, write_batch, write_keyed, write_partitioned
+from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
 from tidemark.sources.csv import RAW, REASON
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
 
@@ -151,23 +151,43 @@ def load_versions(
     previous = table.previous(batch_date)
     if previous is None and (left := table.unfinished(batch_date)):
         raise LookupError(f"{spec.name}: no finished batch before {batch_date}, but unfinished ones: {left}")
+    if isinstance(table, KeyedTable):
+        return _load_by_key(table, rows, batch_date, previous, total, rows_per_task)
     existing = table.snapshot(previous)
     large = estimated_bytes(existing) > large_snapshot
     if total is not None and total <= rows_per_task and not large:
         counts = KeyCounts.few(rows, spec.keys, total, rows_per_task)
     else:
         counts = count_keys(rows, spec.keys)
-    stepped = step(existing, rows, spec, batch_date, counts, rows_per_task, large, broadcast_bytes)
-    counted = Observation()
-    stepped = stepped.observe(
-        counted,
-        F.count_if(F.col(STATUS) == CURRENT).alias(CURRENT),
-        F.count_if(F.col(STATUS) == CLOSED).alias(CLOSED),
-    )
+    stepped, counted = _counted(step(existing, rows, spec, batch_date, counts, rows_per_task, large, broadcast_bytes))
     write_batch(stepped, table, batch_date)
     return {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)}
 
 
+def _counted(stepped: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and how many of each status there were once they are written."""
+    counted = Observation()
+    sizes = (F.count_if(F.col(STATUS) == status).alias(status) for status in (CURRENT, CLOSED))
+    return stepped.observe(counted, *sizes), counted
+
+
+def _load_by_key(
+    table: KeyedTable, rows: DataFrame, batch_date: date, previous: date | None, total: int | None, rows_per_task: int
+) -> dict[str, int]:
+    """The step over the buckets that the delivery touches; the report counts the rows of those."""
+    spec = table.spec
+    if total is not None and total <= rows_per_task:
+        counts = KeyCounts.few(rows, spec.keys, total, rows_per_task)
+    else:
+        counts = count_keys(rows, spec.keys)
+    touched = touched_buckets(rows, spec)
+    held = {b: path for b, path in table.held(previous).items() if b in touched}
+    with table.bucketed(held) as existing:
+        stepped, counted = _counted(step_by_key(existing, rows, spec, batch_date, counts, rows_per_task))
+        write_keyed(stepped, table, batch_date, touched, previous)
+    return {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)}
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate, for a scan the size of its files; runs no job."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -185,7 +205,7 @@ def load_dataset(
 
     ``limits`` are ``rows_per_task``, ``large_snapshot`` and ``broadcast_bytes`` of :func:`load_versions`.
     """
-    table = BatchTable(spark, roots.tables, spec)
+    table = stored_table(spark, roots.tables, spec)
     try:
         checked = check_delivery(spark, spec, batch_date, roots, bad_rows)
         written = {}
@@ -231,7 +251,7 @@ def register_loaded(
     for spec in datasets:
         loaded = [r.batch_date for r in reports if r.ok and r.dataset == spec.name]
         if loaded:
-            register_table(BatchTable(spark, roots.tables, spec), f"{catalog}.{spec.name}", loaded)
+            register_table(stored_table(spark, roots.tables, spec), f"{catalog}.{spec.name}", loaded)
 
 
 def backfill(table: BatchTable, versions: DataFrame, batch: str) -> bool:

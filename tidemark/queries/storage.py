@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ from tidemark.queries.standins import (
 )
 from tidemark.session import prepare, work_folder
 from tidemark.sinks import register_table, write_partitioned
-from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed
+from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed, stored_table
 from tidemark.sources.csv import REASON
 from tidemark.specs import BATCH, STATUS, Dataset
 from tidemark.streaming import land_arrivals
@@ -99,7 +99,7 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _store(spark: SparkSession, spec: Dataset, parts: list[DataFrame], load, purpose: str) -> BatchTable:
     """Load deliveries in date order into a fresh table."""
     prepare(spark)
-    table = BatchTable(spark, work_folder(spark, purpose), spec)
+    table = stored_table(spark, work_folder(spark, purpose), spec)
     for batch_date, rows in zip(BATCHES, parts):
         load(table, rows, batch_date)
     return table
@@ -201,6 +201,21 @@ def scd2_by_start_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, by_start, parts, load_versions, "scd2_by_start_date").history()
 
 
+@query(history_sql(USERS_SQL, USERS, USERS_BATCH))
+def scd2_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of a table kept by a hash of the key, of which a batch writes touched buckets only."""
+    parts = deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS)
+    return _store(spark, replace(USERS, buckets=8), parts, load_versions, "scd2_by_key").history()
+
+
+@query(f"SELECT * EXCLUDE (status) FROM ({history_sql(SUBS_SQL, SUBS, SUBS_BATCH)}) h WHERE status = 'current'")
+def scd2_by_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of such a table where keys with two or more delivered rows count as too large for a task."""
+    parts = deliveries(subs(spark, sf_dir), "start_ts", ORDER_CUTS)
+    load = partial(load_versions, rows_per_task=1)
+    return _store(spark, replace(SUBS, buckets=8), parts, load, "scd2_by_key_split").current()
+
+
 @query(f"SELECT v.*, {TX_BATCH} AS batch_dt FROM ({TX_SQL}) v")
 def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _tx_table(spark, sf_dir, "catalog_register")

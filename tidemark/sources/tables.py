@@ -50,7 +50,6 @@ def batches_with(spark: SparkSession, root: str, batches: list[date], entry: str
         return [b for b, found in zip(batches, pool.map(contains, batches)) if found]
 
 
-
 class BatchTable:
     """The stored batches of one dataset below ``<root>/<dataset>``."""
 
@@ -112,7 +111,11 @@ class BatchTable:
         batches = [] if batch_date is None else [batch_date]
         if self._with(batches, DROPPED):
             raise LookupError(f"{self.spec.name}: the snapshot of {batch_date} was dropped")
-        return self._scan(self._status_paths(CURRENT, batches)).select(*self.spec.version_schema.names)
+        return self._scan(self._current_paths(batches)).select(*self.spec.version_schema.names)
+
+    def _current_paths(self, batches: list[date]) -> list[str]:
+        """Folders of the active versions after a batch (one or none)."""
+        return self._status_paths(CURRENT, batches)
 
     def current(self) -> DataFrame:
         """The active versions after the newest batch."""
@@ -135,5 +138,5 @@ class BatchTable:
 
     def _versions(self, batches: list[date]) -> DataFrame:
         """Closed versions of the given batches and current ones of the last."""
-        paths = self._status_paths(CLOSED, batches) + self._status_paths(CURRENT, batches[-1:])
+        paths = self._status_paths(CLOSED, batches) + self._current_paths(batches[-1:])
         return self._scan(paths).select(*self.spec.version_schema.names, STATUS)

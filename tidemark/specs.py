@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 EFF_START = "eff_start_date"
 EFF_END = "eff_end_date"
@@ -14,6 +14,8 @@ STATUS = "status"
 CURRENT = "current"
 CLOSED = "closed"
 BATCH = "batch_dt"
+KEY_HASH = "key_hash"
+BUCKET = "bucket"
 
 _FLOATING = ("float", "double")
 
@@ -39,7 +41,8 @@ class Dataset:
     versioned dataset ``keys`` name the entity, ``version_order`` and then
     ``ties`` say which of two versions is newer, and ``active`` is a SQL
     condition; a version whose condition is false or NULL is not active.
-    ``partition_by`` adds partition levels below the batch.
+    ``partition_by`` adds partition levels below the batch.  ``buckets`` keeps a versioned dataset by key: its
+    rows lie in so many buckets by a hash of their key, and a batch writes only those that its keys fall into.
     """
 
     name: str
@@ -52,12 +55,15 @@ class Dataset:
     required: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     csv_options: Mapping[str, str] = field(default_factory=dict, hash=False)
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         if self.load not in (FULL, FACT, VERSIONED):
             raise ValueError(f"{self.name}: unknown load {self.load!r}")
         if self.load == VERSIONED and not (self.keys and self.version_order and self.active):
             raise ValueError(f"{self.name}: a versioned dataset needs keys, version_order and active")
+        if self.buckets and (self.load != VERSIONED or self.partition_by):
+            raise ValueError(f"{self.name}: only a versioned dataset without further levels is kept by key")
         floating = [k for k in self.keys if k in self.schema.names and self.schema[k].dataType.typeName() in _FLOATING]
         if floating:
             raise ValueError(f"{self.name}: floating point keys {floating}")
@@ -96,12 +102,16 @@ class Dataset:
         if self.versioned:
             levels.append(StructField(STATUS, StringType()))
         plain = [f for f in body.fields if f.name not in self.partition_by]
+        if self.buckets:
+            plain.append(StructField(KEY_HASH, LongType()))
+            inner = [StructField(BUCKET, IntegerType())]
         return StructType([*plain, *levels, *inner])
 
     @property
     def stored_partitions(self) -> tuple[str, ...]:
         """Partition levels below the batch directory."""
-        return ((STATUS,) if self.versioned else ()) + self.partition_by
+        inner = (BUCKET,) if self.buckets else self.partition_by
+        return ((STATUS,) if self.versioned else ()) + inner
 
 
 # Names, columns and order of the delivered files, and the keys, version order and
