@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 
 def test_registered():
     names = driver.queries()
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(names)
 
 
@@ -41,7 +41,7 @@ def test_pipeline_stages(spark):
         corpus_pipeline.STAGES[:4],
         (
             lambda d: ids(d) - toxic,
-            lambda d: {r["component_id"] for r in ngram_join.join(d).collect()},
+            lambda d: {r["component_id"] for r in ngram_join.join(d, words=5, share=(80, 100)).collect()},
             lambda d: ids(d) - ids(decontamination.found_items(d, bench)),
             ids,
         ),

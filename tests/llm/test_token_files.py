@@ -2,10 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from corpus import ODD, SF, documents
-from tidemark.llm import token_files
+from tidemark.llm import token_files, tokens
 from tidemark.llm.registry import LLM_QUERIES
 from tidemark.llm.tokens import encoder
 from tidemark.session import work_folder
@@ -33,11 +34,25 @@ def test_pieces_give_the_tokenizers_ids(name):
 
 
 def test_look_up_stays_bounded(monkeypatch):
-    own = encoder("byte_bpe_50k.json")
-    monkeypatch.setattr("tidemark.llm.tokens.CACHE_PIECES", 10)
-    own.encode([" ".join(f"w{i}" for i in range(100))])
-    own.encode(["one two"])
-    assert len(own.pieces) < 100
+    """Two generations are kept; ids stay right while pieces come and go, whatever is merged or cut."""
+    own = tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for name, value in (("KEPT_PIECES", 50), ("MERGED_PIECES", 7), ("SLICE", 300)):
+        monkeypatch.setattr(tokens, name, value)
+    rng = random.Random(4)
+    for _ in range(40):
+        texts = [" ".join(f"w{rng.randint(0, 400)}x" for _ in range(rng.randint(0, 60))) for _ in range(5)] + [None, ""]
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert len(own.pieces) < 300
+
+
+def test_the_sample_is_small_whatever_repeats(spark, monkeypatch):
+    """Repeated texts count once, and no more texts reach the driver than asked for."""
+    monkeypatch.setattr(token_files, "SAMPLE_TEXTS", 7)
+    rows = [(1, "the same")] * 50 + [(k, f"text {k}") for k in range(2, 30)] + [(None, None), (40, "x" * 70_000)]
+    got = token_files.sample(documents(spark, rows))
+    assert len(got) == len(set(got)) == 7 and set(got) <= {t for _, t in rows[:-2]}
+    assert token_files.sample(documents(spark, [])) == []
 
 
 def test_query_round_trip(spark):

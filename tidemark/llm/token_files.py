@@ -8,7 +8,7 @@ A folder holds ``dictionary`` and shard files in ascending id order. A shard fil
     8 bytes  index offset, 8 bytes  documents, 8 bytes  magic
 
 so one document is read by its index entry and its frame alone. The dictionary is trained on a bounded
-sample (``SAMPLE_TEXTS`` texts with the smallest hash of the id, of at most ``SAMPLE_BYTES`` each).
+sample (the ``SAMPLE_TEXTS`` texts of smallest hash, of at most ``SAMPLE_BYTES`` each).
 Files are written under another name and moved when whole, so a task that runs again does no harm.
 
 Defined results: null texts are empty and have the end id only. Null ids come first. Repeated ids and
@@ -144,6 +144,19 @@ def read_document(folder: str, doc_id: int) -> np.ndarray | None:
     return None
 
 
+def sample(documents: DataFrame) -> list[str]:
+    """At most SAMPLE_TEXTS different texts of at most SAMPLE_BYTES each: those of least hash.
+
+    Tasks send hashes to the driver; only the texts chosen by them follow.
+    """
+    short = documents.where(F.octet_length("text") <= SAMPLE_BYTES).select("text", F.xxhash64("text").alias("at"))
+    least = [r["at"] for r in short.select("at").distinct().orderBy("at").limit(SAMPLE_TEXTS).collect()]
+    if not least:
+        return []
+    chosen = short.where(F.col("at") <= least[-1]).groupBy("at").agg(F.min("text").alias("text"))
+    return [r["text"] for r in chosen.orderBy("at").collect()]
+
+
 def encode_to_files(documents: DataFrame, folder: str, tokenizer: str = TOKENIZER, end: int = END) -> DataFrame:
     """Write the ids of all texts; returns the shards (shard, file, documents, tokens, start)."""
     spark = documents.sparkSession
@@ -153,14 +166,7 @@ def encode_to_files(documents: DataFrame, folder: str, tokenizer: str = TOKENIZE
     def ids(texts):
         return [x + last for x in encoder(tokenizer).encode(texts)]
 
-    sample = (
-        documents.where(F.octet_length("text") <= SAMPLE_BYTES)
-        .select("text", F.xxhash64("doc_id").alias("at"))
-        .orderBy("at", "text")
-        .limit(SAMPLE_TEXTS)
-    )
-    # at most SAMPLE_TEXTS of SAMPLE_BYTES each
-    raw = train_dictionary([packed(x, width) for x in ids([r["text"] for r in sample.collect()])])
+    raw = train_dictionary([packed(x, width) for x in ids(sample(documents))])
     system, path = open_folder(folder)
     system.create_dir(path, recursive=True)
     with system.open_output_stream(f"{path}/dictionary") as out:

@@ -1,13 +1,14 @@
 """Token ids of texts with a public tokenizer, encoding each distinct word once per worker.
 
 Both tokenizers split a text before they merge: no token crosses a space that stands between two
-characters that are not white space. Texts are cut there, pieces looked up by a 128-bit hash, and only
-unseen pieces encoded, many at a time. The look-up is arrays of a few dozen bytes a piece and is emptied at
-``CACHE_PIECES``, so a worker's memory is bounded.
+characters that are not white space. Texts are cut there, pieces looked up by a 128-bit hash among those met of
+late, and only others encoded, many at a time. The look-up is arrays of some 50 bytes a piece and bounded in number,
+and texts are encoded in slices of about ``SLICE`` characters, so a worker's memory is bounded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain, pairwise
 
 import numpy as np
@@ -17,23 +18,26 @@ import pyarrow.compute as pc
 import xxhash
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 3_000_000
+KEPT_PIECES = 800_000  # of a generation; some 50 bytes each
+MERGED_PIECES = 1 << 15
+SLICE = 2 << 20  # characters encoded at a time
 LONG_PIECE = 200  # characters; longer pieces are encoded but not kept
 _FIRST = "\x02"  # marks the first piece of a text, which follows no space
 
 
-class Pieces:
+def _runs(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` that begin and size name, one after another."""
+    ends = np.cumsum(size)
+    return ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Table:
     """Token ids by the hash of a piece, in arrays sorted by its first half."""
 
     def __init__(self) -> None:
-        self.clear()
-
-    def clear(self) -> None:
         self.first = self.second = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int32)
-        self.ids = np.zeros(0, "<u4")
-        self.used = 0
 
     def __len__(self) -> int:
         return len(self.first)
@@ -45,14 +49,7 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
         return np.where((self.first[at] == first) & (self.second[at] == second), at, -1)
 
-    def add(self, first: np.ndarray, second: np.ndarray, found: list[bytes]) -> None:
-        ids = np.frombuffer(b"".join(found), "<u4")
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), "<u4")])
-        self.ids[self.used : self.used + len(ids)] = ids
-        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
-        begin = self.used + np.cumsum(size, dtype=np.int64) - size
-        self.used += len(ids)
+    def add(self, first: np.ndarray, second: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
         whole = np.concatenate([self.first, first])
         order = np.argsort(whole, kind="stable")
         self.first = whole[order]
@@ -61,6 +58,74 @@ class Pieces:
         self.size = np.concatenate([self.size, size])[order]
 
 
+class Generation:
+    """Up to ``KEPT_PIECES`` pieces: a table, a small one that takes new pieces and is merged into it, the ids."""
+
+    def __init__(self) -> None:
+        self.table, self.latest = Table(), Table()
+        self.ids = np.zeros(0, "<u4")
+        self.used = 0
+
+    def __len__(self) -> int:
+        return len(self.table) + len(self.latest)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First id and number of ids of every hash; -1 where it is not known."""
+        begin, size = np.full(len(first), -1, np.int64), np.zeros(len(first), np.int64)
+        for table in (self.table, self.latest):
+            row = table.find(first, second)
+            here = np.flatnonzero(row >= 0)
+            begin[here], size[here] = table.begin[row[here]], table.size[row[here]]
+        return begin, size
+
+    def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(len(ids), self.used // 2), "<u4")])
+        self.ids[self.used : self.used + len(ids)] = ids
+        begin = self.used + np.cumsum(size, dtype=np.int64) - size
+        self.used += len(ids)
+        self.latest.add(first, second, begin, size.astype(np.int32))
+        if len(self.latest) > max(MERGED_PIECES, len(self.table) // 8):
+            self.table.add(self.latest.first, self.latest.second, self.latest.begin, self.latest.size)
+            self.latest = Table()
+
+
+class Pieces:
+    """Pieces met of late: when a generation is full it becomes the old one, and the one before it goes."""
+
+    def __init__(self) -> None:
+        self.young, self.old = Generation(), Generation()
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def ids(self, first: np.ndarray, second: np.ndarray, learn: Callable[[np.ndarray], tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after another, and how many each has.
+
+        ``learn`` gives the ids of the pieces of some places, their sizes, and which of them are to be kept.
+        """
+        known = [(g.ids, *g.find(first, second)) for g in (self.young, self.old)]
+        unseen = np.flatnonzero((known[0][1] < 0) & (known[1][1] < 0))
+        if len(unseen):
+            ids, sizes, kept = learn(unseen)
+            begin, size = np.full(len(first), -1, np.int64), np.zeros(len(first), np.int64)
+            begin[unseen], size[unseen] = np.cumsum(sizes) - sizes, sizes
+            known.append((ids, begin, size))
+            keep = unseen[kept]
+            self.young.add(first[keep], second[keep], _runs(ids, begin[keep], size[keep]), size[keep])
+        source = np.select([begin >= 0 for _, begin, _ in known], range(len(known)))
+        total = np.choose(source, [size for _, _, size in known])
+        starts = np.cumsum(total) - total
+        out = np.empty(int(total.sum()), "<u4")
+        for k, (ids, begin, size) in enumerate(known):
+            mine = np.flatnonzero(source == k)
+            places = np.repeat(starts[mine] - (np.cumsum(size[mine]) - size[mine]), size[mine])
+            out[places + np.arange(len(places))] = _runs(ids, begin[mine], size[mine])
+        if len(self.young) > KEPT_PIECES:
+            self.young, self.old = Generation(), self.young
+        return out, total
+
+
 def _hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(p.encode("utf-8", "surrogatepass")) for p in pieces]), np.uint64)
     return both[::2], both[1::2]
@@ -162,42 +227,43 @@ class WordEncoder:
             return piece[1:]
         return f" {piece}" if self.spaced and piece[:1] != "\n" else piece
 
-    def _looked_up(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First id, number of ids of every piece, and the ids they lie in."""
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        first, second = _hashes(distinct)
-        unseen = np.flatnonzero(self.pieces.find(first, second) < 0)
-        kept = [k for k in unseen.tolist() if len(distinct[k]) <= LONG_PIECE and distinct[k][:1] != _FIRST]
-        if kept:
-            self.pieces.add(first[kept], second[kept], self._learn([distinct[k] for k in kept]))
-        row = self.pieces.find(first, second)
-        here = row >= 0
-        begin, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        begin[here], size[here] = self.pieces.begin[row[here]], self.pieces.size[row[here]]
-        ids, other = self.pieces.ids[: self.pieces.used], np.flatnonzero(~here).tolist()
-        if other:
-            found = self._learn([distinct[k] for k in other])
-            size[other] = np.fromiter(map(len, found), np.int64, len(found)) // 4
-            begin[other] = len(ids) + np.cumsum(size[other]) - size[other]
-            ids = np.concatenate([ids, np.frombuffer(b"".join(found), "<u4")])
-        return begin, size, ids
+    def _looked_up(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after another, and how many each has."""
+
+        def learn(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            pieces = [distinct[k] for k in places.tolist()]
+            found = self._learn(pieces)
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            kept = [k for k, p in enumerate(pieces) if len(p) <= LONG_PIECE and p[:1] != _FIRST]
+            return np.frombuffer(b"".join(found), "<u4"), sizes, np.array(kept, np.int64)
+
+        return self.pieces.ids(*_hashes(distinct), learn)
 
     def _encode_plain(self, texts: list[str]) -> list[bytes]:
         """Texts that every space and line end cuts; each distinct piece of them is handled once."""
         cut = pc.split_pattern(pa.array([_FIRST + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
         which = coded.indices.to_numpy()
-        begins, sizes, ids = self._looked_up(coded.dictionary.to_pylist())
+        ids, sizes = self._looked_up(coded.dictionary.to_pylist())
         count = sizes[which]
         ends = np.cumsum(count)
-        # the tokens of every piece, one after another
-        at = np.repeat(begins[which] - (ends - count), count) + np.arange(ends[-1])
-        ids = ids[at].tobytes()
+        ids = _runs(ids, (np.cumsum(sizes) - sizes)[which], count).tobytes()
         cuts = [0, *(4 * ends[cut.offsets.to_numpy()[1:] - 1]).tolist()]
         return [ids[a:b] for a, b in pairwise(cuts)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of all texts, some at a time; a text longer than a slice is one by itself."""
+        out: list[bytes] = []
+        start = size = 0
+        for k, text in enumerate(texts):
+            more = len(text or "")
+            if size and size + more > SLICE:
+                out += self._encode(texts[start:k])
+                start, size = k, 0
+            size += more
+        return out + self._encode(texts[start:])
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         plain = [k for k, t in enumerate(texts) if t and self._plain(t)]
         out = [b""] * len(texts)
         for k, ids in zip(plain, self._encode_plain([texts[k] for k in plain]) if plain else [], strict=True):
@@ -209,8 +275,9 @@ class WordEncoder:
         rest = [k for k in rest if _FIRST not in texts[k]]
         cut = [self._cut(texts[k]) for k in rest]
         distinct = list(set(chain.from_iterable(cut)))
-        begins, sizes, ids = self._looked_up(distinct)
-        found = {p: ids[a : a + n].tobytes() for p, a, n in zip(distinct, begins.tolist(), sizes.tolist(), strict=True)}
+        ids, sizes = self._looked_up(distinct)
+        ids, cuts = ids.tobytes(), [0, *(4 * np.cumsum(sizes)).tolist()]
+        found = {p: ids[a:b] for p, (a, b) in zip(distinct, pairwise(cuts), strict=True)}
         for k, pieces in zip(rest, cut, strict=True):
             out[k] = b"".join(map(found.__getitem__, pieces))
         return out
