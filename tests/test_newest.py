@@ -9,7 +9,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows_of
+from helpers import rows_of, users
 from tidemark import operators as op
 from tidemark.functions import newest_first
 from tidemark.operators.hot_keys import SPLITS
@@ -136,6 +136,41 @@ def test_rebuild_equals_brute_force(spark, rows_per_task):
     assert rows_of(rebuilt, *WHAT) == brute_force(rows)
 
 
+@pytest.mark.parametrize("rows_per_task", [2_000_000, 6])
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_rebuild_in_any_order_equals_the_daily_steps(spark, seed, rows_per_task):
+    """Late rows, rows after a cancellation, and late rows behind several cancellations."""
+    rows = skewed_users(spark, seed, rows=150, in_order=False)
+    rows = rows.dropDuplicates(["user_id", "user_updated_timestamp"]).cache()
+    rebuilt = op.rebuild(rows, USERS, "delivered", rows_per_task)
+    assert rows_of(rebuilt, *WHAT) == brute_force(rows)
+
+
+def test_rebuild_behind_nested_cancellations(spark):
+    """Every order of active and inactive versions of one key, one a day."""
+    from itertools import permutations, product
+
+    rows, key = [], 0
+    for order in permutations(range(1, 5)):
+        for lives in product([True, False], repeat=4):
+            key += 1
+            for day, (version, active) in enumerate(zip(order, lives)):
+                rows.append((key, DAY + timedelta(days=day), f"01-{version:02d}", active))
+    # the day of a version is kept in the name
+    frame = users(spark, *((k, v, a) for k, _, v, a in rows)).drop("user_name")
+    days = spark.createDataFrame([(k, f"2025-{v}", str(d)) for k, d, v, _ in rows], "user_id int, v string, user_name string")
+    days = days.select("user_id", F.col("v").cast("timestamp").alias("user_updated_timestamp"), "user_name")
+    rows = frame.join(days, ["user_id", "user_updated_timestamp"]).select(*USERS.schema.names)
+    rows = rows.withColumn("delivered", F.col("user_name").cast("date")).cache()
+    assert rows_of(op.rebuild(rows, USERS, "delivered"), *WHAT) == brute_force(rows)
+
+
+def test_rebuild_refuses_undated_rows(spark):
+    rows = skewed_users(spark, 4).withColumn("delivered", F.when(F.col("user_id") > 1, F.col("delivered")))
+    with pytest.raises(ValueError, match="have no delivered"):
+        op.rebuild(rows, USERS, "delivered")
+
+
 def test_rebuild_of_copies_with_hot_days(spark):
     rows = skewed_users(spark, 4)
     assert rows_of(op.rebuild(rows, USERS, "delivered", 5)) == rows_of(op.rebuild(rows, USERS, "delivered"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helpers import rows_of, stored_subs, subs
@@ -15,7 +17,7 @@ from tidemark.batches import delivery_path, parse_batch_date
 from tidemark.operators import step
 from tidemark.plans import Roots, backfill, load_fact, load_full, load_versions, refused_rows, run_batch
 from tidemark.sinks import drop_old_snapshots, register_table
-from tidemark.sources import BatchTable
+from tidemark.sources import BatchTable, KeyedTable
 from tidemark.specs import DATASETS, PRICE_PLANS, STATUS, SUBSCRIPTIONS, TRANSACTIONS, USERS
 
 DAYS = [date(2025, 1, d) for d in (20, 21, 23)]
@@ -138,8 +140,29 @@ def test_backfill_stores_the_same_history(spark, table, tmp_path):
     assert rows_of(other.history()) == rows_of(table.history())
     for day in DAYS:
         assert starts(other.as_of(day)) == starts(table.as_of(day))
-    late = whole.unionByName(subs(spark, ("01-01", None)).withColumn("delivered", F.lit(DAYS[2])))
-    assert not backfill(BatchTable(spark, str(tmp_path / "late"), SUBSCRIPTIONS), late, "delivered")
+    assert not backfill(BatchTable(spark, str(tmp_path / "none"), SUBSCRIPTIONS), whole.limit(0), "delivered")
+
+
+def test_backfill_of_late_rows_equals_the_daily_steps(spark, tmp_path):
+    """Late rows, a cancelled key that is sent again, and a table kept by key."""
+    parts = [
+        subs(spark, ("01-20", None), ("01-20", "01-20", None, 2, 1)),
+        subs(spark, ("01-10", None), ("01-19", None, None, 2, 1), ("01-22", "01-22", None, 3, 1)),
+        subs(spark, ("01-21", None), ("01-18", "01-21", None, 2, 1), ("01-01", None, None, 3, 1)),
+    ]
+    daily = BatchTable(spark, str(tmp_path / "daily"), SUBSCRIPTIONS)
+    whole = []
+    for day, rows in zip(DAYS, parts):
+        load_versions(daily, rows, day)
+        whole.append(rows.withColumn("delivered", F.lit(day)))
+    by_key = replace(SUBSCRIPTIONS, buckets=4)
+    for other in (BatchTable(spark, str(tmp_path / "all"), SUBSCRIPTIONS), KeyedTable(spark, str(tmp_path / "keyed"), by_key)):
+        assert backfill(other, reduce(DataFrame.unionByName, whole), "delivered")
+        assert rows_of(other.history()) == rows_of(daily.history())
+        for day in DAYS:
+            assert rows_of(other.as_of(day)) == rows_of(daily.as_of(day))
+        load_versions(other, subs(spark, ("01-28", None)), date(2025, 1, 30))
+    assert other.layout(date(2025, 1, 30)) and other.current().count() == daily.current().count()
 
 
 def test_full_and_fact(spark, tmp_path):

@@ -1,13 +1,13 @@
 from tidemark.operators.by_key import step_by_key, touched_buckets
 from tidemark.operators.hot_keys import KeyCounts, count_keys
 from tidemark.operators.newest import latest_per_key, mark_newest, superseded
+from tidemark.operators.rebuild import rebuild, survey
 from tidemark.operators.union import conform, union_by_name
 from tidemark.operators.versions import (
     active_rows,
     arrives_in_order,
     as_of,
     inactive_rows,
-    rebuild,
     stamp_open,
     step,
 )
@@ -27,6 +27,7 @@ __all__ = [
     "step",
     "step_by_key",
     "superseded",
+    "survey",
     "touched_buckets",
     "union_by_name",
 ]

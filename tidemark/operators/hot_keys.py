@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir
@@ -54,7 +54,7 @@ class KeyCounts:
         """Upper bounds for a frame known to have so few rows that no key can be hot; runs no job."""
         if rows > rows_per_task:
             raise ValueError(f"{rows} rows may hold a hot key, count them")
-        return cls(_per_key(df, keys), tuple(keys), rows, rows, rows, None)
+        return cls(per_key(df, keys), tuple(keys), rows, rows, rows, None)
 
     def names(self) -> list[str]:
         """Key columns under names that cannot clash with the counted frame."""
@@ -85,19 +85,27 @@ def count_keys(df: DataFrame, keys: Sequence[str]) -> KeyCounts:
 
     Reads the key columns only; partial aggregation reduces a hot key to one row per task.
     """
-    table = _per_key(df, keys)
+    table = per_key(df, keys)
+    return counted(table, keys, table.agg(*key_totals(keys)).first())
+
+
+def key_totals(keys: Sequence[str]) -> list[Column]:
+    """Totals over a table of rows per key."""
     text = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
-    row = table.agg(
+    return [
         F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("keys"),
         F.coalesce(F.max(_N), F.lit(0)).alias("largest"),
         F.coalesce(F.sum(sum(text, F.lit(_BYTES_PER_KEY))), F.lit(0)).alias("bytes"),
-    ).first()
-    return KeyCounts(table, tuple(keys), row["rows"], row["keys"], row["largest"], row["bytes"])
+    ]
+
+
+def counted(table: DataFrame, keys: Sequence[str], totals: Row) -> KeyCounts:
+    return KeyCounts(table, tuple(keys), totals["rows"], totals["keys"], totals["largest"], totals["bytes"])
 
 
-def _per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+def per_key(df: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N), *more)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The type 2 step, the whole-history rebuild, and reads over histories."""
+"""The type 2 step, and reads over histories."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import current_status, is_active, newest_first, oldest_first, same_key
-from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK, SPLITS, KeyCounts, checkpointed, count_keys
-from tidemark.operators.newest import NEWEST, mark_newest, split_rows
+from tidemark.functions import current_status, is_active, newest_first
+from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK, KeyCounts, checkpointed, count_keys
+from tidemark.operators.newest import NEWEST, mark_newest
 from tidemark.operators.touched import divide
 from tidemark.operators.union import conform, union_by_name
 from tidemark.specs import EFF_END, EFF_START, STATUS, Dataset
@@ -77,48 +77,6 @@ def step(
     )
 
 
-def rebuild(versions: DataFrame, spec: Dataset, batch: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The whole history from all deliveries at once, in place of one step per day.
-
-    ``batch`` is the delivery date of each row.  A version starts on its own batch and ends
-    on the batch of the next version of its key, or at once if it is not active.  This
-    equals the daily steps if deliveries arrive in version order, see :func:`arrives_in_order`.
-    """
-    hot = count_keys(versions, spec.keys).hot(rows_per_task)
-    next_batch = F.lead(batch).over(
-        Window.partitionBy(*spec.keys).orderBy(F.col(batch).asc_nulls_first(), *oldest_first(spec, None))
-    )
-    if hot is None:
-        return _with_interval(versions.withColumn("_next", next_batch), spec, batch)
-
-    # Of a hot key only the newest version of each batch can outlive that batch, so
-    # the window over the whole key sees one row per batch.
-    listed = hot.columns[: len(spec.keys)]
-    match = same_key(spec.keys, listed)
-    cold_rows = versions.join(F.broadcast(hot), match, "left_anti").withColumn("_next", next_batch)
-    hot_rows = versions.join(F.broadcast(hot), match, "left_semi")
-    day_keys = [*spec.keys, batch]
-    hot_days = count_keys(hot_rows, day_keys).hot(rows_per_task)
-    marked = mark_newest(hot_rows, day_keys, newest_first(spec, None), hot_days)
-    parts = split_rows(marked.join(F.broadcast(hot), match, "inner").drop(*listed), versions.columns)
-    lane = F.when(F.col(NEWEST), F.lit(-1).cast("long")).otherwise(F.col("_part"))
-    later = F.lead(batch).over(Window.partitionBy(*spec.keys, "_part").orderBy(F.col(batch).asc_nulls_first()))
-    hot_rows = parts.withColumn("_part", lane).withColumn(
-        "_next", F.when(F.col(NEWEST), later).otherwise(F.col(batch))
-    )
-    return _with_interval(cold_rows.unionByName(hot_rows.drop(NEWEST, "_part", SPLITS)), spec, batch)
-
-
-def _with_interval(df: DataFrame, spec: Dataset, batch: str) -> DataFrame:
-    end = F.when(is_active(spec), F.col("_next")).otherwise(F.col(batch))
-    return df.select(
-        *spec.schema.names,
-        F.col(batch).alias(EFF_START),
-        end.alias(EFF_END),
-        current_status(is_active(spec) & F.col("_next").isNull()).alias(STATUS),
-    )
-
-
 def arrives_in_order(versions: DataFrame, spec: Dataset, batch: str) -> bool:
     """Whether no row is older than a row of its key from an earlier batch.
 

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
-from tidemark.operators import KeyCounts, arrives_in_order, count_keys, rebuild, step, step_by_key, touched_buckets
+from tidemark.operators import KeyCounts, count_keys, rebuild, step, step_by_key, survey, touched_buckets
 from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
 from tidemark.session import OPEN_FILES, prepare
-from tidemark.sinks import register_table, write_batch, write_keyed, write_partitioned
+from tidemark.sinks import register_table, write_all_keyed, write_batch, write_keyed, write_partitioned
 from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
 from tidemark.sources.csv import RAW, REASON
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
@@ -257,16 +257,17 @@ def register_loaded(
 def backfill(table: BatchTable, versions: DataFrame, batch: str) -> bool:
     """Store a whole history in one pass, as the batch of its last delivery.
 
-    Returns False, having written nothing, if there are no deliveries or if they are out of
-    version order: then only the daily steps give the right history.  Rows without a delivery date, and a
-    table that has batches already, are errors.
+    Versions may have arrived in any order.  Returns False, having written nothing, if there are no deliveries.
+    Rows without a delivery date, and a table that has batches already, are errors.
     """
     if stored := table.batches():
         raise ValueError(f"{table.spec.name} has batches from {stored[0]} to {stored[-1]}; a back-fill would repeat them")
-    last, undated = versions.agg(F.max(batch), F.count_if(F.col(batch).isNull())).first()
-    if undated:
-        raise ValueError(f"{undated} rows of {table.spec.name} have no {batch}")
-    if last is None or not arrives_in_order(versions, table.spec, batch):
+    surveyed = survey(versions, table.spec, batch)
+    if surveyed.last is None:
         return False
-    write_batch(rebuild(versions, table.spec, batch), table, last)
+    history = rebuild(versions, table.spec, batch, surveyed=surveyed)
+    if isinstance(table, KeyedTable):
+        write_all_keyed(history, table, surveyed.last)
+    else:
+        write_batch(history, table, surveyed.last)
     return True

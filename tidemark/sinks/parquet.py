@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
+from tidemark.operators.by_key import bucket_of, key_hash
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.tables import DROPPED, FINISHED, BatchTable, file_system
 from tidemark.specs import BUCKET, CURRENT, KEY_HASH, STATUS
@@ -58,6 +59,14 @@ def write_keyed(df: DataFrame, table: KeyedTable, batch_date: date, touched: set
     finish(table, batch_date)
 
 
+def write_all_keyed(versions: DataFrame, table: KeyedTable, batch_date: date) -> None:
+    """Store whole versions as a batch of a table that is kept by key; the rows are shuffled into their buckets."""
+    spec = table.spec
+    placed = versions.withColumn(KEY_HASH, key_hash(spec)).repartition(spec.buckets, KEY_HASH)
+    every = set(range(spec.buckets))
+    write_keyed(placed.withColumn(BUCKET, bucket_of(spec)), table, batch_date, every, None)
+
+
 def write_buckets(df: DataFrame, table: KeyedTable, path: str) -> None:
     """Replace a folder, with levels by status and bucket, its files named by bucket as Spark's bucketed reads want.
 
