@@ -1,6 +1,7 @@
 from tidemark.operators.by_key import step_by_key, touched_buckets
 from tidemark.operators.hot_keys import KeyCounts, count_keys
 from tidemark.operators.newest import latest_per_key, mark_newest, superseded
+from tidemark.operators.point_in_time import with_version
 from tidemark.operators.rebuild import rebuild, survey
 from tidemark.operators.union import conform, union_by_name
 from tidemark.operators.versions import (
@@ -30,4 +31,5 @@ __all__ = [
     "survey",
     "touched_buckets",
     "union_by_name",
+    "with_version",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import operators as op
 from tidemark.functions import newest_first
 from tidemark.queries.registry import query
-from tidemark.queries.standins import SUBS, SUBS_SQL, USERS, USERS_SQL, history_sql, subs, users
+from tidemark.queries.standins import SUBS, SUBS_SQL, USERS, USERS_SQL, history_sql, subs, table, users
 from tidemark.specs import EFF_START, Dataset
 
 STEP_DATE = date(2024, 2, 1)
@@ -82,14 +82,18 @@ def filter_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.inactive_rows(users(spark, sf_dir), USERS)
 
 
-def _step(versions: DataFrame, spec: Dataset, cut: str) -> DataFrame:
+def _parts(versions: DataFrame, spec: Dataset, cut: str) -> tuple[DataFrame, DataFrame]:
     """All versions before the cut give the snapshot, all others are the delivery."""
     before = F.col(spec.version_order) < F.lit(cut).cast("timestamp_ntz")
     latest = op.latest_per_key(versions.where(before), spec.keys, newest_first(spec, None))
     existing = op.active_rows(latest, spec).withColumns(
         {EFF_START: F.col(spec.version_order).cast("date"), "eff_end_date": F.lit(None).cast("date")}
     )
-    return op.step(existing, versions.where(~F.coalesce(before, F.lit(False))), spec, STEP_DATE)
+    return existing, versions.where(~F.coalesce(before, F.lit(False)))
+
+
+def _step(versions: DataFrame, spec: Dataset, cut: str, **limits: object) -> DataFrame:
+    return op.step(*_parts(versions, spec, cut), spec, STEP_DATE, **limits)
 
 
 def _step_sql(source: str, spec: Dataset, cut: str) -> str:
@@ -120,6 +124,32 @@ def scd2_step_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _step(users(spark, sf_dir), USERS, USERS_CUT)
 
 
+@query(_step_sql(SUBS_SQL, SUBS, SUBS_CUT))
+def scd2_step_by_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The step in which a list of the delivered keys keeps all other stored rows out of the shuffle."""
+    return _step(subs(spark, sf_dir), SUBS, SUBS_CUT, touched_only=True)
+
+
+@query(_step_sql(SUBS_SQL, SUBS, SUBS_CUT))
+def scd2_step_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a bitmap, since the list is held to be too large."""
+    existing, incoming = _parts(subs(spark, sf_dir), SUBS, SUBS_CUT)
+    counts = op.count_keys(incoming, SUBS.keys)
+    limit = 16 * max(64, counts.total_keys)
+    return op.step(existing, incoming, SUBS, STEP_DATE, counts, touched_only=True, broadcast_bytes=limit)
+
+
+@query(_step_sql(USERS_SQL, USERS, USERS_CUT))
+def scd2_step_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The step in which keys with more than four delivered rows are ranked in parts."""
+    return _step(users(spark, sf_dir), USERS, USERS_CUT, rows_per_task=4)
+
+
+@query(_step_sql(USERS_SQL, USERS, USERS_CUT))
+def scd2_step_split_by_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step(users(spark, sf_dir), USERS, USERS_CUT, rows_per_task=4, touched_only=True)
+
+
 @query(history_sql(USERS_SQL, USERS, "CAST(updated_ts AS DATE)"))
 def scd2_rebuild_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per calendar day, the whole history at once."""
@@ -131,3 +161,85 @@ def scd2_rebuild_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_rebuild_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = subs(spark, sf_dir).withColumn("delivered", F.col("start_ts").cast("date"))
     return op.rebuild(versions, SUBS, "delivered")
+
+
+# Deliveries in an order that has nothing to do with the versions: thirty batches by a rule on the version.
+_LATE = "DATE '2024-01-01' + CAST(version_id * 7919 % 30 AS INTEGER)"
+
+
+def _any_order(versions: DataFrame) -> DataFrame:
+    days = (F.col("version_id") * 7919 % 30).cast("int")
+    return versions.withColumn("delivered", F.date_add(F.lit(date(2024, 1, 1)), days))
+
+
+def any_order_sql(source: str, spec: Dataset, batch: str) -> str:
+    """The history of deliveries in any order.
+
+    Of a key's rows in a batch the newest may outlive it.  It ends where the next newer one comes, and never lives
+    if an older batch's active one, newer than it, has not ended by then.
+    """
+    keys, names = ", ".join(spec.keys), ", ".join(f"x.{n}" for n in spec.schema.names)
+    same = " AND ".join(f"x.{k} IS NOT DISTINCT FROM y.{k}" for k in spec.keys)
+    return f"""
+WITH delivered AS (SELECT v.*, {batch} AS b FROM ({source}) v),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {spec.version_order} NULLS FIRST, version_id, b) AS rk FROM delivered),
+led AS (SELECT *, rk = MAX(rk) OVER (PARTITION BY {keys}, b) AS leads FROM ranked),
+ends AS (SELECT {", ".join(f"x.{k}" for k in spec.keys)}, x.rk, x.b, ({spec.active}) AS lives,
+  (SELECT MIN(y.b) FROM led y WHERE {same} AND y.leads AND y.b > x.b AND y.rk > x.rk) AS nb FROM led x WHERE x.leads),
+judged AS (SELECT {names}, x.b, y.nb, coalesce(y.lives, false) AND NOT EXISTS (SELECT 1 FROM ends z
+    WHERE {same.replace("x.", "z.").replace("y.", "x.")} AND z.lives AND z.b < x.b AND z.rk > x.rk AND (z.nb IS NULL OR z.nb > x.b)) AS lived
+  FROM led x LEFT JOIN ends y ON {same} AND x.rk = y.rk)
+SELECT * EXCLUDE (b, nb, lived), b AS eff_start_date, CASE WHEN lived THEN nb ELSE b END AS eff_end_date,
+  CASE WHEN lived AND nb IS NULL THEN 'current' ELSE 'closed' END AS status FROM judged"""
+
+
+@query(any_order_sql(USERS_SQL, USERS, _LATE))
+def scd2_rebuild_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that arrive long after newer ones, and after their key was closed."""
+    return op.rebuild(_any_order(users(spark, sf_dir)), USERS, "delivered")
+
+
+@query(any_order_sql(SUBS_SQL, SUBS, _LATE))
+def scd2_rebuild_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where keys with more than two rows are ranked in parts."""
+    return op.rebuild(_any_order(subs(spark, sf_dir)), SUBS, "delivered", rows_per_task=2)
+
+
+def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as payments of the subscription that their order belongs to."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("subs_id"))
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        F.col("l_shipdate").alias("paid_ts"),
+    )
+    return items.join(orders, "o_orderkey").select("user_id", "subs_id", F.col("o_orderkey").alias("order_id"), "line", "amount", "paid_ts")
+
+
+_PAYMENTS_SQL = """SELECT o_custkey AS user_id, o_orderpriority AS subs_id, o_orderkey AS order_id, l_linenumber AS line,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_shipdate AS paid_ts FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+_VALID_SQL = f"""SELECT f.*, h.version_id, h.eff_start_date, h.eff_end_date FROM ({_PAYMENTS_SQL}) f
+LEFT JOIN ({history_sql(SUBS_SQL, SUBS, "CAST(start_ts AS DATE)")}) h
+  ON h.user_id = f.user_id AND h.subs_id = f.subs_id AND h.eff_start_date <= CAST(f.paid_ts AS DATE)
+  AND (h.eff_end_date IS NULL OR h.eff_end_date > CAST(f.paid_ts AS DATE))"""
+
+
+def _valid(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    versions = subs(spark, sf_dir).withColumn("delivered", F.col("start_ts").cast("date"))
+    payments = _payments(spark, sf_dir)
+    found = op.with_version(payments, op.rebuild(versions, SUBS, "delivered"), SUBS, "paid_ts", **limits)
+    return found.select(*payments.columns, "version.version_id", "version.eff_start_date", "version.eff_end_date")
+
+
+@query(_VALID_SQL)
+def transactions_with_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every payment with the version of its subscription that was valid on its day, if any."""
+    return _valid(spark, sf_dir)
+
+
+@query(_VALID_SQL)
+def transactions_with_version_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where subscriptions with more than ten payments are dealt into lanes."""
+    return _valid(spark, sf_dir, rows_per_task=10)
