@@ -36,7 +36,7 @@ def test_pieces_give_the_tokenizers_ids(name):
 def test_look_up_stays_bounded(monkeypatch):
     """Two generations are kept; ids stay right while pieces come and go, whatever is merged or cut."""
     own = tokens.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
-    for name, value in (("KEPT_PIECES", 50), ("MERGED_PIECES", 7), ("SLICE", 300)):
+    for name, value in (("KEPT_PIECES", 50), ("MERGED_PIECES", 7), ("SLICE", 300), ("IDLE_PIECES", 20)):
         monkeypatch.setattr(tokens, name, value)
     rng = random.Random(4)
     for _ in range(40):
@@ -44,6 +44,9 @@ def test_look_up_stays_bounded(monkeypatch):
         for text, ids in zip(texts, own.encode(texts), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text or "", add_special_tokens=False).ids
         assert len(own.pieces) < 300
+        if rng.random() < 0.2:
+            own.pieces.shrink()
+            assert len(own.pieces) <= 20
 
 
 def test_the_sample_is_small_whatever_repeats(spark, monkeypatch):

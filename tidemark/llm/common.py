@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +14,7 @@ from tidemark.session import work_folder
 
 # Rows a Python worker holds at a time; long texts count by bytes as well.
 BATCH_ROWS = 4096
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", str(BATCH_ROWS)),
     "spark.sql.execution.arrow.maxBytesPerBatch": (None, str(BATCH_BYTES)),
@@ -42,6 +44,19 @@ def stored(frame: DataFrame, purpose: str, partition_by: str | None = None) -> D
     return spark.read.schema(frame.schema).parquet(path)
 
 
+# Called in a Python worker when a task ends, so that workers that wait for the next one hold little.
+AFTER_TASK: list[Callable[[], None]] = []
+
+
+def give_back() -> None:
+    """Drop what tasks leave behind and return free memory to the system, where it can be asked to take it."""
+    for release in AFTER_TASK:
+        release()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every platform's library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(frame: DataFrame, function: Callable[..., dict[str, list]], schema: str, *columns: str) -> DataFrame:
     """Apply ``function`` to lists of the columns, batch by batch; it returns lists by output name.
 
@@ -55,10 +70,13 @@ def map_rows(frame: DataFrame, function: Callable[..., dict[str, list]], schema:
     arrow = to_arrow_schema(fields)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            if part.num_rows:
-                found = function(*(part.column(n).to_pylist() for n in names))
-                yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
+        try:
+            for part in parts:
+                if part.num_rows:
+                    found = function(*(part.column(n).to_pylist() for n in names))
+                    yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
+        finally:
+            give_back()
 
     return frame.select(*names).mapInArrow(batches, schema)
 

@@ -18,8 +18,11 @@ import pyarrow.compute as pc
 import xxhash
 from tokenizers import Tokenizer
 
+from tidemark.llm.common import AFTER_TASK
+
 KEPT_PIECES = 800_000  # of a generation; some 50 bytes each
 MERGED_PIECES = 1 << 15
+IDLE_PIECES = 100_000  # kept between tasks
 SLICE = 2 << 20  # characters encoded at a time
 LONG_PIECE = 200  # characters; longer pieces are encoded but not kept
 _FIRST = "\x02"  # marks the first piece of a text, which follows no space
@@ -90,6 +93,15 @@ class Generation:
             self.latest = Table()
 
 
+    def first_learnt(self, most: int) -> Generation:
+        """The pieces that came first, which are the frequent ones."""
+        few = Generation()
+        columns = [np.concatenate([getattr(t, n) for t in (self.table, self.latest)]) for n in ("first", "second", "begin", "size")]
+        first, second, begin, size = (c[np.argsort(columns[2])[:most]] for c in columns)
+        few.add(first, second, _runs(self.ids, begin, size.astype(np.int64)), size.astype(np.int64))
+        return few
+
+
 class Pieces:
     """Pieces met of late: when a generation is full it becomes the old one, and the one before it goes."""
 
@@ -99,6 +111,10 @@ class Pieces:
     def __len__(self) -> int:
         return len(self.young) + len(self.old)
 
+    def shrink(self) -> None:
+        """Keep little until the next task."""
+        self.young, self.old = (self.young if len(self.old) == 0 else self.old).first_learnt(IDLE_PIECES), Generation()
+
     def ids(self, first: np.ndarray, second: np.ndarray, learn: Callable[[np.ndarray], tuple]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, one after another, and how many each has.
 
@@ -291,3 +307,11 @@ def encoder(name: str) -> WordEncoder:
     if name not in _encoders:
         _encoders[name] = WordEncoder(name if "/" in name else public_tokenizers.path(name))
     return _encoders[name]
+
+
+def _shrink() -> None:
+    for known in _encoders.values():
+        known.pieces.shrink()
+
+
+AFTER_TASK.append(_shrink)

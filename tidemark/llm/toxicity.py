@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, small_batches, stored, table
+from tidemark.llm.common import give_back, map_rows, small_batches, stored, table
 from tidemark.llm.registry import query
 
 SAMPLE_ROWS = 9_000  # labelled rows the model is fitted on, at most
@@ -280,9 +280,12 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
     small_batches(documents.sparkSession)
 
     def keep(parts):
-        for part in parts:
-            if part.num_rows:
-                yield part.filter(pa.array(model.score(part.column("text").to_pylist()) < THRESHOLD))
+        try:
+            for part in parts:
+                if part.num_rows:
+                    yield part.filter(pa.array(model.score(part.column("text").to_pylist()) < THRESHOLD))
+        finally:
+            give_back()
 
     return documents.mapInArrow(keep, documents.schema)
 
