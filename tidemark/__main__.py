@@ -27,6 +27,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--bad-rows", choices=["refuse", "null"], default="refuse")
     parser.add_argument("--broadcast-mb", type=int, help="largest list or bitmap of delivered keys to broadcast")
     parser.add_argument("--large-snapshot-mb", type=int, help="snapshots above are read twice to spare a shuffle")
+    parser.add_argument("--repair", action="store_true", help="bring later batches of histories up to date")
     parser.add_argument("--catalog", help="database in which to register the tables")
     try:
         given = parser.parse_args(arguments)
@@ -52,7 +53,7 @@ def main(arguments: list[str] | None = None) -> int:
         reports = run_arrivals(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)
     else:
         roots = Roots(given.deliveries, given.checked, given.tables)
-        reports = run_batch(spark, batch_date, roots, datasets, **options)
+        reports = run_batch(spark, batch_date, roots, datasets, **options, repair=given.repair)
     for report in reports:
         print(report)
     return 0 if all(report.ok for report in reports) else 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -35,7 +36,12 @@ def survey(versions: DataFrame, spec: Dataset, batch: str) -> Survey:
 
 
 def rebuild(
-    versions: DataFrame, spec: Dataset, batch: str, rows_per_task: int = ROWS_PER_TASK, surveyed: Survey | None = None
+    versions: DataFrame,
+    spec: Dataset,
+    batch: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    surveyed: Survey | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """The whole history from all deliveries at once, in place of one step per day.
 
@@ -52,7 +58,7 @@ def rebuild(
 
     Records come from a running maximum; only leaders behind an inactive record, at most one a batch, are gathered.
     Everything happens in one division of the rows by key.  Keys too large for a task are split first: their
-    leaders are found in parts.
+    leaders are found in parts.  ``carried`` columns are kept and decide nothing.
     """
     surveyed = surveyed or survey(versions, spec, batch)
     hot = surveyed.counts.hot(rows_per_task)
@@ -92,6 +98,7 @@ def rebuild(
         F.col(batch).alias(EFF_START),
         F.col("_end").alias(EFF_END),
         current_status(F.col("_end").isNull()).alias(STATUS),
+        *carried,
     )
 
 

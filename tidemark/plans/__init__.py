@@ -11,6 +11,7 @@ from tidemark.plans.daily import (
     register_loaded,
     run_batch,
 )
+from tidemark.plans.repair import rerun
 
 __all__ = [
     "LoadReport",
@@ -23,5 +24,6 @@ __all__ = [
     "load_versions",
     "refused_rows",
     "register_loaded",
+    "rerun",
     "run_batch",
 ]

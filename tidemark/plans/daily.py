@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.batches import delivery_path
 from tidemark.operators import KeyCounts, count_keys, rebuild, step, step_by_key, survey, touched_buckets
 from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
+from tidemark.plans.repair import rerun
 from tidemark.session import OPEN_FILES, prepare
 from tidemark.sinks import register_table, write_all_keyed, write_batch, write_keyed, write_partitioned
 from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
@@ -39,8 +40,9 @@ class Roots:
 class LoadReport:
     """What one load did.
 
-    ``stale`` lists later batches that must now be run again, ``unfinished`` earlier ones whose write was lost:
-    the load passed over them, and is to be run again after them.  Files without a date have no ``batch_date``.
+    ``stale`` lists later batches that must now be run again, ``repaired`` those that were brought up to date,
+    ``unfinished`` earlier ones whose write was lost: the load passed over them, and is to be run again after
+    them.  Files without a date have no ``batch_date``.
     """
 
     dataset: str
@@ -53,6 +55,7 @@ class LoadReport:
     closed: int = 0
     stale: tuple[date, ...] = ()
     unfinished: tuple[date, ...] = ()
+    repaired: tuple[date, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -200,26 +203,32 @@ def load_dataset(
     roots: Roots,
     bad_rows: str = "refuse",
     limits: Mapping[str, int] | None = None,
+    repair: bool = False,
 ) -> LoadReport:
     """Check and load one dataset; an error is reported, not raised, so that other loads go on.
 
-    ``limits`` are ``rows_per_task``, ``large_snapshot`` and ``broadcast_bytes`` of :func:`load_versions`.
+    ``limits`` are ``rows_per_task``, ``large_snapshot`` and ``broadcast_bytes`` of :func:`load_versions`.  With
+    ``repair`` later batches of a history are brought up to date, without it they are reported as stale.
     """
     table = stored_table(spark, roots.tables, spec)
     try:
         checked = check_delivery(spark, spec, batch_date, roots, bad_rows)
-        written = {}
+        written, repaired = {}, ()
         if spec.load == FULL:
             load_full(table, checked.rows, batch_date)
         elif spec.load == FACT:
             load_fact(table, checked.rows, batch_date, checked.partition_values)
+        elif repair:
+            load = lambda: written.update(load_versions(table, checked.rows, batch_date, checked.accepted, **(limits or {})))
+            repaired = rerun(table, batch_date, load, checked.rows)
         else:
             written = load_versions(table, checked.rows, batch_date, checked.accepted, **(limits or {}))
         unfinished = tuple(table.unfinished(batch_date)) if spec.versioned else ()
     except Exception as error:
         return LoadReport(spec.name, batch_date, ok=False, message=f"{type(error).__name__}: {error}")
-    stale = tuple(table.batches(after=batch_date)) if spec.versioned else ()
-    return LoadReport(spec.name, batch_date, True, "", checked.accepted, checked.refused, stale=stale, unfinished=unfinished, **written)
+    stale = tuple(table.batches(after=batch_date)) if spec.versioned and not repair else ()
+    counts = {"accepted": checked.accepted, "refused": checked.refused, **written}
+    return LoadReport(spec.name, batch_date, True, **counts, stale=stale, unfinished=unfinished, repaired=repaired)
 
 
 def run_batch(
@@ -230,15 +239,16 @@ def run_batch(
     bad_rows: str = "refuse",
     catalog: str | None = None,
     limits: Mapping[str, int] | None = None,
+    repair: bool = False,
 ) -> list[LoadReport]:
     """Load all datasets of one date side by side, then register those that were loaded.
 
-    ``catalog`` is the database for the tables; without it nothing is registered.  ``limits`` as for
-    :func:`load_dataset`.
+    ``catalog`` is the database for the tables; without it nothing is registered.  ``limits`` and ``repair`` as
+    for :func:`load_dataset`.
     """
     prepare(spark)
     with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
-        reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows, limits), datasets))
+        reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows, limits, repair), datasets))
     if catalog is not None:
         register_loaded(spark, roots, datasets, reports, catalog)
     return reports
@@ -249,7 +259,7 @@ def register_loaded(
 ) -> None:
     """Register the batches that were loaded."""
     for spec in datasets:
-        loaded = [r.batch_date for r in reports if r.ok and r.dataset == spec.name]
+        loaded = [day for r in reports if r.ok and r.dataset == spec.name for day in (r.batch_date, *r.repaired)]
         if loaded:
             register_table(stored_table(spark, roots.tables, spec), f"{catalog}.{spec.name}", loaded)
 

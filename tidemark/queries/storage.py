@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.batches import delivery_path
-from tidemark.plans import Roots, load_fact, load_full, load_versions, run_batch
+from tidemark.plans import Roots, backfill, load_fact, load_full, load_versions, rerun, run_batch
 from tidemark.queries.registry import query
 from tidemark.queries.standins import (
     BATCHES,
@@ -216,6 +216,25 @@ def scd2_by_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, replace(SUBS, buckets=8), parts, load, "scd2_by_key_split").current()
 
 
+def _repaired(spark: SparkSession, sf_dir: str, spec: Dataset, purpose: str) -> DataFrame:
+    """The second delivery first came without a third of its rows and with others spoilt, after the third it came whole."""
+    first, second, third = deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS)
+    spoilt = second.where("version_id % 3 <> 0").withColumn("is_active", F.col("is_active") & (F.col("version_id") % 7 != 0))
+    table = _store(spark, spec, [first, spoilt, third], load_versions, purpose)
+    rerun(table, SECOND, lambda: load_versions(table, second, SECOND), second)
+    return table.history()
+
+
+@query(history_sql(USERS_SQL, USERS, USERS_BATCH))
+def scd2_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired(spark, sf_dir, USERS, "scd2_repair")
+
+
+@query(history_sql(USERS_SQL, USERS, USERS_BATCH))
+def scd2_repair_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired(spark, sf_dir, replace(USERS, buckets=8), "scd2_repair_by_key")
+
+
 @query(f"SELECT v.*, {TX_BATCH} AS batch_dt FROM ({TX_SQL}) v")
 def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _tx_table(spark, sf_dir, "catalog_register")

@@ -68,6 +68,10 @@ class KeyedTable(BatchTable):
     def _current_paths(self, batches: list[date]) -> list[str]:
         return [path for batch_date in batches for path in self.held(batch_date).values()]
 
+    def rows_of(self, folders: list[str]) -> DataFrame:
+        """Versions in some bucket folders."""
+        return self._scan(folders).select(*self.spec.version_schema.names)
+
     @contextmanager
     def bucketed(self, folders: Mapping[int, str]) -> Iterator[DataFrame]:
         """The rows of some buckets as a scan that Spark knows to be divided by ``key_hash``.

@@ -12,7 +12,7 @@ from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
 # Written by the engine after a batch's write has returned; committers may leave out their own marker.
 FINISHED = "_FINISHED"
-_COMMITTED = "_SUCCESS"
+COMMITTED = "_SUCCESS"
 # Marks a batch whose current rows were deleted.
 DROPPED = "_SNAPSHOT_DROPPED"
 # How a partition folder spells NULL.
@@ -83,7 +83,7 @@ class BatchTable:
 
     def _finished(self, batches: list[date]) -> list[date]:
         marked = set(self._with(batches, FINISHED))
-        marked.update(self._with([b for b in batches if b not in marked], _COMMITTED))
+        marked.update(self._with([b for b in batches if b not in marked], COMMITTED))
         return [b for b in batches if b in marked]
 
     def _folders(self) -> list[date]:
@@ -109,10 +109,14 @@ class BatchTable:
     def snapshot(self, batch_date: date | None) -> DataFrame:
         """The active versions after a batch, or none without a batch."""
         batches = [] if batch_date is None else [batch_date]
-        if self._with(batches, DROPPED):
+        if self.dropped(batches):
             raise LookupError(f"{self.spec.name}: the snapshot of {batch_date} was dropped")
         return self._scan(self._current_paths(batches)).select(*self.spec.version_schema.names)
 
+    def dropped(self, batches: list[date]) -> list[date]:
+        """Those of the batches whose snapshot was deleted."""
+        return self._with(batches, DROPPED)
+
     def _current_paths(self, batches: list[date]) -> list[str]:
         """Folders of the active versions after a batch (one or none)."""
         return self._status_paths(CURRENT, batches)
