@@ -10,7 +10,7 @@ from tidemark.plans import Roots
 from tidemark.sources import BatchTable
 from tidemark.sources.landing import read_lines
 from tidemark.specs import PRICE_PLANS, USERS
-from tidemark.streaming import land_arrivals, run_arrivals
+from tidemark.streaming import land_arrivals, run_arrivals, run_flat_arrivals
 
 DAYS = [date(2025, 1, 20), date(2025, 1, 21)]
 
@@ -117,3 +117,33 @@ def test_no_file_is_lost(spark, tmp_path):
     drop(source, "later_20250121.csv", USERS, user(4, DAYS[1]))
     found = {r.batch_date: r for r in run("other memory")}  # its first micro-batch replaces no earlier one
     assert found[DAYS[1]].ok and found[DAYS[1]].accepted == 2
+
+
+def test_flat_folder(spark, tmp_path):
+    """Files of several datasets side by side, one that fits none, a few files at a time."""
+    roots = Roots("", str(tmp_path / "checked"), str(tmp_path / "tables"), str(tmp_path / "landing"))
+    source = tmp_path / "in (flat)"
+    run = lambda: run_flat_arrivals(spark, str(source), str(tmp_path / "memory"), roots, [USERS, PRICE_PLANS], files_per_trigger=1)
+    drop(source, "users_20250120.csv", USERS, user(1, DAYS[0]), user(2, DAYS[0]))
+    drop(source, "price_plans_20250120.csv", PRICE_PLANS, "1,basic,10,monthly,recurring")
+    drop(source, "users_20250121.csv", USERS, user(1, DAYS[1]))
+    reports = run()
+    assert sorted((r.dataset, r.batch_date, r.accepted) for r in reports) == [
+        ("price_plans", DAYS[0], 1), ("users", DAYS[0], 2), ("users", DAYS[1], 1),
+    ]
+    assert run() == []
+    drop(source, "superusers_20250121.csv", USERS, user(9, DAYS[1]))
+    drop(source, "users_more_20250121.csv", USERS, user(3, DAYS[1]))
+    drop(source, "users_undated.csv", USERS, user(4, DAYS[1]))
+    found = run()
+    assert [(r.dataset, r.batch_date, r.ok) for r in found] == [("users", DAYS[1], True), ("users", None, False), ("", None, False)]
+    assert "superusers" in found[2].message and "users_undated" in found[1].message
+    assert BatchTable(spark, roots.tables, USERS).current().count() == 3
+    assert [(r.dataset, r.ok) for r in run()] == [("users", False), ("", False)]
+
+
+def test_command_line_of_a_flat_folder(spark, tmp_path):
+    drop(tmp_path / "in", "users_20250120.csv", USERS, user(1, DAYS[0]))
+    folders = [f"--{n}={tmp_path / n}" for n in ("landing", "checkpoint", "checked", "tables")]
+    assert main(["20250120", f"--source={tmp_path / 'in'}", "--flat", *folders, "--dataset=users"]) == 0
+    assert BatchTable(spark, str(tmp_path / "tables"), USERS).current().count() == 1

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from tidemark.batches import parse_batch_date
 from tidemark.plans import Roots, run_batch
 from tidemark.specs import DATASETS
-from tidemark.streaming import run_arrivals
+from tidemark.streaming import run_arrivals, run_flat_arrivals
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> int:
     come_from = parser.add_mutually_exclusive_group(required=True)
     come_from.add_argument("--deliveries", help="folder with <dataset>_<yyyymmdd>.csv")
     come_from.add_argument("--source", help="folder with a folder per dataset; new files are landed first")
+    parser.add_argument("--flat", action="store_true", help="with --source: files of all datasets lie side by side")
     parser.add_argument("--landing", help="with --source: folder for landed lines")
     parser.add_argument("--checkpoint", help="with --source: folder that remembers the landed files")
     parser.add_argument("--checked", required=True, help="folder for checked deliveries")
@@ -50,7 +51,8 @@ def main(arguments: list[str] | None = None) -> int:
     options = {"bad_rows": given.bad_rows, "catalog": given.catalog, "limits": limits}
     if given.source:
         roots = Roots("", given.checked, given.tables, given.landing)
-        reports = run_arrivals(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)
+        arrive = run_flat_arrivals if given.flat else run_arrivals
+        reports = arrive(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)
     else:
         roots = Roots(given.deliveries, given.checked, given.tables)
         reports = run_batch(spark, batch_date, roots, datasets, **options, repair=given.repair)

@@ -1,4 +1,5 @@
 from tidemark.operators.by_key import step_by_key, touched_buckets
+from tidemark.operators.changes import net_changes
 from tidemark.operators.hot_keys import KeyCounts, count_keys
 from tidemark.operators.newest import latest_per_key, mark_newest, superseded
 from tidemark.operators.point_in_time import with_version
@@ -23,6 +24,7 @@ __all__ = [
     "inactive_rows",
     "latest_per_key",
     "mark_newest",
+    "net_changes",
     "rebuild",
     "stamp_open",
     "step",

@@ -20,6 +20,7 @@ from tidemark.session import OPEN_FILES, prepare
 from tidemark.sinks import register_table, write_all_keyed, write_batch, write_keyed, write_partitioned
 from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
 from tidemark.sources.csv import RAW, REASON
+from tidemark.sources.landing import landed_folder
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
 
 
@@ -35,6 +36,10 @@ class Roots:
     tables: str
     landing: str | None = None
 
+    def landed(self, spec: Dataset) -> str:
+        """Where the landed lines of a dataset are."""
+        return landed_folder(self.landing, spec.name)
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -80,7 +85,7 @@ def check_delivery(
     if bad_rows not in ("refuse", "null"):
         raise ValueError(f"bad_rows must be refuse or null, got {bad_rows!r}")
     if roots.landing is not None:
-        rows = read_landed(spark, f"{roots.landing}/{spec.name}", spec, batch_date)
+        rows = read_landed(spark, roots.landed(spec), spec, batch_date)
     else:
         path = delivery_path(roots.deliveries, spec.name, batch_date)
         check_header(spark, path, spec)

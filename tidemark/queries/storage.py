@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,10 @@ from tidemark.session import prepare, work_folder
 from tidemark.sinks import register_table, write_partitioned
 from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed, stored_table
 from tidemark.sources.csv import REASON
+from tidemark.sources.landing import landed_folder
+from tidemark.sources.tables import NO_VALUE
 from tidemark.specs import BATCH, STATUS, Dataset
-from tidemark.streaming import land_arrivals
+from tidemark.streaming import land_arrivals, run_flat_arrivals
 
 FIRST, SECOND, THIRD = BATCHES
 
@@ -193,6 +196,26 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _users_table(spark, sf_dir, "scd2_as_of").as_of(SECOND)
 
 
+def _snapshot_sql(source: str, spec: Dataset, batch: str, day: date) -> str:
+    return f"""SELECT * FROM ({history_sql(source, spec, batch)}) h
+WHERE eff_start_date <= DATE '{day}' AND (eff_end_date IS NULL OR eff_end_date > DATE '{day}')"""
+
+
+@query(f"""SELECT coalesce(b.user_id, a.user_id) AS user_id, coalesce(b.subs_id, a.subs_id) AS subs_id,
+  CASE WHEN b.version_id IS NULL THEN 'opened' WHEN a.version_id IS NULL THEN 'closed' ELSE 'changed' END AS kind,
+  b.version_id AS version_before, a.version_id AS version_after, a.eff_start_date AS since
+FROM ({_snapshot_sql(SUBS_SQL, SUBS, SUBS_BATCH, FIRST)}) b
+FULL JOIN ({_snapshot_sql(SUBS_SQL, SUBS, SUBS_BATCH, THIRD)}) a ON a.user_id = b.user_id AND a.subs_id = b.subs_id
+WHERE a.version_id IS DISTINCT FROM b.version_id""")
+def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriptions that were opened, renewed or closed between two days, over the batches in between."""
+    found = _subs_table(spark, sf_dir, "scd2_changes").changes(FIRST, THIRD)
+    return found.select(
+        *SUBS.keys, "kind", F.col("before.version_id").alias("version_before"),
+        F.col("after.version_id").alias("version_after"), F.col("after.eff_start_date").alias("since"),
+    )
+
+
 @query(f"SELECT * FROM ({history_sql(SUBS_SQL, SUBS, SUBS_BATCH)}) h")
 def scd2_by_start_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history of a table that is also divided by the start of its versions."""
@@ -268,6 +291,39 @@ def file_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, landed)
 
 
+@query(f"""SELECT 'users' AS dataset, batch_dt, version_id AS id, event_type AS what FROM (SELECT v.*, {USERS_BATCH} AS batch_dt FROM ({USERS_SQL}) v) u
+UNION ALL SELECT 'subscriptions', batch_dt, version_id, subs_id FROM (SELECT v.*, {SUBS_BATCH} AS batch_dt FROM ({SUBS_SQL}) v) s
+UNION ALL SELECT 'no dataset', NULL, 1, NULL""")
+def flat_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries of two datasets in one folder, beside a file that belongs to none, landed by one stream and loaded."""
+    folder = work_folder(spark, "flat_arrival")
+    roots = Roots("", f"{folder}/checked", f"{folder}/tables", f"{folder}/landing")
+    specs = [USERS, SUBS]
+    parts = {
+        USERS: deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS),
+        SUBS: deliveries(subs(spark, sf_dir), "start_ts", ORDER_CUTS),
+    }
+    for spec in specs:
+        for batch_date, rows in zip(BATCHES, parts[spec]):
+            _deliver(rows, delivery_path(f"{folder}/source", spec.name, batch_date), spec)
+    plans(spark, sf_dir).limit(1).write.csv(f"{folder}/source/notes.csv")
+    reports = run_flat_arrivals(spark, f"{folder}/source", f"{folder}/checkpoint", roots, specs)
+    unmatched = [r.message for r in reports if not r.ok]
+    if len(unmatched) != 1 or "notes.csv" not in unmatched[0]:
+        raise RuntimeError("; ".join(unmatched))
+    shown = {USERS: "event_type", SUBS: "subs_id"}
+    landed = [
+        read_landed(spark, roots.landed(spec), spec, b).select(
+            F.lit(spec.name).alias("dataset"), F.lit(b).alias(BATCH), F.col("version_id").alias("id"), F.col(shown[spec]).alias("what")
+        )
+        for spec in specs
+        for b in BATCHES
+    ]
+    odd = spark.read.parquet(f"{landed_folder(roots.landing, NO_VALUE)}").agg(F.count(F.lit(1)).alias("id"))
+    odd = odd.select(F.lit("no dataset").alias("dataset"), F.lit(None).cast("date").alias(BATCH), "id", F.lit(None).cast("string").alias("what"))
+    return reduce(DataFrame.unionByName, [*landed, odd])
+
+
 def _sizes_sql(name: str, rows: str, status: str = "'loaded'") -> str:
     return (
         f"SELECT '{name}' AS dataset, batch_dt, {status} AS status, CAST(count(*) AS BIGINT) AS n_rows "

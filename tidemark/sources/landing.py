@@ -12,6 +12,7 @@ from tidemark.sources.csv import RAW, REASON, HeaderMismatch, refusal, separator
 from tidemark.specs import BATCH, Dataset
 
 ARRIVAL = "arrival"
+DATASET = "dataset"
 
 LANDED = StructType(
     [
@@ -24,6 +25,11 @@ LANDED = StructType(
 )
 
 
+def landed_folder(landing: str, dataset: str) -> str:
+    """The landed lines of one dataset among those of all."""
+    return f"{landing}/{DATASET}={dataset}"
+
+
 def raw_lines(lines: DataFrame) -> DataFrame:
     """Lines of a text scan, with the file each came from."""
     return lines.select(
@@ -40,12 +46,13 @@ def land(spark: SparkSession, source: str, landing: str, batch_date: date) -> No
 
 
 def write_landed(lines: DataFrame, landing: str, arrival: str) -> None:
-    """Replace the partitions of one arrival; other arrivals stay."""
+    """Replace the partitions of one arrival; other arrivals stay.  Lines may name their dataset."""
+    levels = [DATASET] if DATASET in lines.columns else []
     (
         lines.withColumn(ARRIVAL, F.lit(arrival))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH, ARRIVAL)
+        .partitionBy(*levels, BATCH, ARRIVAL)
         .parquet(landing)
     )
 

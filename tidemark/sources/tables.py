@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.changes import net_changes
 from tidemark.operators.versions import as_of
 from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
@@ -140,6 +141,20 @@ class BatchTable:
         later = self._versions(batches)
         return as_of(later.select(*self.spec.version_schema.names), day)
 
+    def changes(self, first: date, second: date) -> DataFrame:
+        """Keys whose valid version differs between two days, see :func:`net_changes`.
+
+        Versions that ended in between are in the closed rows of the batches in between.  Those that began then and
+        are valid on the second day are in the snapshot of that day, of which only rows that began after the first
+        day are read on.  Nothing else is read: no other snapshot, no earlier or later closed rows.
+        """
+        if second < first:
+            raise ValueError(f"{second} is before {first}")
+        batches = [b for b in self.batches(after=first) if b <= second]
+        ended = self._scan(self._status_paths(CLOSED, batches))
+        begun = self.snapshot(batches[-1]) if batches else self._scan([])
+        return net_changes(ended, begun, self.spec, first, second)
+
     def _versions(self, batches: list[date]) -> DataFrame:
         """Closed versions of the given batches and current ones of the last."""
         paths = self._status_paths(CLOSED, batches) + self._current_paths(batches[-1:])
