@@ -90,7 +90,7 @@ def test_failed_reload_is_tried_again(spark, tmp_path, monkeypatch):
     assert [r.current for r in run()] == [1]
     drop(tmp_path / "in" / "users", "more_20250120.csv", USERS, user(2, DAYS[0]))
     works = arrivals.load_dataset
-    failed = lambda spark, spec, batch, *_: arrivals.LoadReport(spec.name, batch, ok=False, message="lost")
+    failed = lambda spark, spec, batch, *_, **__: arrivals.LoadReport(spec.name, batch, ok=False, message="lost")
     monkeypatch.setattr(arrivals, "load_dataset", failed)
     assert [r.ok for r in run()] == [False]
     monkeypatch.setattr(arrivals, "load_dataset", works)

@@ -4,7 +4,8 @@ from tidemark.operators.hot_keys import KeyCounts, count_keys
 from tidemark.operators.newest import latest_per_key, mark_newest, superseded
 from tidemark.operators.point_in_time import with_version
 from tidemark.operators.rebuild import rebuild, survey
-from tidemark.operators.union import conform, union_by_name
+from tidemark.operators.rules import flag_repeated, flag_unknown
+from tidemark.operators.union import conform, union_by_name, with_misfits
 from tidemark.operators.versions import (
     active_rows,
     arrives_in_order,
@@ -21,6 +22,8 @@ __all__ = [
     "as_of",
     "conform",
     "count_keys",
+    "flag_repeated",
+    "flag_unknown",
     "inactive_rows",
     "latest_per_key",
     "mark_newest",
@@ -33,5 +36,6 @@ __all__ = [
     "survey",
     "touched_buckets",
     "union_by_name",
+    "with_misfits",
     "with_version",
 ]

@@ -32,6 +32,20 @@ def conform(df: DataFrame, schema: StructType, decisive: Collection[str] = ()) -
     return df.withColumns(casts) if casts else df
 
 
+def with_misfits(df: DataFrame, schema: StructType, columns: Collection[str], reason: str) -> DataFrame:
+    """Rows cast to the declared types, with a ``reason`` where a value of one of ``columns`` does not fit, else NULL.
+
+    The value itself is kept in the reason, so that refused rows show what came.
+    """
+    misfit = F.lit(None).cast("string")
+    for f in schema.fields:
+        if f.name in columns and f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            lost = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            text = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), F.col(f.name).cast("string"))
+            misfit = F.coalesce(misfit, F.when(lost, text))
+    return conform(df.withColumn(reason, misfit), schema)
+
+
 def union_by_name(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """All rows of both, columns matched by name, delivered columns cast to the stored types.
 

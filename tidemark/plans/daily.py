@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.batches import delivery_path
-from tidemark.operators import KeyCounts, count_keys, rebuild, step, step_by_key, survey, touched_buckets
+from tidemark.operators import KeyCounts, count_keys, flag_repeated, flag_unknown, rebuild, step, step_by_key, survey, touched_buckets
 from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
 from tidemark.plans.repair import rerun
-from tidemark.session import OPEN_FILES, prepare
+from tidemark.session import OPEN_FILES, prepare, work_folder
 from tidemark.sinks import register_table, write_all_keyed, write_batch, write_keyed, write_partitioned
 from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
 from tidemark.sources.csv import RAW, REASON
@@ -24,6 +24,9 @@ from tidemark.sources.landing import landed_folder
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
 
 
+_RULE = "_rule"
+
+
 @dataclass(frozen=True)
 class Roots:
     """Where deliveries arrive, where checked rows are kept, and where tables live.
@@ -74,13 +77,20 @@ class Checked:
 
 
 def check_delivery(
-    spark: SparkSession, spec: Dataset, batch_date: date, roots: Roots, bad_rows: str = "refuse"
+    spark: SparkSession,
+    spec: Dataset,
+    batch_date: date,
+    roots: Roots,
+    bad_rows: str = "refuse",
+    datasets: Sequence[Dataset] = DATASETS,
 ) -> Checked:
     """Parse a delivery once and keep it as Parquet, refused rows with their reason.
 
     Everything after this reads columns, not text.  ``bad_rows="null"`` accepts all
     rows, with NULL for the cells that could not be read; of a history, malformed rows without a value in a
-    decisive column are refused even so, since the value may have been there.
+    decisive column are refused even so, since the value may have been there.  Rules about several rows or other
+    datasets (``unique``, ``references``) are checked on the parsed columns, among rows not refused before; rows
+    that break them are refused either way.
     """
     if bad_rows not in ("refuse", "null"):
         raise ValueError(f"bad_rows must be refuse or null, got {bad_rows!r}")
@@ -95,6 +105,9 @@ def check_delivery(
     if bad_rows == "null":
         lost = reduce(lambda c, name: c | F.col(name).isNull(), spec.decisive, F.lit(False))
         refused = F.col(RAW).isNotNull() & lost
+    if spec.unique or spec.references:
+        rows = _against_rules(spark, spec, rows, refused, roots, datasets)
+        refused = refused | F.coalesce(F.col(REASON).rlike("^(repeated|unknown) "), F.lit(False))
     counted = Observation()
     rows = rows.observe(
         counted,
@@ -109,6 +122,26 @@ def check_delivery(
     return Checked(checked.where(~refused).select(*spec.schema.names), **counts)
 
 
+def _against_rules(
+    spark: SparkSession, spec: Dataset, rows: DataFrame, refused: Column, roots: Roots, datasets: Sequence[Dataset]
+) -> DataFrame:
+    """Rows with the reasons of rules across rows and datasets; refused rows are no party to them."""
+    path = work_folder(spark, "parsed")
+    rows.write.parquet(path)
+    parsed = spark.read.schema(rows.schema).parquet(path)
+    party = parsed.where(~refused).withColumn(_RULE, F.lit(None).cast("string"))
+    if spec.unique:
+        party = flag_repeated(party, spec.unique, _RULE)
+    known = {d.name: d for d in datasets}
+    for column, name, key in spec.references:
+        table = stored_table(spark, roots.tables, known[name])
+        newest = table.newest()
+        parents = table.current() if known[name].versioned else table.read([] if newest is None else [newest])
+        party = flag_unknown(party, [column], parents, [key], _RULE, f"unknown {column}")
+    party = party.withColumn(REASON, F.coalesce(_RULE, REASON)).drop(_RULE)
+    return party.unionByName(parsed.where(refused))
+
+
 def _partition_values(spec: Dataset) -> Column:
     """About how many partition values there are; decides file layout, nothing else."""
     inner = [name for name in spec.partition_by if name in spec.schema.names]
@@ -209,6 +242,7 @@ def load_dataset(
     bad_rows: str = "refuse",
     limits: Mapping[str, int] | None = None,
     repair: bool = False,
+    datasets: Sequence[Dataset] = DATASETS,
 ) -> LoadReport:
     """Check and load one dataset; an error is reported, not raised, so that other loads go on.
 
@@ -217,7 +251,7 @@ def load_dataset(
     """
     table = stored_table(spark, roots.tables, spec)
     try:
-        checked = check_delivery(spark, spec, batch_date, roots, bad_rows)
+        checked = check_delivery(spark, spec, batch_date, roots, bad_rows, datasets)
         written, repaired = {}, ()
         if spec.load == FULL:
             load_full(table, checked.rows, batch_date)
@@ -246,19 +280,35 @@ def run_batch(
     limits: Mapping[str, int] | None = None,
     repair: bool = False,
 ) -> list[LoadReport]:
-    """Load all datasets of one date side by side, then register those that were loaded.
+    """Load all datasets of one date side by side, those that refer to others after them, then register what was loaded.
 
     ``catalog`` is the database for the tables; without it nothing is registered.  ``limits`` and ``repair`` as
     for :func:`load_dataset`.
     """
     prepare(spark)
-    with ThreadPoolExecutor(max_workers=len(datasets)) as pool:
-        reports = list(pool.map(lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows, limits, repair), datasets))
+    load = lambda spec: load_dataset(spark, spec, batch_date, roots, bad_rows, limits, repair, datasets)
+    loaded: dict[str, LoadReport] = {}
+    for wave in _waves(datasets):
+        with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+            loaded.update(zip((spec.name for spec in wave), pool.map(load, wave)))
+    reports = [loaded[spec.name] for spec in datasets]
     if catalog is not None:
         register_loaded(spark, roots, datasets, reports, catalog)
     return reports
 
 
+def _waves(datasets: Sequence[Dataset]) -> list[list[Dataset]]:
+    """Datasets that can be loaded side by side, after those they refer to."""
+    waves: list[list[Dataset]] = []
+    left = list(datasets)
+    while left:
+        names = {spec.name for spec in left}
+        ready = [spec for spec in left if not names & {name for _, name, _ in spec.references if name != spec.name}]
+        waves.append(ready or left)  # those that refer to each other go together
+        left = [spec for spec in left if spec not in waves[-1]]
+    return waves
+
+
 def register_loaded(
     spark: SparkSession, roots: Roots, datasets: Sequence[Dataset], reports: Sequence[LoadReport], catalog: str
 ) -> None:

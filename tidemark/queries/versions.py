@@ -40,6 +40,19 @@ def union_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.union_by_name(versions.where(~later), versions.where(later).withColumn("cancel_ts", text))
 
 
+@query(f"""SELECT user_id, subs_id, version_id, start_ts,
+  CASE WHEN start_ts >= TIMESTAMP '{SUBS_CUT} 00:00:00' AND version_id % 10 = 0 THEN NULL ELSE cancel_ts END AS cancel_ts,
+  CASE WHEN start_ts >= TIMESTAMP '{SUBS_CUT} 00:00:00' AND version_id % 10 = 0 THEN 'cancel_ts is no timestamp_ntz: soon' END AS reason
+FROM ({SUBS_SQL}) v""")
+def union_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half brings its cancellation as text; rows in which that is no timestamp are told apart, not closed."""
+    versions = subs(spark, sf_dir).withColumn("reason", F.lit(None).cast("string"))
+    later = F.col("start_ts") >= F.lit(SUBS_CUT).cast("timestamp_ntz")
+    text = F.when(F.col("version_id") % 10 == 0, F.lit("soon")).otherwise(F.col("cancel_ts").cast("string"))
+    incoming = versions.where(later).withColumn("cancel_ts", text).drop("reason")
+    return op.union_by_name(versions.where(~later), op.with_misfits(incoming, SUBS.schema, SUBS.decisive, "reason"))
+
+
 def _ranked(source: str, spec: Dataset, condition: str) -> str:
     return f"""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {", ".join(spec.keys)}
   ORDER BY {spec.version_order} DESC NULLS LAST, version_id DESC) AS rn FROM ({source}) v) r WHERE {condition}"""
@@ -243,3 +256,33 @@ def transactions_with_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions_with_version_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where subscriptions with more than ten payments are dealt into lanes."""
     return _valid(spark, sf_dir, rows_per_task=10)
+
+
+_RULES_SQL = """SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS part_id, l_suppkey AS supplier_id,
+  CASE WHEN COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 'repeated order_id, line'
+       WHEN l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40) THEN 'unknown part'
+       WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN 'unknown supplier' END AS reason
+FROM lineitem"""
+
+
+def _by_rules(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    """Line items against each other, against parts that are not too large, and against suppliers in credit."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part_id"),
+        F.col("l_suppkey").alias("supplier_id"), F.lit(None).cast("string").alias("reason"),
+    )
+    parts, suppliers = table(spark, sf_dir, "part").where("p_size <= 40"), table(spark, sf_dir, "supplier").where("s_acctbal > 0")
+    rows = op.flag_repeated(rows, ["order_id", "line"], "reason", **limits)
+    rows = op.flag_unknown(rows, ["part_id"], parts, ["p_partkey"], "reason", "unknown part", **limits)
+    return op.flag_unknown(rows, ["supplier_id"], suppliers, ["s_suppkey"], "reason", "unknown supplier", **limits)
+
+
+@query(_RULES_SQL)
+def cross_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_rules(spark, sf_dir)
+
+
+@query(_RULES_SQL)
+def cross_rules_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where no list is short enough to be sent to every task, and frequent values are split off."""
+    return _by_rules(spark, sf_dir, limit=0, rows_per_task=50)

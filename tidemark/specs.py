@@ -43,6 +43,9 @@ class Dataset:
     condition; a version whose condition is false or NULL is not active.
     ``partition_by`` adds partition levels below the batch.  ``buckets`` keeps a versioned dataset by key: its
     rows lie in so many buckets by a hash of their key, and a batch writes only those that its keys fall into.
+
+    ``unique`` columns must not repeat together within a delivery, and a value of a ``references`` column (column,
+    dataset, its column) must stand in the stored state of that dataset; rows that break a rule are refused.
     """
 
     name: str
@@ -56,6 +59,8 @@ class Dataset:
     partition_by: tuple[str, ...] = ()
     csv_options: Mapping[str, str] = field(default_factory=dict, hash=False)
     buckets: int = 0
+    unique: tuple[str, ...] = ()
+    references: tuple[tuple[str, str, str], ...] = ()
 
     def __post_init__(self) -> None:
         if self.load not in (FULL, FACT, VERSIONED):
@@ -68,7 +73,8 @@ class Dataset:
         if floating:
             raise ValueError(f"{self.name}: floating point keys {floating}")
         known = {*self.schema.names, EFF_START}
-        named = {*self.keys, *self.ties, *self.required, *self.partition_by}
+        named = {*self.keys, *self.ties, *self.required, *self.partition_by, *self.unique}
+        named |= {column for column, _, _ in self.references}
         if self.version_order:
             named.add(self.version_order)
         if named - known:

@@ -193,7 +193,7 @@ class _Loads:
     """Loads of what has arrived, and their reports."""
 
     def __init__(self, spark: SparkSession, roots: Roots, datasets: Sequence[Dataset], bad_rows: str, limits: Mapping[str, int] | None) -> None:
-        self.spark, self.roots, self.bad_rows, self.limits = spark, roots, bad_rows, limits
+        self.spark, self.roots, self.datasets, self.bad_rows, self.limits = spark, roots, datasets, bad_rows, limits
         self.reports: list[LoadReport] = []
 
     def of_arrival(self, spec: Dataset, arrival: str) -> None:
@@ -211,7 +211,7 @@ class _Loads:
     def _load(self, spec: Dataset, batches: list[date]) -> None:
         for batch in batches:
             arrived = arrival_folders(self.spark, self.roots.landed(spec), batch.isoformat())
-            report = load_dataset(self.spark, spec, batch, self.roots, self.bad_rows, self.limits)
+            report = load_dataset(self.spark, spec, batch, self.roots, self.bad_rows, self.limits, datasets=self.datasets)
             self.reports.append(report)
             for folder in arrived if report.ok else ():
                 files, marker = file_system(self.spark, f"{folder}/{LOADED}")
