@@ -193,7 +193,8 @@ def load_versions(
     if previous is None and (left := table.unfinished(batch_date)):
         raise LookupError(f"{spec.name}: no finished batch before {batch_date}, but unfinished ones: {left}")
     if isinstance(table, KeyedTable):
-        return _load_by_key(table, rows, batch_date, previous, total, rows_per_task)
+        written = _load_by_key(table, rows, batch_date, previous, total, rows_per_task)
+        return _filed(table, written)
     existing = table.snapshot(previous)
     large = estimated_bytes(existing) > large_snapshot
     if total is not None and total <= rows_per_task and not large:
@@ -202,7 +203,13 @@ def load_versions(
         counts = count_keys(rows, spec.keys)
     stepped, counted = _counted(step(existing, rows, spec, batch_date, counts, rows_per_task, large, broadcast_bytes))
     write_batch(stepped, table, batch_date)
-    return {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)}
+    return _filed(table, {name: counted.get.get(name, 0) for name in (CURRENT, CLOSED)})
+
+
+def _filed(table: BatchTable, written: dict[str, int]) -> dict[str, int]:
+    if table.spec.by_day:
+        table.file_by_day()
+    return written
 
 
 def _counted(stepped: DataFrame) -> tuple[DataFrame, Observation]:
@@ -335,4 +342,5 @@ def backfill(table: BatchTable, versions: DataFrame, batch: str) -> bool:
         write_all_keyed(history, table, surveyed.last)
     else:
         write_batch(history, table, surveyed.last)
+    _filed(table, {})
     return True

@@ -15,7 +15,9 @@ from tidemark.operators.by_key import bucket_of, key_hash
 from tidemark.session import work_folder
 from tidemark.sinks.parquet import finish, write_buckets, write_partitioned
 from tidemark.sources import BatchTable, KeyedTable
-from tidemark.sources.tables import COMMITTED, FINISHED, file_system
+from tidemark.sources.by_day import MARKER
+from tidemark.sources.files import file_system
+from tidemark.sources.tables import COMMITTED, FINISHED
 from tidemark.specs import BATCH, BUCKET, CLOSED, CURRENT, EFF_END, EFF_START, KEY_HASH, STATUS, Dataset
 
 _SINCE, _BATCH = "_since", "_batch"
@@ -126,6 +128,8 @@ def _propagate(table: BatchTable, batch_date: date, later: list[date], changed:
             _replace_buckets(table, day, placed.where(F.col(BUCKET).isin(mine)), mine)
         else:
             _replace(table, day, others.unionByName(new))
+    if spec.by_day:
+        table.file_by_day()
     return later
 
 
@@ -156,7 +160,8 @@ def _replace_buckets(table: KeyedTable, day: date, rows: DataFrame, buckets: lis
 
 
 def _unmark(table: BatchTable, day: date) -> None:
-    for name in (FINISHED, COMMITTED):
+    run = table.day_index().filed().get(day) if table.spec.by_day else None
+    for name in (FINISHED, COMMITTED, *([f"{MARKER}{run}"] if run else [])):
         files, marker = file_system(table.spark, f"{table.batch_path(day)}/{name}")
         files.delete(marker, False)
 

@@ -40,7 +40,7 @@ from tidemark.sinks import register_table, write_partitioned
 from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed, stored_table
 from tidemark.sources.csv import REASON
 from tidemark.sources.landing import landed_folder
-from tidemark.sources.tables import NO_VALUE
+from tidemark.sources.files import NO_VALUE
 from tidemark.specs import BATCH, STATUS, Dataset
 from tidemark.streaming import land_arrivals, run_flat_arrivals
 
@@ -201,6 +201,14 @@ def _snapshot_sql(source: str, spec: Dataset, batch: str, day: date) -> str:
 WHERE eff_start_date <= DATE '{day}' AND (eff_end_date IS NULL OR eff_end_date > DATE '{day}')"""
 
 
+@query(f"""SELECT * EXCLUDE (status) FROM ({history_sql(USERS_SQL, USERS, USERS_BATCH)}) h
+WHERE eff_start_date <= DATE '{FIRST}' AND (eff_end_date IS NULL OR eff_end_date > DATE '{FIRST}')""")
+def scd2_as_of_filed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read as of the first day from a table whose closed versions are filed by the days they were valid."""
+    parts = deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS)
+    return _store(spark, replace(USERS, by_day=True), parts, load_versions, "scd2_as_of_filed").as_of(FIRST)
+
+
 @query(f"""SELECT coalesce(b.user_id, a.user_id) AS user_id, coalesce(b.subs_id, a.subs_id) AS subs_id,
   CASE WHEN b.version_id IS NULL THEN 'opened' WHEN a.version_id IS NULL THEN 'closed' ELSE 'changed' END AS kind,
   b.version_id AS version_before, a.version_id AS version_after, a.eff_start_date AS since

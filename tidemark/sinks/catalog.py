@@ -9,7 +9,8 @@ from urllib.parse import unquote
 from pyspark.sql.types import StructType
 
 from tidemark.sources.keyed import KeyedTable
-from tidemark.sources.tables import NO_VALUE, BatchTable, file_system
+from tidemark.sources.files import NO_VALUE, file_system
+from tidemark.sources.tables import BatchTable
 from tidemark.specs import BATCH, CURRENT, STATUS
 
 # Partitions named in one statement.

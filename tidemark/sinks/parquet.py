@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators.by_key import bucket_of, key_hash
 from tidemark.sources.keyed import KeyedTable
-from tidemark.sources.tables import DROPPED, FINISHED, BatchTable, file_system
+from tidemark.sources.files import file_system
+from tidemark.sources.tables import DROPPED, FINISHED, BatchTable
 from tidemark.specs import BUCKET, CURRENT, KEY_HASH, STATUS
 
 

@@ -10,7 +10,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.tables import BatchTable, file_system
+from tidemark.sources.files import file_system
+from tidemark.sources.tables import BatchTable
 from tidemark.specs import BUCKET, CURRENT, KEY_HASH, STATUS, Dataset
 
 # Says, beside a batch, in which batch every bucket of its snapshot was written.

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.changes import net_changes
 from tidemark.operators.versions import as_of
+from tidemark.sources.by_day import DayIndex
+from tidemark.sources.files import NO_VALUE, file_system
 from tidemark.specs import BATCH, CLOSED, CURRENT, STATUS, Dataset
 
 # Written by the engine after a batch's write has returned; committers may leave out their own marker.
@@ -16,15 +18,6 @@ FINISHED = "_FINISHED"
 COMMITTED = "_SUCCESS"
 # Marks a batch whose current rows were deleted.
 DROPPED = "_SNAPSHOT_DROPPED"
-# How a partition folder spells NULL.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
-
-def file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path as it knows it."""
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
 
 
 # Look-ups that run side by side; on object stores each is a request.
@@ -134,12 +127,27 @@ class BatchTable:
         """The versions valid on a day.
 
         A version is closed no earlier than the day it ends, so only later batches can
-        hold closed versions that were still valid on that day.
+        hold closed versions that were still valid on that day.  Where those are filed by day, the few folders of
+        that day are read in place of theirs.
         """
         newest = self.newest()
         batches = [] if newest is None else sorted({*self.batches(after=day), newest})
-        later = self._versions(batches)
-        return as_of(later.select(*self.spec.version_schema.names), day)
+        filed = {b: run for b, run in self.day_index().filed().items() if b in batches} if self.spec.by_day else {}
+        paths = self._status_paths(CLOSED, [b for b in batches if b not in filed]) + self._current_paths(batches[-1:])
+        later = as_of(self._scan(paths).select(*self.spec.version_schema.names), day)
+        return later.unionByName(self.day_index().valid(day, filed)) if filed else later
+
+    def day_index(self) -> DayIndex:
+        return DayIndex(self.spark, self.location, self.spec)
+
+    def file_by_day(self) -> list[date]:
+        """File the closed versions of all batches that are not filed yet; returns those batches."""
+        filed = self.day_index().filed()
+        todo = [b for b in self.batches() if b not in filed]
+        for batch_date in todo:
+            closed = self._scan(self._status_paths(CLOSED, [batch_date]))
+            self.day_index().add(closed, batch_date)
+        return todo
 
     def changes(self, first: date, second: date) -> DataFrame:
         """Keys whose valid version differs between two days, see :func:`net_changes`.

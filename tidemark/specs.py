@@ -44,6 +44,8 @@ class Dataset:
     ``partition_by`` adds partition levels below the batch.  ``buckets`` keeps a versioned dataset by key: its
     rows lie in so many buckets by a hash of their key, and a batch writes only those that its keys fall into.
 
+    ``by_day`` also files closed versions by the days on which they were valid, for reads as of a day long ago.
+
     ``unique`` columns must not repeat together within a delivery, and a value of a ``references`` column (column,
     dataset, its column) must stand in the stored state of that dataset; rows that break a rule are refused.
     """
@@ -59,6 +61,7 @@ class Dataset:
     partition_by: tuple[str, ...] = ()
     csv_options: Mapping[str, str] = field(default_factory=dict, hash=False)
     buckets: int = 0
+    by_day: bool = False
     unique: tuple[str, ...] = ()
     references: tuple[tuple[str, str, str], ...] = ()
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.plans import LoadReport, Roots, load_dataset, register_loaded
 from tidemark.session import prepare
 from tidemark.sources.landing import ARRIVAL, DATASET, LANDED, landed_folder, raw_lines, write_landed
-from tidemark.sources.tables import NO_VALUE, batch_folders, batches_with, file_system
+from tidemark.sources.files import NO_VALUE, file_system
+from tidemark.sources.tables import batch_folders, batches_with
 from tidemark.specs import BATCH, DATASETS, Dataset
 
 # Spark passes over files that are older than the newest one seen by more than this; no file is.
