@@ -1,5 +1,9 @@
+from pyspark.sql import functions as F
+
+from compare import connect
 from corpus import ODD, documents
 from tidemark.llm import decontamination as dc
+from tidemark.llm.queries import LLM_QUERIES, LLM_SQL
 
 ITEM = "A train leaves Paris at 9 and travels 120 km to the city of Lyon. When does the train from Paris arrive if it needs 2 hours for the way to Lyon"
 
@@ -86,3 +90,34 @@ def test_changed_names_that_begin_sentences(spark):
     assert {(1, 10), (2, 10), (3, 10)} <= set(got) and (4, 10) not in got
     assert got[1, 10]["n_verbatim"] == got[3, 10]["n_verbatim"] == got[1, 10]["n_windows"]
     assert got[2, 10]["n_found"] > got[2, 10]["n_verbatim"]
+
+
+def test_the_query_finds_what_the_operator_finds(spark, tmp_path):
+    """An item beside its variant, changed names that begin sentences, and short items, through the query."""
+    other = CLIPS.replace("Anna", "Dora").replace("Bert", "Adam").replace("Carl", "Fritz").replace("48", "7").replace("24", "100")
+    natalia = "Natalia sold clips to 48 of her friends in April. Natalia then sold half as many clips in May. How many did she sell altogether?"
+    susan = natalia.replace("Natalia", "Susan").replace("48", "60")
+    five = "Which river crosses the town"
+    bench = [(10, CLIPS), (20, natalia), (30, five), (40, "Name three colours"), (50, "Why not")]
+    docs = [
+        (1, CLIPS + ". " + other), (2, other), (3, "Exercise. " + susan), (4, natalia), (5, "Question: " + five + " of Ulm?"),
+        (6, "Please name three colours. Thanks"), (7, "three colours name"), (8, "Why not"), (9, "which river is it that crosses the town"), (None, five),
+    ]
+    documents(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, bench).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]) for r in LLM_QUERIES["op9_decontamination"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 10), (2, 10), (3, 20), (4, 20), (5, 30), (6, 40), (None, 30)}
+    sql = connect("/nowhere")
+    for name in ("documents", "benchmark"):
+        sql.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert {r[:2] for r in sql.sql(LLM_SQL["op9_decontamination"]).fetchall()} == got
+
+
+def test_window_hashes_are_the_items(spark):
+    """Windows of documents are hashed word by word, as those of items."""
+    text = "So Anna bought five apples for 3 dollars. Then Bert ate two of them. It was 9 km to go"
+    row = documents(spark, [(1, text)]).select(dc.raw_words(F.col("text")).alias("raw"))
+    hashed, windows = dc.document_windows(F.col("raw"))
+    mine = row.withColumn("h", hashed).select(F.explode(windows(F.col("h"))).alias("w")).select("w.at", F.explode("w.hashes").alias("hash"))
+    theirs = dc.item_windows(items(spark, [(1, text)])).select("item_at", "hash")
+    assert {tuple(r) for r in theirs.collect()} <= {tuple(r) for r in mine.collect()}

@@ -8,22 +8,26 @@ stand in the slots must agree: within a document each value of an item is read a
 counterpart, and a window counts if all its slots follow that reading. An item is found in a document if
 ``SHARE`` of its windows count. Windows with fewer than ``LITERALS`` ordinary words are no evidence.
 
-``op9_decontamination`` has one reading per document, as its SQL says. ``found_items`` and ``clean_documents``
-by themselves (``whole``) read every stretch of the document of about half the item's length by itself as well,
-so that several copies with different values do not hide each other; the best stretch counts. Windows that
-are the item's word by word always count. They also compare a second template, in which words that begin
-a sentence are names, unless they are ordinary (``STARTERS``) and differ, and number words are numbers.
+Every stretch of the document of about half the item's length is also read by itself, so that several copies
+with different values do not hide each other; the best stretch counts. Windows that are the item's word by word
+always count. A second template is compared as well, in which words that begin a sentence are names, unless they
+are ordinary (``STARTERS``) and differ, and number words are numbers.
+
+Items of ``SHORT`` to ``WORDS`` - 1 words are looked for as they are, whole and word by word.
 
 Only DataFrame functions. Every document is read whole, once for the windows; documents with
 candidates are read again for their values.
 
-Defined results: null or short texts have no windows; items with fewer than ``WORDS`` words are not
-looked for. Rows with the same id and text are one document; rows of one id with different texts are
+Defined results: null or short texts have no windows; items with fewer than ``SHORT`` words, or longer ones
+without windows of ordinary words, are not looked for. Rows with the same id and text are one document; rows of one id with different texts are
 judged apart. Null ids are kept. Items that repeat are each found. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +37,7 @@ from tidemark.llm.registry import query
 WORDS = 5
 SHARE = 0.8
 LITERALS = 2
+SHORT = 3
 BROADCAST_ROWS = 1_000_000  # windows of items sent to every task at most; beyond, windows are shuffled
 
 # Words that are read as units after a number.
@@ -66,11 +71,8 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, _SENTENCE, "$1~$2"), F.lit(_WORD), F.lit(0))
 
 
-def template(words: Column, wide: bool = False) -> Column:
-    """The words with values replaced by ``#num``, ``#name`` and ``#unit``.
-
-    ``wide`` takes words that begin a sentence for names, and number words for numbers.
-    """
+def _canonical(words: Column, wide: bool) -> Callable[[Column, Column], Column]:
+    """What stands in a template for the word at a place."""
 
     def canonical(word: Column, at: Column) -> Column:
         low, first, before = F.lower(word), F.substring(word, 1, 1), F.get(words, at - 1)
@@ -93,7 +95,34 @@ def template(words: Column, wide: bool = False) -> Column:
             .otherwise(low)
         )
 
-    return F.transform(words, canonical)
+    return canonical
+
+
+def template(words: Column, wide: bool = False) -> Column:
+    """The words with values replaced by ``#num``, ``#name`` and ``#unit``.
+
+    ``wide`` takes words that begin a sentence for names, and number words for numbers.
+    """
+    return F.transform(words, _canonical(words, wide))
+
+
+def window_hash(hashes: Callable[[int], Column]) -> Column:
+    """One number for a window from those of its words."""
+    return F.xxhash64(*(hashes(k) for k in range(WORDS)))
+
+
+def document_windows(raw: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """A number for each word in both templates, and from these, at and the distinct hashes of every window."""
+    narrow, wide = _canonical(raw, False), _canonical(raw, True)
+    words = F.transform(raw, lambda w, i: F.struct(F.xxhash64(narrow(w, i)).alias("narrow"), F.xxhash64(wide(w, i)).alias("wide")))
+
+    def windows(hashed: Column) -> Column:
+        of = lambda at, kind: window_hash(lambda k: F.get(hashed, at + k)[kind])
+        return F.transform(
+            _starts(hashed), lambda at: F.struct(at.alias("at"), F.array_distinct(F.array(of(at, "narrow"), of(at, "wide"))).alias("hashes"))
+        )
+
+    return words, windows
 
 
 def _starts(words: Column) -> Column:
@@ -111,11 +140,11 @@ def _bare(words: Column) -> Column:
     return F.transform(words, lambda w: F.ltrim(w, F.lit("~")))
 
 
-def item_windows(benchmark: DataFrame, whole: bool = True) -> DataFrame:
+def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, item (a row of the benchmark), at, hash, template and values of every window, and the item's count."""
     texts = benchmark.select("item_id", "text").distinct().select("item_id", F.xxhash64("text").alias("item"), raw_words(F.col("text")).alias("raw"))
     made = texts.withColumn("canon", template(F.col("raw"))).withColumn("wide", template(F.col("raw"), True))
-    made = made.withColumn("raw", _bare(F.col("raw"))) if whole else made
+    made = made.withColumn("raw", _bare(F.col("raw")))
     placed = made.select("item_id", "item", "raw", "canon", "wide", F.explode(_starts(F.col("canon"))).alias("item_at"))
     windows = placed.select(
         "item_id",
@@ -130,100 +159,111 @@ def item_windows(benchmark: DataFrame, whole: bool = True) -> DataFrame:
     windows = windows.where(literal >= LITERALS)
     all_windows = Window.partitionBy("item_id", "item")
     windows = windows.withColumn("n_windows", F.count(F.lit(1)).over(all_windows))
-    if whole:
-        # what the wide template says of the same places
-        windows = windows.withColumn("canon", F.explode(F.array_distinct(F.array("canon", "wide")))).where(literal >= LITERALS)
-    return windows.drop("wide").withColumn("hash", F.xxhash64("canon"))
+    # what the wide template says of the same places
+    windows = windows.withColumn("canon", F.explode(F.array_distinct(F.array("canon", "wide")))).where(literal >= LITERALS)
+    return windows.drop("wide").withColumn("hash", window_hash(lambda k: F.xxhash64(F.get("canon", F.lit(k)))))
 
 
 def _few(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
-def _occurrences(whole: bool) -> Column:
+def _occurrences() -> Column:
     """What a window is judged with: the whole document, and stretches where it may be of the same copy of the item.
 
     Copies are an item's length apart; stretches of half of it, in two ways that overlap, allow for words put in.
     """
-    document = F.struct(F.lit(0).alias("turn"), F.lit(0).cast("long").alias("stretch"))
-    if not whole:
-        return F.array(document)
     off, wide = F.col("at") - F.col("item_at"), F.greatest(F.lit(1), F.floor(F.col("length") / 2))
-    stretches = (F.floor(off / wide), F.floor((off + F.floor(F.col("length") / 4)) / wide))
-    return F.array(document, *(F.struct(F.lit(k + 1).alias("turn"), x.alias("stretch")) for k, x in enumerate(stretches)))
+    stretches = (F.lit(0).cast("long"), F.floor(off / wide), F.floor((off + F.floor(F.col("length") / 4)) / wide))
+    return F.array(*(F.struct(F.lit(k).alias("turn"), x.alias("stretch")) for k, x in enumerate(stretches)))
+
+
+def _equal(columns: list[str]) -> Column:
+    """Null-safe equality with columns that have an underscore before their names."""
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns))
+
+
+def _underscored(frame: DataFrame) -> DataFrame:
+    return frame.select(*(F.col(c).alias(f"_{c}") for c in frame.columns))
 
 
-def found_items(documents: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFrame:
+def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document (doc_id and text_hash) and item found in it, with its counts of windows."""
-    items = stored(item_windows(benchmark, whole), "item-windows")
+    items = stored(item_windows(benchmark), "item-windows")
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    canon = template(F.col("raw"))
-    hashes = F.transform(_starts(F.col("canon")), lambda at: F.xxhash64(window_at(F.col("canon"), at)))
-    worded = texts.withColumn("raw", raw_words(F.col("text"))).withColumn("canon", canon)
-    hashed = worded.select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hash"))
-    if whole:
-        wide = worded.withColumn("canon", template(F.col("raw"), True))
-        wide = wide.select("doc_id", "text_hash", F.posexplode(hashes).alias("at", "hash"))
-        hashed = hashed.unionByName(wide)
+    worded = texts.withColumn("raw", raw_words(F.col("text")))
+    hashes, windows = document_windows(F.col("raw"))
+    placed = worded.withColumn("hashed", hashes).select("doc_id", "text_hash", F.explode(windows(F.col("hashed"))).alias("window"))
+    hashed = placed.select("doc_id", "text_hash", "window.at", F.explode("window.hashes").alias("hash"))
     hits = stored(hashed.join(_few(items.select("hash").distinct()), "hash", "left_semi"), "window-hits")
     matched = hits.join(_few(items.select("hash", "item_id", "item", "item_at", "n_windows")), "hash")
     per_item = matched.groupBy("doc_id", "text_hash", "item_id", "item").agg(
         F.countDistinct("item_at").alias("n"), F.max("n_windows").alias("n_windows")
     )
     candidates = stored(per_item.where(F.col("n") >= SHARE * F.col("n_windows")).drop("n"), "candidates")
-    wanted = candidates.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
+    wanted = _underscored(candidates.select("doc_id", "text_hash").distinct())
+    same = _equal(["doc_id", "text_hash"])
     again = texts.join(_few(wanted), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    words = again.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), raw_words(F.col("text")).alias("raw"))
-    words = words.withColumn("doc_canon", template(F.col("raw"))).withColumn("doc_wide", template(F.col("raw"), True))
-    words = words.withColumn("raw", _bare(F.col("raw"))) if whole else words
+    words = again.withColumn("raw", raw_words(F.col("text"))).withColumn("canon", template(F.col("raw")))
+    words = words.withColumn("wide", template(F.col("raw"), True)).withColumn("raw", _bare(F.col("raw")))
+    words = _underscored(words.select("doc_id", "text_hash", "raw", "canon", "wide"))
     places = hits.join(wanted, same, "left_semi").join(words, same).select(
         "doc_id",
         "text_hash",
         "hash",
-        F.col("at") if whole else F.lit(0).alias("at"),
-        window_at(F.col("doc_canon"), F.col("at")).alias("doc_window"),
-        window_at(F.col("doc_wide") if whole else F.col("doc_canon"), F.col("at")).alias("doc_wide"),
-        window_at(F.col("raw"), F.col("at")).alias("doc_raw"),
+        "at",
+        window_at(F.col("_canon"), F.col("at")).alias("doc_window"),
+        window_at(F.col("_wide"), F.col("at")).alias("doc_wide"),
+        window_at(F.col("_raw"), F.col("at")).alias("doc_raw"),
     )
     pairs = places.distinct().join(items, "hash").where("canon = doc_window OR canon = doc_wide").drop("doc_window", "doc_wide")
-    if whole:
-        ordinary = lambda s: F.lower(s["item_raw"]).isin(STARTERS) | F.lower(s["doc_raw"]).isin(STARTERS)
-        renamed_words = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"] == "#name")
-        pairs = pairs.where(~F.exists(renamed_words, lambda s: ordinary(s) & (F.lower(s["item_raw"]) != F.lower(s["doc_raw"]))))
-    chosen = candidates.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("item_id").alias("i"), F.col("item").alias("j"))
-    same_item = same & F.col("item_id").eqNullSafe(F.col("i")) & F.col("item").eqNullSafe(F.col("j"))
-    pairs = pairs.join(chosen, same_item, "left_semi").withColumn("o", F.explode(_occurrences(whole)))
-    pairs = stored(pairs.select("*", "o.turn", "o.stretch").drop("o", "at").distinct(), "window-pairs")
+    ordinary = lambda s: F.lower(s["item_raw"]).isin(STARTERS) | F.lower(s["doc_raw"]).isin(STARTERS)
+    renamed = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"] == "#name")
+    pairs = pairs.where(~F.exists(renamed, lambda s: ordinary(s) & (F.lower(s["item_raw"]) != F.lower(s["doc_raw"]))))
     found = ["doc_id", "text_hash", "item_id", "item"]
     key = [*found, "turn", "stretch"]
-    slots = F.filter(
-        F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"].startswith("#")
-    )
+    chosen = _underscored(candidates.select(*found))
+    pairs = pairs.join(chosen, _equal(found), "left_semi").withColumn("o", F.explode(_occurrences()))
+    pairs = stored(pairs.select("*", "o.turn", "o.stretch").drop("o", "at").distinct(), "window-pairs")
+    slots = F.filter(F.arrays_zip("canon", "item_raw", "doc_raw"), lambda s: s["canon"].startswith("#"))
     values = pairs.withColumn("slot", F.explode(slots)).select(
         *key, "item_at", "hash", "doc_raw", "slot.canon", F.col("slot.item_raw").alias("value"), F.col("slot.doc_raw").alias("reading")
     )
     readings = values.groupBy(*key, "canon", "value", "reading").agg(F.count(F.lit(1)).alias("n"))
     first = Window.partitionBy(*key, "canon", "value").orderBy(F.desc("n"), "reading")
     odd = readings.withColumn("nth", F.row_number().over(first)).where("nth > 1").select(*key, "canon", "value", "reading")
-    renamed = odd.select(*(F.col(c).alias(f"_{c}") for c in odd.columns))
-    clash = F.lit(True)
-    for c in odd.columns:
-        clash = clash & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    against = values.join(renamed, clash, "left_semi").select(*key, "item_at", "hash", "doc_raw").distinct()
-    renamed = against.select(*(F.col(c).alias(f"_{c}") for c in against.columns))
-    clash = F.lit(True)
-    for c in against.columns:
-        clash = clash & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    against = values.join(_underscored(odd), _equal(odd.columns), "left_semi").select(*key, "item_at", "hash", "doc_raw").distinct()
     changed = ~F.col("item_raw").eqNullSafe(F.col("doc_raw"))
-    agreeing = pairs.join(renamed, clash & changed if whole else clash, "left_anti")
+    agreeing = pairs.join(_underscored(against), _equal(against.columns) & changed, "left_anti")
     counted = agreeing.groupBy(*key).agg(
         F.max("n_windows").alias("n_windows"),
         F.countDistinct("item_at").alias("n_found"),
         F.countDistinct(F.when(~changed, F.col("item_at"))).alias("n_verbatim"),
     )
     best = counted.groupBy(*found).agg(*(F.max(n).alias(n) for n in ("n_windows", "n_found", "n_verbatim")))
-    return best.where(F.col("n_found") >= SHARE * F.col("n_windows"))
+    return best.where(F.col("n_found") >= SHARE * F.col("n_windows")).unionByName(found_short(texts, benchmark))
+
+
+def found_short(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Items too short for a window that stand in a document as they are, as rows of ``found_items``."""
+    words = lambda text: F.transform(_bare(raw_words(text)), lambda w: F.lower(w))
+    items = benchmark.select("item_id", F.xxhash64("text").alias("item"), words(F.col("text")).alias("words")).distinct()
+    items = stored(items.where(F.size("words").between(SHORT, WORDS - 1)), "short-items")
+    sizes = sorted(r["n"] for r in items.select(F.size("words").alias("n")).distinct().collect())  # at most WORDS - SHORT
+    counts = {n: F.lit(1).cast("long").alias(n) for n in ("n_windows", "n_found", "n_verbatim")}
+    if not sizes:
+        none = texts.limit(0).select("doc_id", "text_hash", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"))
+        return none.select("*", F.lit(None).cast("long").alias("item"), *counts.values())
+    worded = texts.select("doc_id", "text_hash", words(F.col("text")).alias("words"))
+
+    def windows(n: int) -> Column:
+        starts = F.when(F.size("words") >= n, F.sequence(F.lit(0), F.size("words") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda at: F.slice("words", at + 1, n))
+
+    parts = [windows(n) for n in sizes]
+    placed = worded.select("doc_id", "text_hash", F.explode(F.array_distinct(F.concat(*parts))).alias("words"))
+    met = placed.join(_few(items), "words").select("doc_id", "text_hash", "item_id", "item").distinct()
+    return met.select("*", *counts.values())
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -233,6 +273,9 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return documents.join(_few(stored(leaked, "leaked")), same, "left_anti")
 
 
+_BARE = "list_transform({}, lambda w: ltrim(w, '~'))"
+
+
 @query(
     rf"""
 WITH words AS (
@@ -240,50 +283,77 @@ WITH words AS (
     FROM (SELECT DISTINCT 'd' AS kind, doc_id AS id, text FROM documents
           UNION ALL SELECT DISTINCT 'i', item_id, text FROM benchmark) t
 ), templates AS (
-    SELECT kind, id, text, raw, list_transform(raw, lambda w, i:
+    SELECT kind, id, text, {_BARE.format("raw")} AS raw, len(raw) AS length, list_transform(raw, lambda w, i:
         CASE WHEN w[1] = '~' THEN lower(w[2:])
              WHEN w[1] BETWEEN '0' AND '9' THEN '#num'
              WHEN i > 1 AND raw[i - 1][1] BETWEEN '0' AND '9'
                   AND lower(w) IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN '#unit'
-             WHEN w[1] <> lower(w)[1] THEN '#name' ELSE lower(w) END) AS canon
-    FROM words WHERE len(raw) >= {WORDS}
+             WHEN w[1] <> lower(w)[1] THEN '#name' ELSE lower(w) END) AS canon,
+      list_transform(raw, lambda w, i:
+        CASE WHEN w[1] BETWEEN '0' AND '9' OR ltrim(lower(w), '~') IN ({", ".join(f"'{u}'" for u in NUMBERS)}) THEN '#num'
+             WHEN i > 1 AND (raw[i - 1][1] BETWEEN '0' AND '9' OR ltrim(lower(raw[i - 1]), '~') IN ({", ".join(f"'{u}'" for u in NUMBERS)}))
+                  AND lower(w) IN ({", ".join(f"'{u}'" for u in UNITS)}) THEN '#unit'
+             WHEN w[1] = '~' OR w[1] <> lower(w)[1] THEN '#name' ELSE lower(w) END) AS wide
+    FROM words
 ), placed AS (
-    SELECT kind, id, text, raw, canon, unnest(generate_series(1, len(canon) - {WORDS} + 1)) AS pos FROM templates
+    SELECT *, unnest(generate_series(1, length - {WORDS} + 1)) AS pos FROM templates WHERE length >= {WORDS}
 ), windows AS (
-    SELECT kind, id, text, pos, canon[pos:pos + {WORDS - 1}] AS canon, raw[pos:pos + {WORDS - 1}] AS raw FROM placed
-), items AS (
+    SELECT kind, id, text, length, pos, canon[pos:pos + {WORDS - 1}] AS canon, wide[pos:pos + {WORDS - 1}] AS wide,
+      raw[pos:pos + {WORDS - 1}] AS raw FROM placed
+), counted_items AS (
     SELECT *, count(*) OVER (PARTITION BY id, text) AS n_windows FROM windows
     WHERE kind = 'i' AND len(list_filter(canon, lambda w: NOT starts_with(w, '#'))) >= {LITERALS}
-), pairs AS (
+), items AS (
+    SELECT * FROM (SELECT * EXCLUDE (canon, wide), unnest(list_distinct([canon, wide])) AS canon FROM counted_items) x
+    WHERE len(list_filter(canon, lambda w: NOT starts_with(w, '#'))) >= {LITERALS}
+), doc_windows AS (
+    SELECT id, text, pos, raw, unnest(list_distinct([canon, wide])) AS canon FROM windows WHERE kind = 'd'
+), met AS (
     SELECT DISTINCT d.id AS doc_id, d.text AS doc_text, i.id AS item_id, i.text AS item_text, i.pos, i.n_windows,
-           i.canon, i.raw AS item_raw, d.raw AS doc_raw
-    FROM items i JOIN (SELECT * FROM windows WHERE kind = 'd') d ON i.canon = d.canon
-), slots AS (
-    SELECT *, unnest(generate_series(1, {WORDS})) AS k FROM pairs
+           i.canon, i.raw AS item_raw, d.raw AS doc_raw, d.pos - i.pos AS off, i.length
+    FROM items i JOIN doc_windows d ON i.canon = d.canon
+    WHERE len(list_filter(generate_series(1, {WORDS}), lambda k: i.canon[k] = '#name' AND lower(i.raw[k]) <> lower(d.raw[k])
+      AND (lower(i.raw[k]) IN ({", ".join(f"'{u}'" for u in STARTERS)}) OR lower(d.raw[k]) IN ({", ".join(f"'{u}'" for u in STARTERS)})))) = 0
+), pairs AS (
+    SELECT DISTINCT doc_id, doc_text, item_id, item_text, pos, n_windows, canon, item_raw, doc_raw, turn,
+      CASE turn WHEN 0 THEN 0 WHEN 1 THEN floor(off / greatest(1, floor(length / 2)))
+                ELSE floor((off + floor(length / 4)) / greatest(1, floor(length / 2))) END AS stretch
+    FROM met, (VALUES (0), (1), (2)) t(turn)
 ), slot_values AS (
-    SELECT doc_id, doc_text, item_id, item_text, pos, doc_raw, canon[k] AS kind, item_raw[k] AS value, doc_raw[k] AS reading
-    FROM slots WHERE starts_with(canon[k], '#')
+    SELECT doc_id, doc_text, item_id, item_text, turn, stretch, pos, canon, doc_raw, canon[k] AS kind, item_raw[k] AS value, doc_raw[k] AS reading
+    FROM (SELECT *, unnest(generate_series(1, {WORDS})) AS k FROM pairs) s WHERE starts_with(canon[k], '#')
 ), counted_readings AS (
-    SELECT doc_id, doc_text, item_id, item_text, kind, value, reading, count(*) AS n FROM slot_values GROUP BY ALL
+    SELECT doc_id, doc_text, item_id, item_text, turn, stretch, kind, value, reading, count(*) AS n FROM slot_values GROUP BY ALL
 ), readings AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id, doc_text, item_id, item_text, kind, value
+    SELECT *, row_number() OVER (PARTITION BY doc_id, doc_text, item_id, item_text, turn, stretch, kind, value
                                  ORDER BY n DESC, reading) AS nth
     FROM counted_readings
 ), against AS (
-    SELECT DISTINCT v.doc_id, v.doc_text, v.item_id, v.item_text, v.pos, v.doc_raw
-    FROM slot_values v JOIN readings r USING (doc_id, doc_text, item_id, item_text, kind, value, reading) WHERE r.nth > 1
+    SELECT DISTINCT v.doc_id, v.doc_text, v.item_id, v.item_text, v.turn, v.stretch, v.pos, v.canon, v.doc_raw
+    FROM slot_values v JOIN readings r USING (doc_id, doc_text, item_id, item_text, turn, stretch, kind, value, reading) WHERE r.nth > 1
+), agreeing AS (
+    SELECT p.* FROM pairs p LEFT JOIN against a USING (doc_id, doc_text, item_id, item_text, turn, stretch, pos, canon, doc_raw)
+    WHERE a.doc_text IS NULL OR p.item_raw = p.doc_raw
 ), counted AS (
-    SELECT p.doc_id, p.item_id, max(p.n_windows) AS n_windows, count(DISTINCT p.pos) AS n_found,
-           count(DISTINCT CASE WHEN p.item_raw = p.doc_raw THEN p.pos END) AS n_verbatim
-    FROM pairs p ANTI JOIN against a USING (doc_id, doc_text, item_id, item_text, pos, doc_raw)
-    GROUP BY p.doc_id, p.doc_text, p.item_id, p.item_text
+    SELECT doc_id, doc_text, item_id, item_text, max(n_windows) AS n_windows, count(DISTINCT pos) AS n_found,
+           count(DISTINCT CASE WHEN item_raw = doc_raw THEN pos END) AS n_verbatim
+    FROM agreeing GROUP BY doc_id, doc_text, item_id, item_text, turn, stretch
+), best AS (
+    SELECT doc_id, item_id, max(n_windows) AS n_windows, max(n_found) AS n_found, max(n_verbatim) AS n_verbatim
+    FROM counted GROUP BY doc_id, doc_text, item_id, item_text
+), short AS (
+    SELECT DISTINCT d.id AS doc_id, d.text, i.id AS item_id, i.text AS item_text FROM templates i JOIN templates d
+      ON i.kind = 'i' AND d.kind = 'd' AND i.length BETWEEN {SHORT} AND {WORDS - 1} AND list_contains(
+        list_transform(generate_series(1, d.length - i.length + 1), lambda p: lower(array_to_string(d.raw[p:p + i.length - 1], chr(10)))),
+        lower(array_to_string(i.raw, chr(10))))
 )
 SELECT doc_id, item_id, n_windows, n_found, n_verbatim, CAST(n_found AS DOUBLE) / n_windows AS share
-FROM counted WHERE n_found >= {SHARE} * n_windows
+FROM best WHERE n_found >= {SHARE} * n_windows
+UNION ALL SELECT doc_id, item_id, 1, 1, 1, 1.0 FROM short
 """
 )
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=False)
+    found = found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "item_id", "n_windows", "n_found", "n_verbatim", (F.col("n_found") / F.col("n_windows")).alias("share")
     )
