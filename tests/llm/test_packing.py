@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -65,6 +66,40 @@ def test_fillings_are_undominated():
     assert all(sum(f) == 6 for f in packing.fillings(counts, 6))
 
 
+def test_fillings_against_all_choices():
+    """Every undominated choice once, and no other, by rising waste."""
+    rng = random.Random(5)
+    for _ in range(200):
+        lengths = [rng.randint(1, 9) for _ in range(rng.randint(0, 7))]
+        rest = rng.randint(0, 14)
+        choices = {tuple(sorted(c, reverse=True)) for k in range(len(lengths) + 1) for c in itertools.combinations(lengths, k) if sum(c) <= rest}
+
+        def dominated(choice):
+            left = list(lengths)
+            for n in choice:
+                left.remove(n)
+            waste = rest - sum(choice)
+            return any(n <= waste for n in left) or any(a < n <= a + waste for a in choice for n in left)
+
+        found = packing.fillings(counts_of(lengths, 14), rest)
+        wanted = {c for c in choices if not dominated(c)}
+        if rest in lengths:
+            wanted = {(rest,)}
+        assert len(found) == len(set(found)) and set(found) == wanted
+        assert [rest - sum(f) for f in found] == sorted(rest - sum(f) for f in found)
+
+
+def test_search_is_bounded_in_time():
+    """Three thousand pieces of which few fit together."""
+    rng = np.random.default_rng(0)
+    lengths = rng.integers(900, 1501, 3000)
+    counts = counts_of(lengths, 4096)
+    started = time.process_time()
+    plan = packing.pack_counts(counts)
+    assert time.process_time() - started < 10
+    assert sum(n for n, _ in plan) <= sum(n for n, _ in packing.best_fit_decreasing(counts, 4096))
+
+
 def check(rows, texts):
     by_doc = {}
     for r in rows:

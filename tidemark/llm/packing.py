@@ -2,11 +2,11 @@
 
 Only lengths matter, and there are at most ``CAPACITY`` of them, so the plan is made from the counts of
 pieces by length, however many pieces there are. Around the largest piece left, undominated fillings
-of the rest are enumerated (a filling is dominated if one piece of it could be replaced by a larger
-one, or several by one, without more waste); one is taken as often as the counts allow. Choices are
+of the rest are enumerated by rising waste, each when it is asked for (a filling is dominated if a piece
+not in it could be added, or take the place of a shorter one); one is taken as often as the counts allow. Choices are
 tried depth first; the best-fit-decreasing packing and every better one found are incumbents, and a
 branch is pruned once its waste shows that it cannot use fewer sequences. The search ends at the lower
-bound, or after ``NODES`` nodes with the best incumbent.
+bound, or after ``NODES`` choices in all with the best incumbent.
 
 A plan is a list of patterns with how often each is used. Pieces are numbered within their length and
 take the place of that number, so that no group of equal lengths meets in one task.
@@ -18,6 +18,8 @@ Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,28 +31,13 @@ from tidemark.llm.registry import query
 from tidemark.llm.tokens import encoder
 
 CAPACITY = 4096
-NODES = 4000
-BRANCHES = 4  # fillings tried around a piece
+NODES = 4000  # choices tried, each a pattern taken as often as the counts allow
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 
 Pattern = tuple[int, tuple[int, ...]]  # how often, lengths
 
 
-def _best_single(counts: np.ndarray, rest: int) -> int:
-    """The longest piece left of at most ``rest``, or 0."""
-    left = np.flatnonzero(counts[1 : rest + 1])
-    return int(left[-1]) + 1 if len(left) else 0
-
-
-def _pairs(counts: np.ndarray, rest: int, most: int) -> list[tuple[int, int]]:
-    """Pairs that fill ``rest`` exactly, most unequal first."""
-    have = counts[: rest + 1] > 0
-    both = np.flatnonzero(have & have[::-1])
-    both = both[(both > 0) & (2 * both >= rest)][::-1]
-    return [(int(a), rest - int(a)) for a in both[: most + 1] if 2 * a != rest or counts[a] > 1][:most]
-
-
 def _reachable(counts: np.ndarray, rest: int) -> int:
     """The sums up to ``rest`` that pieces left can make, as bits."""
     mask, sums = (1 << (rest + 1)) - 1, 1
@@ -67,50 +54,70 @@ def _reachable(counts: np.ndarray, rest: int) -> int:
     return sums
 
 
-def _exact(counts: np.ndarray, target: int) -> tuple[int, ...] | None:
-    """Lengths that sum to ``target`` (known to be reachable), long ones first."""
-    counts, out = counts.copy(), []
-    while target:
-        for length in np.flatnonzero(counts[: target + 1])[::-1]:
-            counts[length] -= 1
-            if _reachable(counts, target - int(length)) >> (target - int(length)) & 1:
-                out.append(int(length))
-                target -= int(length)
-                break
-            counts[length] += 1
+def _sums_to(lengths: list[int], left: list[int], target: int, sums: int) -> Iterator[tuple[int, ...]]:
+    """All choices among ``lengths`` (descending, ``left`` of each) that sum to ``target``, long ones first.
+
+    ``sums`` are the sums that can be made of them at all; other targets are not followed.
+    """
+    chosen: list[int] = []
+    at = [0]
+    while at:
+        k = at[-1]
+        if k >= len(lengths):
+            at.pop()
         else:
-            return None
-    return tuple(out)
-
-
-def fillings(counts: np.ndarray, rest: int, most: int = BRANCHES) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``rest``, least waste first, then fewest pieces."""
-    if rest == 0 or not (single := _best_single(counts, rest)):
-        return [()]
-    if single == rest:
-        return [(rest,)]  # dominates every other filling
-    found: list[tuple[int, ...]] = list(_pairs(counts, rest, most))
-    if len(found) < most:
-        lengths = np.flatnonzero(counts[: rest + 1])[::-1]
-        for a in lengths[:64]:
-            a = int(a)
-            counts[a] -= 1
-            found += [tuple(sorted((a, *p), reverse=True)) for p in _pairs(counts, rest - a, 1)]
-            counts[a] += 1
-            if len(found) >= most:
-                break
-    if not found:
-        sums = _reachable(counts, rest)
-        exact = _exact(counts, sums.bit_length() - 1)
-        found = [exact] if exact else []
-        by_fit: list[int] = []  # best fit around the longest piece is undominated as well
-        counts, left = counts.copy(), rest
-        while piece := _best_single(counts, left):
-            by_fit.append(piece)
-            counts[piece] -= 1
-            left -= piece
-        found.append(tuple(by_fit))
-    return sorted(dict.fromkeys(found), key=lambda f: (rest - sum(f), len(f)))[:most]
+            length = lengths[k]
+            if length <= target and left[k] and sums >> (target - length) & 1:
+                at[-1] = k + 1  # tried next when this branch is done
+                if length == target:
+                    yield (*chosen, length)
+                    continue
+                left[k] -= 1
+                chosen.append(length)
+                target -= length
+                at.append(k)
+                continue
+            # lengths beyond the target are passed over at once
+            at[-1] = k + 1 if length <= target else max(k + 1, bisect_left(lengths, -target, key=lambda x: -x))
+            continue
+        if chosen:
+            length = chosen.pop()
+            left[bisect_left(lengths, -length, key=lambda x: -x)] += 1
+            target += length
+
+
+def fillings(counts: np.ndarray, rest: int) -> list[tuple[int, ...]]:
+    """All undominated fillings of ``rest``, least waste first."""
+    return list(each_filling(counts, rest))
+
+
+def each_filling(counts: np.ndarray, rest: int) -> Iterator[tuple[int, ...]]:
+    """The undominated fillings of ``rest``, least waste first; made one by one as they are asked for."""
+    have = np.flatnonzero(counts[: rest + 1])[::-1]
+    if rest == 0 or not len(have):
+        yield ()
+        return
+    if have[0] == rest:
+        yield (rest,)  # dominates every other filling
+        return
+    lengths, left = have.tolist(), counts[have].tolist()
+    sums = _reachable(counts, rest)
+    for target in range(rest, 0, -1):
+        if not sums >> target & 1:
+            continue
+        waste = rest - target
+        for filling in _sums_to(lengths, left.copy(), target, sums):
+            if not waste or not _dominated(filling, waste, lengths, left):
+                yield filling
+
+
+def _dominated(filling: tuple[int, ...], waste: int, lengths: list[int], left: list[int]) -> bool:
+    """Whether a piece not used could be added, or take the place of a shorter one."""
+    used = Counter(filling)
+    unused = [n for n, count in zip(lengths, left, strict=True) if count > used.get(n, 0)]
+    if unused and unused[-1] <= waste:
+        return True
+    return any((k := bisect_left(unused, -(a + waste), key=lambda x: -x)) < len(unused) and unused[k] > a for a in used)
 
 
 def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[Pattern]:
@@ -155,7 +162,7 @@ def pack_counts(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES
         longest = int(np.flatnonzero(left)[-1])
         rest = left.copy()
         rest[longest] -= 1
-        return longest, iter(fillings(rest, capacity - longest))
+        return longest, each_filling(rest, capacity - longest)
 
     stack = [(counts.astype(np.int64), total, 0, None, *children(counts))]
     while stack and nodes and fewest > bound:
@@ -164,6 +171,7 @@ def pack_counts(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES
         if filling is None:
             stack.pop()
             continue
+        nodes -= 1
         inside, times = np.unique((longest, *filling), return_counts=True)
         often = int((left[inside] // times).min())
         after = left.copy()
@@ -175,12 +183,8 @@ def pack_counts(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES
                 while path:
                     path, pattern = path
                     best.append(pattern)
-            nodes -= 1
-            continue
-        if used + -(-tokens // capacity) >= fewest:  # too much is wasted already
-            nodes -= 1
-            continue
-        stack.append((after, tokens, used, path, *children(after)))
+        elif used + -(-tokens // capacity) < fewest:  # else too much is wasted already
+            stack.append((after, tokens, used, path, *children(after)))
     assert np.array_equal(sum((n * np.bincount(p, minlength=len(counts)) for n, p in best), 0 * lengths), counts)
     return best
 
@@ -203,9 +207,29 @@ def places(patterns: list[Pattern], capacity: int = CAPACITY) -> dict[int, np.nd
 
 def place(by_length: dict[int, np.ndarray], length: int, number: int) -> tuple[int, int]:
     """Sequence and offset of the piece of that number among the pieces of its length."""
-    rows = by_length[length]
-    first, times, sequence, offset = rows[np.searchsorted(rows[:, 0], number, "right") - 1]
-    return int(sequence + (number - first) // times), int(offset + (number - first) % times * length)
+    sequence, offset = Places(by_length).find(np.array([length]), np.array([number]))
+    return int(sequence[0]), int(offset[0])
+
+
+class Places:
+    """``places`` as arrays, for many pieces at a time."""
+
+    def __init__(self, by_length: dict[int, np.ndarray]) -> None:
+        lengths = sorted(by_length)
+        rows = np.concatenate([by_length[n] for n in lengths]) if lengths else np.zeros((0, 4), np.int64)
+        length = np.repeat(lengths, [len(by_length[n]) for n in lengths]).astype(np.int64)
+        self.first, self.times, self.sequence, self.offset = rows.T
+        self.key = self._key(length, self.first)  # ascending
+
+    @staticmethod
+    def _key(length: np.ndarray, number: np.ndarray) -> np.ndarray:
+        return length.astype(np.int64) << 48 | number
+
+    def find(self, length: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequences and offsets of the pieces of these numbers among those of their lengths."""
+        row = np.searchsorted(self.key, self._key(length, number), "right") - 1
+        past = number - self.first[row]
+        return self.sequence[row] + past // self.times[row], self.offset[row] + past % self.times[row] * length
 
 
 def pieces(documents: DataFrame, tokenizer: str = TOKENIZER, end: int = END, capacity: int = CAPACITY) -> DataFrame:
@@ -232,16 +256,13 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = np.zeros(capacity + 1, np.int64)
     for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most `capacity` rows
         counts[r["length"]] = r["n"]
-    shared = spark.sparkContext.broadcast(places(pack_counts(counts, capacity), capacity))
+    shared = spark.sparkContext.broadcast(Places(places(pack_counts(counts, capacity), capacity)))
     numbered = running_number(cut, ["length"], ["row"], "number", int(counts.sum()))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def placed(*values):
-        found = [place(shared.value, length, number) for length, number in zip(values[3], values[5], strict=True)]
-        return dict(zip(columns, values, strict=False)) | {
-            "sequence_id": [f[0] for f in found],
-            "offset": [f[1] for f in found],
-        }
+        sequence, offset = shared.value.find(np.array(values[3], np.int64), np.array(values[5], np.int64))
+        return dict(zip(columns, values, strict=False)) | {"sequence_id": sequence, "offset": offset}
 
     return map_rows(
         numbered,
