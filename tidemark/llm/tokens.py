@@ -20,10 +20,10 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import AFTER_TASK
 
-KEPT_PIECES = 800_000  # of a generation; some 50 bytes each
+KEPT_PIECES = 1_200_000  # of a generation; some 50 bytes each
 MERGED_PIECES = 1 << 15
-IDLE_PIECES = 100_000  # kept between tasks
-SLICE = 2 << 20  # characters encoded at a time
+IDLE_PIECES = 1_200_000  # kept between tasks
+SLICE = 4 << 20  # characters encoded at a time
 LONG_PIECE = 200  # characters; longer pieces are encoded but not kept
 _FIRST = "\x02"  # marks the first piece of a text, which follows no space
 
@@ -112,8 +112,9 @@ class Pieces:
         return len(self.young) + len(self.old)
 
     def shrink(self) -> None:
-        """Keep little until the next task."""
-        self.young, self.old = (self.young if len(self.old) == 0 else self.old).first_learnt(IDLE_PIECES), Generation()
+        """Keep a moderate number until the next task."""
+        if len(self) > IDLE_PIECES:
+            self.young, self.old = (self.old if len(self.old) else self.young).first_learnt(IDLE_PIECES // 2), Generation()
 
     def ids(self, first: np.ndarray, second: np.ndarray, learn: Callable[[np.ndarray], tuple]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, one after another, and how many each has.
