@@ -5,12 +5,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import work_folder
+from tidemark.sources.files import file_system
 
 # Rows a Python worker holds at a time; long texts count by bytes as well.
 BATCH_ROWS = 4096
@@ -41,7 +43,22 @@ def stored(frame: DataFrame, purpose: str, partition_by: str | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    kept = spark.read.schema(frame.schema).parquet(path)
+    _folders[kept] = path
+    return kept
+
+
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` gave, so that a long job does not keep all of its steps.
+
+    Whatever was made from them must be stored by now: a lost executor's part of it could not be made again.
+    """
+    for kept in tables:
+        files, path = file_system(kept.sparkSession, _folders.pop(kept))
+        files.delete(path, True)
 
 
 # Called in a Python worker when a task ends, so that workers that wait for the next one hold little.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     now = stored(pairs, "links")
     before = None
     while (digest := _digest(now)) != before:
-        before = digest
+        before, last = digest, now
         now = stored(_small_star(_large_star(now)), "links")
+        discard(last)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

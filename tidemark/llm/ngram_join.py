@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, stored, table
+from tidemark.llm.common import discard, map_rows, stored, table
 from tidemark.llm.components import components
 from tidemark.llm.registry import query
 
@@ -235,7 +235,9 @@ def index(documents: DataFrame, classes: DataFrame, words: int, share: tuple[int
     lacking = stored(lacking.drop("first", "sketch"), "lacking")
     rest = map_rows(whole_sets(documents, lacking, words), by_all, schema, "cls", "n", "tokens")
     flat = tried.where("entries IS NOT NULL").unionByName(rest)
-    return flat.select("cls", "n", F.explode(F.array_distinct("entries")).alias("entry"))
+    made = stored(flat.select("cls", "n", F.explode(F.array_distinct("entries")).alias("entry")), "index")
+    discard(tried, lacking)
+    return made
 
 
 def _similar_sizes(a: str, b: str, share: tuple[int, int]) -> Column:
@@ -286,7 +288,9 @@ def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, words:
             keep.append(share[1] * common >= share[0] * (len(x) + len(y) - common))
         return {"a": [v for v, k in zip(a, keep, strict=True) if k], "b": [v for v, k in zip(b, keep, strict=True) if k]}
 
-    return stored(map_rows(both, similar, "a long, b long", "a", "b", "left", "right"), "links")
+    links = stored(map_rows(both, similar, "a long, b long", "a", "b", "left", "right"), "links")
+    discard(pairs, wanted, held)
+    return links
 
 
 def _with_component(frame: DataFrame, found: DataFrame, column: str) -> DataFrame:
@@ -295,11 +299,14 @@ def _with_component(frame: DataFrame, found: DataFrame, column: str) -> DataFram
     return frame.join(known, column, "left").withColumn("component", F.coalesce("component", column))
 
 
-def _unsettled(held: DataFrame, found: DataFrame) -> DataFrame:
-    """Entries (with component) that classes of several components share."""
+def _unsettled(held: DataFrame, found: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Entries (with component, and what ``classes`` add) that classes of several components share; replaces ``held``."""
     placed = stored(_with_component(held.select("entry", "cls", "n"), found, "cls"), "placed-entries")
     mixed = placed.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return placed.join(mixed.select("entry"), "entry", "left_semi")
+    open_ = placed.join(mixed.select("entry"), "entry", "left_semi")
+    open_ = stored(open_ if classes is None else open_.join(classes, "cls"), "shared-entries")
+    discard(placed, held)
+    return open_
 
 
 def _stars(held: DataFrame, turn: int, share: tuple[int, int]) -> DataFrame:
@@ -323,12 +330,12 @@ def linked_classes(documents: DataFrame, classes: DataFrame, words: int, share:
     tried = None
     for turn in range(STAR_ROUNDS):
         if not turn:
-            held = stored(held, "index")
             shared = held.groupBy("entry").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("entry")
             # entries of a single class fall away here
             open_ = stored(held.join(shared, "entry", "left_semi").withColumn("component", F.col("cls")), "shared-entries")
+            discard(held)
         else:
-            open_ = stored(_unsettled(open_, found), "shared-entries")
+            open_ = _unsettled(open_, found)
         pairs = _stars(open_, turn, share)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -336,9 +343,8 @@ def linked_classes(documents: DataFrame, classes: DataFrame, words: int, share:
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = stored(links.unionByName(verified(documents, classes, pairs, words, share)), "links")
         found = components(links, "a", "b")
-    open_ = _unsettled(open_, found)
     known = classes.select("cls", F.slice("sketch", 1, SKETCH_BITS[0] // 64).alias("s"), F.size("sketch").alias("z"))
-    open_ = stored(open_.join(known, "cls"), "open-entries")
+    open_ = _unsettled(open_, found, known)
     other = open_.select("entry", *(F.col(c).alias(f"{c}2") for c in ("cls", "n", "component", "s", "z")))
     # every pair that is still open is compared, by its sketch first
     cells = F.when(F.col("z") == F.col("z2"), _differing_cells("s", "s2", SKETCH_BITS[0] // 64)).otherwise(0)
@@ -361,6 +367,7 @@ def join(documents: DataFrame, words: int = WORDS, share: tuple[int, int] = SHAR
         ),
         "classes",
     )
+    discard(rows)
     found = linked_classes(documents, classes, words, share)
     placed = _with_component(members.where("n > 0").select("cls", "least_id").distinct(), found, "cls")
     ids = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
