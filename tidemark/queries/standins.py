@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.specs import FACT, FULL, VERSIONED, Dataset, columns
@@ -120,7 +120,7 @@ def subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tx(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
         F.col("l_partkey").alias("subs_id"),
@@ -129,6 +129,7 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         F.col("l_shipdate").alias("created_ts"),
         F.col("l_returnflag").alias("tx_status"),
+        *more,
     )
 
 

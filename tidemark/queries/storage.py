@@ -8,6 +8,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.batches import delivery_path
 from tidemark.plans import Roots, backfill, load_fact, load_full, load_versions, rerun, run_batch
@@ -35,6 +36,7 @@ from tidemark.queries.standins import (
     tx,
     users,
 )
+from tidemark.queries.versions import LATE_SQL, any_order, any_order_sql
 from tidemark.session import prepare, work_folder
 from tidemark.sinks import register_table, write_partitioned
 from tidemark.sources import BatchTable, HeaderMismatch, check_header, land, read_checked, read_csv, read_landed, stored_table
@@ -247,6 +249,27 @@ def scd2_by_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, replace(SUBS, buckets=8), parts, load, "scd2_by_key_split").current()
 
 
+@query(any_order_sql(SUBS_SQL, SUBS, LATE_SQL))
+def scd2_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole history stored in one pass, from deliveries in any order."""
+    prepare(spark)
+    table = stored_table(spark, work_folder(spark, "scd2_backfill"), SUBS)
+    backfill(table, any_order(subs(spark, sf_dir)), "delivered")
+    return table.history()
+
+
+_BY_QUANTITY = replace(TX, partition_by=("quantity",), schema=StructType([*TX.schema.fields, StructField("quantity", IntegerType())]))
+_QUANTITY_SQL = TX_SQL.replace(" FROM lineitem", ", CAST(l_quantity AS INTEGER) AS quantity FROM lineitem")
+
+
+@query(f"SELECT v.*, {TX_BATCH} AS batch_dt FROM ({_QUANTITY_SQL}) v")
+def fact_load_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of more partition values than a task writes side by side: rows of a value are brought together."""
+    rows = tx(spark, sf_dir, F.col("l_quantity").cast("int").alias("quantity"))
+    table = _store(spark, _BY_QUANTITY, deliveries(rows, "created_ts", SHIP_CUTS), load_fact, "fact_load_many")
+    return table.read(list(BATCHES))
+
+
 def _repaired(spark: SparkSession, sf_dir: str, spec: Dataset, purpose: str) -> DataFrame:
     """The second delivery first came without a third of its rows and with others spoilt, after the third it came whole."""
     first, second, third = deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS)
@@ -359,10 +382,9 @@ _DAILY_SQL = "\nUNION ALL\n".join(
 )
 
 
-@query(_DAILY_SQL)
-def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ran_daily(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[Roots, list[Dataset]]:
     """All four datasets over three days, from CSV deliveries to stored tables."""
-    folder = work_folder(spark, "daily_run")
+    folder = work_folder(spark, purpose)
     roots = Roots(f"{folder}/deliveries", f"{folder}/checked", f"{folder}/tables")
     specs = {
         PLANS: [plans(spark, sf_dir)] * len(BATCHES),
@@ -377,6 +399,13 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed = [r.message for r in reports if not r.ok]
         if failed:
             raise RuntimeError("; ".join(failed))
+    return roots, list(specs)
+
+
+@query(_DAILY_SQL)
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of which status every batch of the daily run stores."""
+    roots, specs = _ran_daily(spark, sf_dir, "daily_run")
     sizes = []
     for spec in specs:
         stored = BatchTable(spark, roots.tables, spec).read(list(BATCHES))
@@ -387,3 +416,55 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"))
         )
     return reduce(DataFrame.unionByName, sizes)
+
+
+# A row of any of the four tables in the same columns.
+_ROW = ("dataset", "batch_dt", "status", "id", "part", "version", "eff_start_date", "eff_end_date", "amount")
+
+
+def _rows_sql(name: str, rows: str, row_id: str, part: str, version: str, amount: str, status: str = "'loaded'", interval: bool = False) -> str:
+    start, end = ("eff_start_date", "stored_end") if interval else ("CAST(NULL AS DATE)", "CAST(NULL AS DATE)")
+    return f"""SELECT '{name}' AS dataset, batch_dt, {status} AS status, CAST({row_id} AS VARCHAR) AS id, CAST({part} AS VARCHAR) AS part,
+  CAST({version} AS BIGINT) AS version, {start} AS eff_start_date, {end} AS eff_end_date, CAST({amount} AS DECIMAL(18,2)) AS amount FROM ({rows}) r"""
+
+
+def _stored_versions_sql(source: str, spec: Dataset, batch: str) -> str:
+    """As :func:`_versions_sql` with all columns; a version that ends later is stored without an end."""
+    return f"""SELECT d.batch_dt, h.* EXCLUDE (status), CASE WHEN h.eff_end_date = d.batch_dt THEN 'closed' ELSE 'current' END AS status,
+  CASE WHEN h.eff_end_date = d.batch_dt THEN h.eff_end_date END AS stored_end
+FROM (VALUES {_DATES}) d(batch_dt) JOIN ({history_sql(source, spec, batch)}) h
+  ON h.eff_start_date <= d.batch_dt AND (h.eff_end_date IS NULL OR h.eff_end_date >= d.batch_dt)"""
+
+
+@query(
+    "\nUNION ALL\n".join(
+        [
+            _rows_sql("price_plans", f"SELECT d.batch_dt, p.* FROM (VALUES {_DATES}) d(batch_dt), ({PLANS_SQL}) p", "price_plan_id", "price_plan_type", "plan_size", "price"),
+            _rows_sql("transactions", f"SELECT v.*, {TX_BATCH} AS batch_dt FROM ({TX_SQL}) v", "transaction_id", "price_plan_id", "subs_id", "amount"),
+            _rows_sql("subscriptions", _stored_versions_sql(SUBS_SQL, SUBS, SUBS_BATCH), "user_id", "subs_id", "version_id", "NULL", "r.status", True),
+            _rows_sql("users", _stored_versions_sql(USERS_SQL, USERS, USERS_BATCH), "user_id", "event_type", "version_id", "NULL", "r.status", True),
+        ]
+    )
+)
+def daily_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that the daily run of three days stores, by table and batch."""
+    roots, _ = _ran_daily(spark, sf_dir, "daily_run_rows")
+    shapes = {
+        PLANS: ("price_plan_id", "price_plan_type", "plan_size", "price"),
+        SUBS: ("user_id", "subs_id", "version_id", None),
+        TX: ("transaction_id", "price_plan_id", "subs_id", "amount"),
+        USERS: ("user_id", "event_type", "version_id", None),
+    }
+    parts = []
+    for spec, (row_id, part, version, amount) in shapes.items():
+        rows = BatchTable(spark, roots.tables, spec).read(list(BATCHES))
+        dates = [F.col(c) if spec.versioned else F.lit(None).cast("date").alias(c) for c in ("eff_start_date", "eff_end_date")]
+        money = F.lit(None) if amount is None else F.col(amount)
+        parts.append(
+            rows.select(
+                F.lit(spec.name).alias("dataset"), BATCH, F.col(STATUS) if spec.versioned else F.lit("loaded").alias(STATUS),
+                F.col(row_id).cast("string").alias("id"), F.col(part).cast("string").alias("part"),
+                F.col(version).cast("long").alias("version"), *dates, money.cast("decimal(18,2)").alias("amount"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts).select(*_ROW)

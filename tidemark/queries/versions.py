@@ -177,10 +177,10 @@ def scd2_rebuild_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Deliveries in an order that has nothing to do with the versions: thirty batches by a rule on the version.
-_LATE = "DATE '2024-01-01' + CAST(version_id * 7919 % 30 AS INTEGER)"
+LATE_SQL = "DATE '2024-01-01' + CAST(version_id * 7919 % 30 AS INTEGER)"
 
 
-def _any_order(versions: DataFrame) -> DataFrame:
+def any_order(versions: DataFrame) -> DataFrame:
     days = (F.col("version_id") * 7919 % 30).cast("int")
     return versions.withColumn("delivered", F.date_add(F.lit(date(2024, 1, 1)), days))
 
@@ -206,16 +206,16 @@ SELECT * EXCLUDE (b, nb, lived), b AS eff_start_date, CASE WHEN lived THEN nb EL
   CASE WHEN lived AND nb IS NULL THEN 'current' ELSE 'closed' END AS status FROM judged"""
 
 
-@query(any_order_sql(USERS_SQL, USERS, _LATE))
-def scd2_rebuild_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(any_order_sql(USERS_SQL, USERS, LATE_SQL))
+def scd2_rebuildany_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions that arrive long after newer ones, and after their key was closed."""
-    return op.rebuild(_any_order(users(spark, sf_dir)), USERS, "delivered")
+    return op.rebuild(any_order(users(spark, sf_dir)), USERS, "delivered")
 
 
-@query(any_order_sql(SUBS_SQL, SUBS, _LATE))
+@query(any_order_sql(SUBS_SQL, SUBS, LATE_SQL))
 def scd2_rebuild_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where keys with more than two rows are ranked in parts."""
-    return op.rebuild(_any_order(subs(spark, sf_dir)), SUBS, "delivered", rows_per_task=2)
+    return op.rebuild(any_order(subs(spark, sf_dir)), SUBS, "delivered", rows_per_task=2)
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
