@@ -320,3 +320,18 @@ def test_command_line(spark, tmp_path, capsys):
 def test_step_reads_only_what_it_keeps(spark):
     stepped = step(stored_subs(spark, ("01-20", None)), subs(spark, ("01-21", None)), SUBSCRIPTIONS, DAYS[1])
     assert stepped.columns == [*SUBSCRIPTIONS.schema.names, "eff_start_date", "eff_end_date", STATUS]
+
+
+def test_daily_run_lands_deliveries(spark, tmp_path):
+    """What was landed stays when the delivery is gone, and a run without deliveries reads it again."""
+    header = ",".join(USERS.schema.names)
+    delivery = tmp_path / "in" / "users_20250120.csv"
+    delivery.parent.mkdir()
+    delivery.write_text(f"{header}\n1,a,,,,,2025-01-20 00:00:00,true\n2,b\n")
+    folders = [f"{tmp_path / n}" for n in ("checked", "tables", "landing")]
+    assert main(["20250120", f"--deliveries={delivery.parent}", "--dataset=users", *(f"--{n}={tmp_path / n}" for n in ("checked", "tables", "landing"))]) == 0
+    delivery.unlink()
+    (report,) = run_batch(spark, DAYS[0], Roots("", *folders), [USERS])
+    assert (report.ok, report.accepted, report.refused) == (True, 1, 1), report
+    (report,) = run_batch(spark, DAYS[0], Roots(str(delivery.parent), *folders), [USERS])
+    assert not report.ok

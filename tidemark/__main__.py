@@ -20,7 +20,7 @@ def main(arguments: list[str] | None = None) -> int:
     come_from.add_argument("--deliveries", help="folder with <dataset>_<yyyymmdd>.csv")
     come_from.add_argument("--source", help="folder with a folder per dataset; new files are landed first")
     parser.add_argument("--flat", action="store_true", help="with --source: files of all datasets lie side by side")
-    parser.add_argument("--landing", help="with --source: folder for landed lines")
+    parser.add_argument("--landing", help="folder in which deliveries are kept as raw lines; --source needs it")
     parser.add_argument("--checkpoint", help="with --source: folder that remembers the landed files")
     parser.add_argument("--checked", required=True, help="folder for checked deliveries")
     parser.add_argument("--tables", required=True, help="folder of the stored tables")
@@ -54,7 +54,7 @@ def main(arguments: list[str] | None = None) -> int:
         arrive = run_flat_arrivals if given.flat else run_arrivals
         reports = arrive(spark, given.source, given.checkpoint, roots, datasets, batch_date, **options)
     else:
-        roots = Roots(given.deliveries, given.checked, given.tables)
+        roots = Roots(given.deliveries, given.checked, given.tables, given.landing)
         reports = run_batch(spark, batch_date, roots, datasets, **options, repair=given.repair)
     for report in reports:
         print(report)

@@ -18,7 +18,7 @@ from tidemark.operators.hot_keys import BROADCAST_BYTES, ROWS_PER_TASK
 from tidemark.plans.repair import rerun
 from tidemark.session import OPEN_FILES, prepare, work_folder
 from tidemark.sinks import register_table, write_all_keyed, write_batch, write_keyed, write_partitioned
-from tidemark.sources import BatchTable, KeyedTable, check_header, read_checked, read_landed, stored_table
+from tidemark.sources import BatchTable, KeyedTable, check_header, land, read_checked, read_landed, stored_table
 from tidemark.sources.csv import RAW, REASON
 from tidemark.sources.landing import landed_folder
 from tidemark.specs import BATCH, CLOSED, CURRENT, DATASETS, FACT, FULL, STATUS, Dataset
@@ -31,7 +31,8 @@ _RULE = "_rule"
 class Roots:
     """Where deliveries arrive, where checked rows are kept, and where tables live.
 
-    With ``landing`` the run reads landed lines instead of delivered files.
+    With ``landing`` deliveries are kept there as raw lines and read from those; without ``deliveries`` too, the
+    run reads what has been landed before.
     """
 
     deliveries: str
@@ -95,6 +96,8 @@ def check_delivery(
     if bad_rows not in ("refuse", "null"):
         raise ValueError(f"bad_rows must be refuse or null, got {bad_rows!r}")
     if roots.landing is not None:
+        if roots.deliveries:
+            land(spark, delivery_path(roots.deliveries, spec.name, batch_date), roots.landed(spec), batch_date)
         rows = read_landed(spark, roots.landed(spec), spec, batch_date)
     else:
         path = delivery_path(roots.deliveries, spec.name, batch_date)

@@ -418,6 +418,19 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sizes)
 
 
+@query(history_sql(USERS_SQL, USERS, USERS_BATCH))
+def daily_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of one dataset, each delivery landed as raw lines first and loaded from those."""
+    folder = work_folder(spark, "daily_landing")
+    roots = Roots(f"{folder}/deliveries", f"{folder}/checked", f"{folder}/tables", f"{folder}/landing")
+    for batch_date, rows in zip(BATCHES, deliveries(users(spark, sf_dir), "updated_ts", EVENT_CUTS)):
+        _deliver(rows, delivery_path(roots.deliveries, USERS.name, batch_date), USERS)
+        (report,) = run_batch(spark, batch_date, roots, [USERS])
+        if not report.ok:
+            raise RuntimeError(report.message)
+    return BatchTable(spark, roots.tables, USERS).history()
+
+
 # A row of any of the four tables in the same columns.
 _ROW = ("dataset", "batch_dt", "status", "id", "part", "version", "eff_start_date", "eff_end_date", "amount")
 
