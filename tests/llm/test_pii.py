@@ -158,3 +158,40 @@ def test_written_addresses_are_found(model):
     texts = ["the server 192 dot 168 dot 10 dot 25 is up again", "use 10 . 20 . 30 . 41 for it"]
     found = pii.find(texts, model)
     assert [[s[0] for s in spans] for _, spans in found] == [["ip"]] * 2
+
+
+def all_windows(text, model):
+    """Spans of the labelling by every window of a text."""
+    starts = list(range(0, max(0, len(text) - pii.WINDOW) + pii.STRIDE, pii.STRIDE))
+    x = np.array([pii.char_ids(text[s : s + pii.WINDOW].ljust(pii.WINDOW, "\0")) for s in starts])
+    x[[[s + k >= len(text) for k in range(pii.WINDOW)] for s in starts]] = 0
+    spans = pii.base_spans(text)
+    labels, paths = {}, pii.decode(model, x)
+    for at in range(len(text)):
+        held = [(min(at - s, s + pii.WINDOW - 1 - at), -k) for k, s in enumerate(starts) if s <= at < s + pii.WINDOW]
+        k = -max(held)[1]
+        if label := paths[k, at - starts[k]]:
+            labels[at] = label
+    for span in pii._model_spans(text, labels):
+        if all(span[2] <= s[1] or span[1] >= s[2] for s in spans):
+            spans.append(span)
+    return sorted(spans, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+
+
+def test_spans_are_those_of_all_windows(model):
+    rng = random.Random(6)
+    word = lambda: rng.choice(["b" * rng.randint(1, 90), "12", "at", "dot", ".", "é", "\n", "+1", "x@y.zz", rng.choice(ODD_FORMS)[1], pii._written(rng.choice(pii.KINDS), rng)])
+    texts = [" ".join(word() for _ in range(rng.randint(1, 40))) for _ in range(120)]
+    eager = pii.Model.new(3)  # labels far more than a trained one
+    eager.p["oc"][0] = -1.0
+    for m in (model, eager):
+        wanted = [all_windows(t, m) for t in texts]
+        assert [spans for _, spans in pii.find(texts, m)] == wanted
+        assert sum(len(w) for w in wanted) > sum(len(pii.base_spans(t)) for t in texts)
+
+
+def test_a_span_is_followed_however_long_it_is(monkeypatch):
+    # every character is labelled; the place is only at the end of a span of 900 characters
+    monkeypatch.setattr(pii, "decode", lambda model, x: np.where(np.asarray(x) > 0, 2, 0))
+    written = "b" * 900 + " at corp dot com"
+    assert pii.find([written, None, ""], pii.Model.new()) == [([], [("email", 0, len(written))]), ([], []), ([], [])]

@@ -5,11 +5,15 @@ separated forms as well. It is trained in numpy, on the driver, from labelled sp
 spans in a bounded sample of texts (``SAMPLE_TEXTS`` texts of at most ``SAMPLE_CHARS`` characters, those
 with the smallest hash), and written-out forms made from them by rule, set into those texts.
 
-A text is decoded where it holds anything that a span must hold: an at sign (or its written form), at
-least seven digits close together, four short numbers with plain or written dots between them, or the
-beginning of an international number. Such places are covered by overlapping windows; each character takes
-its label from the window in which it lies most central, so the windows give one labelling of the text.
-Spans of it that a kind's rule accepts, and that overlap no other span, are added to the patterns'.
+Overlapping windows, ``STRIDE`` characters apart from its beginning to its end, give one labelling of a whole
+text: each character takes its label from the window in which it lies most central. Spans of that labelling
+that a kind's rule accepts, and that overlap no other span, are added to the patterns'.
+
+The spans are those of all windows, though windows that cannot matter are not computed. What a rule accepts
+holds an at sign (or its written form), at least seven digits close together, four short numbers with plain or
+written dots between them, or the beginning of an international number. The whole text is searched for these;
+characters there are labelled, and from each labelled character on in both directions until one has no label,
+however far that is. Any other run of labels holds nothing that a rule accepts.
 
 Defined results: null and empty texts have no spans. Repeated rows are each searched. Other columns are
 ignored, except by ``redacted``, which keeps them.
@@ -365,34 +369,65 @@ def train(texts: list[str], steps: int = STEPS, batch: int = BATCH, rate: float
 # Decoding texts.
 
 
+_EDGE = (WINDOW - STRIDE) // 2  # where the next of two windows becomes the one in which a character lies deeper
+
+
+def _last_window(length: int) -> int:
+    return -(-max(0, length - WINDOW) // STRIDE) * STRIDE
+
+
+def owned(length: int, start: int) -> tuple[int, int]:
+    """First character and end, from a window's start, of those that take their labels from it."""
+    return 0 if start == 0 else _EDGE, length - start if start == _last_window(length) else _EDGE + STRIDE
+
+
 def windows_of(text: str) -> list[int]:
-    """Starts of the windows to decode: a chain of overlapping ones over every place and its margin."""
-    starts: list[int] = []
-    done = -1
+    """Starts of the windows that give the labels of every place and its margin."""
+    starts, last_window = set(), _last_window(len(text))
     # each pattern by itself: a match of one may begin inside a match of another
-    for first, last in sorted(m.span() for p in PLACES for m in p.finditer(text)):
-        start, end = max(0, first - MARGIN), min(len(text), last + MARGIN)
-        if end <= done:
-            continue
-        at = starts[-1] + STRIDE if start <= done else start
-        while True:
-            starts.append(at)
-            done = at + WINDOW
-            if done >= end:
-                break
-            at += STRIDE
-    return starts
+    for first, last in (m.span() for p in PLACES for m in p.finditer(text)):
+        ends = (max(0, first - MARGIN), min(len(text), last + MARGIN) - 1)
+        low, high = (min(max(0, (at - _EDGE) // STRIDE * STRIDE), last_window) for at in ends)
+        starts.update(range(low, high + 1, STRIDE))
+    return sorted(starts)
+
+
+def windows_beyond(length: int, decoded: dict[int, np.ndarray], new: list[int], reach: int) -> list[int]:
+    """The next ``reach`` windows on each side where labels of ``new`` ones run up to what is not decoded."""
+    wanted, last_window = set(), _last_window(length)
+    for start in new:
+        first, end = owned(length, start)
+        for at, step in ((first, -STRIDE), (end - 1, STRIDE)):
+            if decoded[start][at] and start + step not in decoded:
+                wanted.update(k for k in range(start + step, start + (reach + 1) * step, step) if 0 <= k <= last_window)
+    return sorted(wanted - decoded.keys())
 
 
 def reconciled(length: int, starts: list[int], labels: np.ndarray) -> dict[int, int]:
-    """One label per decoded character: from the window in which it is farthest from an edge."""
-    best: dict[int, tuple[int, int]] = {}
-    depth = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]).tolist()
+    """Labels of labelled characters, from the windows in which they are farthest from an edge."""
+    found = {}
     for start, path in zip(starts, labels.tolist(), strict=True):
-        for k in range(min(WINDOW, length - start)):
-            if start + k not in best or depth[k] > best[start + k][0]:
-                best[start + k] = (depth[k], path[k])
-    return {at: label for at, (_, label) in sorted(best.items()) if label}
+        first, end = owned(length, start)
+        found.update((start + k, path[k]) for k in range(first, end) if path[k])
+    return found
+
+
+def labels_of(texts: list[str], model: Model) -> list[dict[int, int]]:
+    """Labels of every text's places, and of all runs of labels that begin, end or lie there, whole."""
+    decoded: list[dict[int, np.ndarray]] = [{} for _ in texts]
+    wanted, reach = [windows_of(t) for t in texts], 1
+    while any(wanted):
+        rows = [(n, start) for n, starts in enumerate(wanted) for start in starts]
+        x = np.zeros((len(rows), WINDOW), np.int64)
+        for row, (n, start) in enumerate(rows):
+            ids = char_ids(texts[n][start : start + WINDOW])
+            x[row, : len(ids)] = ids
+        for k in range(0, len(x), DECODE_BATCH):
+            for (n, start), path in zip(rows[k : k + DECODE_BATCH], decode(model, x[k : k + DECODE_BATCH])):
+                decoded[n][start] = path
+        wanted = [windows_beyond(len(t), d, new, reach) for t, d, new in zip(texts, decoded, wanted, strict=True)]
+        reach *= 2
+    return [reconciled(len(t), sorted(d), np.array([d[k] for k in sorted(d)])) for t, d in zip(texts, decoded, strict=True)]
 
 
 _EMAIL_FORM = re.compile(r"[\w.%+-]+\s*(?:@|[\[({<]\s*at\s*[\])}>]|\sat\s)\s*[\w-]+(?:(?:\s*\.\s*|\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s(?:dot|punkt|punto)\s)[\w-]+)+", re.I)
@@ -435,25 +470,13 @@ def _model_spans(text: str, labels: dict[int, int]) -> list[Span]:
 def find(texts: list[str | None], model: Model) -> list[tuple[list[Span], list[Span]]]:
     """Per text the patterns' spans, and all spans with the model's; both by kind, then start."""
     texts = [t or "" for t in texts]
-    starts = [windows_of(t) for t in texts]
-    x = np.zeros((sum(map(len, starts)), WINDOW), np.int64)
-    row = 0
-    for text, some in zip(texts, starts, strict=True):
-        for at in some:
-            ids = char_ids(text[at : at + WINDOW])
-            x[row, : len(ids)] = ids
-            row += 1
-    paths = [decode(model, x[k : k + DECODE_BATCH]) for k in range(0, len(x), DECODE_BATCH)]
-    paths = np.concatenate(paths) if paths else np.zeros((0, WINDOW), np.int64)
-    out, row = [], 0
-    for text, some in zip(texts, starts, strict=True):
+    out = []
+    for text, labels in zip(texts, labels_of(texts, model), strict=True):
         base = base_spans(text)
         spans = list(base)
-        if some:
-            for span in _model_spans(text, reconciled(len(text), some, paths[row : row + len(some)])):
-                if all(span[2] <= s[1] or span[1] >= s[2] for s in spans):
-                    spans.append(span)
-        row += len(some)
+        for span in _model_spans(text, labels):
+            if all(span[2] <= s[1] or span[1] >= s[2] for s in spans):
+                spans.append(span)
         out.append((base, sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))))
     return out
 
