@@ -121,3 +121,18 @@ def test_window_hashes_are_the_items(spark):
     mine = row.withColumn("h", hashed).select(F.explode(windows(F.col("h"))).alias("w")).select("w.at", F.explode("w.hashes").alias("hash"))
     theirs = dc.item_windows(items(spark, [(1, text)])).select("item_at", "hash")
     assert {tuple(r) for r in theirs.collect()} <= {tuple(r) for r in mine.collect()}
+
+
+def test_windows_are_hashed_by_compiled_code(spark, monkeypatch):
+    """Words are looked at row by row, not by functions over arrays; the pair test loses no window."""
+    docs = documents(spark, [(1, "So: " + ITEM), (2, CLIPS), (3, None), (4, "Anna and Bert sold 48 clips to Carl in May, to Bert")])
+    worded = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), dc.raw_words(F.col("text")).alias("raw"))
+    windows = dc.stored(dc.item_windows(items(spark, [(10, ITEM), (11, CLIPS)])), "items")
+    hits = dc.window_hits(worded, windows)
+    assert "transform(" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    near, all_windows = dc.document_windows(F.col("raw"))
+    every = worded.select("doc_id", "text_hash", F.explode(all_windows(near)).alias("w")).select("doc_id", "text_hash", "w.at", F.explode("w.hashes").alias("hash"))
+    wanted = sorted(every.join(windows.select("hash").distinct(), "hash", "left_semi").select("doc_id", "at", "hash").collect())
+    assert len(wanted) > 40 and sorted(hits.select("doc_id", "at", "hash").collect()) == wanted
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", 0)
+    assert sorted(dc.window_hits(worded, windows).select("doc_id", "at", "hash").collect()) == wanted

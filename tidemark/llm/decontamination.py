@@ -71,28 +71,19 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, _SENTENCE, "$1~$2"), F.lit(_WORD), F.lit(0))
 
 
-def _canonical(words: Column, wide: bool) -> Callable[[Column, Column], Column]:
-    """What stands in a template for the word at a place."""
-
-    def canonical(word: Column, at: Column) -> Column:
-        low, first, before = F.lower(word), F.substring(word, 1, 1), F.get(words, at - 1)
-        is_number = before.substr(1, 1).between("0", "9")
-        if wide:
-            is_number = is_number | F.ltrim(F.lower(before), F.lit("~")).isin(NUMBERS)
-            plain = F.ltrim(low, F.lit("~"))
-            return (
-                F.when(first.between("0", "9") | plain.isin(NUMBERS), F.lit("#num"))
-                .when(F.coalesce(is_number, F.lit(False)) & low.isin(UNITS), F.lit("#unit"))
-                .when((first == "~") | (first != F.substring(low, 1, 1)), F.lit("#name"))
-                .otherwise(low)
-            )
-        follows_number = F.coalesce(is_number, F.lit(False))
+def _canonical(wide: Column) -> Callable[[Column, Column], Column]:
+    """What stands in a template for a word that follows another one; one rule for both, so that it is compiled once."""
+
+    def canonical(word: Column, before: Column) -> Column:
+        low, first = F.lower(word), F.substring(word, 1, 1)
+        plain, plain_before = F.ltrim(low, F.lit("~")), F.ltrim(F.lower(before), F.lit("~"))
+        is_number = first.between("0", "9") | (wide & plain.isin(NUMBERS))
+        follows_number = F.coalesce(before.substr(1, 1).between("0", "9") | (wide & plain_before.isin(NUMBERS)), F.lit(False))
         return (
-            F.when(first == "~", F.substring(low, 2, 1 << 30))
-            .when(first.between("0", "9"), F.lit("#num"))
+            F.when(is_number, F.lit("#num"))
             .when(follows_number & low.isin(UNITS), F.lit("#unit"))
-            .when(first != F.substring(low, 1, 1), F.lit("#name"))
-            .otherwise(low)
+            .when((wide & (first == "~")) | (first != F.substring(low, 1, 1)), F.lit("#name"))
+            .otherwise(plain)
         )
 
     return canonical
@@ -103,7 +94,8 @@ def template(words: Column, wide: bool = False) -> Column:
 
     ``wide`` takes words that begin a sentence for names, and number words for numbers.
     """
-    return F.transform(words, _canonical(words, wide))
+    canonical = _canonical(F.lit(wide))
+    return F.transform(words, lambda word, at: canonical(word, F.get(words, at - 1)))
 
 
 def window_hash(hashes: Callable[[int], Column]) -> Column:
@@ -111,18 +103,57 @@ def window_hash(hashes: Callable[[int], Column]) -> Column:
     return F.xxhash64(*(hashes(k) for k in range(WORDS)))
 
 
+def window_words(raw: Column) -> Column:
+    """For each word the one before it (``before``) and itself with those after it (``w0`` and on), NULL beyond the end.
+
+    Read row by row: functions over the elements of an array are not compiled, those over columns are.
+    """
+    before = F.concat(F.array(F.lit(None).cast("string")), raw)
+    after = (raw if k == 0 else F.slice(raw, k + 1, 1 << 30) for k in range(WORDS))
+    return F.arrays_zip(before.alias("before"), *(w.alias(f"w{k}") for k, w in enumerate(after)))
+
+
+def word_hashes(words: Column, wide: Column) -> Callable[[int], Column]:
+    """The hash of what stands in the template for a word of a window, by its place there."""
+    canonical = _canonical(wide)
+    return lambda k: F.xxhash64(canonical(words[f"w{k}"], words[f"w{k - 1}" if k else "before"]))
+
+
+def pair_hash(hashes: Callable[[int], Column]) -> Column:
+    """One number for a window's first two words."""
+    return F.xxhash64(hashes(0), hashes(1))
+
+
 def document_windows(raw: Column) -> tuple[Column, Callable[[Column], Column]]:
-    """A number for each word in both templates, and from these, at and the distinct hashes of every window."""
-    narrow, wide = _canonical(raw, False), _canonical(raw, True)
-    words = F.transform(raw, lambda w, i: F.struct(F.xxhash64(narrow(w, i)).alias("narrow"), F.xxhash64(wide(w, i)).alias("wide")))
-
-    def windows(hashed: Column) -> Column:
-        of = lambda at, kind: window_hash(lambda k: F.get(hashed, at + k)[kind])
-        return F.transform(
-            _starts(hashed), lambda at: F.struct(at.alias("at"), F.array_distinct(F.array(of(at, "narrow"), of(at, "wide"))).alias("hashes"))
-        )
+    """The words of each window, and from these, at and the distinct hashes of both templates of every window."""
+
+    def windows(words: Column) -> Column:
+        of = lambda w: F.array_distinct(F.array(*(window_hash(word_hashes(w, F.lit(wide))) for wide in (False, True))))
+        placed = F.transform(words, lambda w, at: F.struct(at.alias("at"), w[f"w{WORDS - 1}"].isNotNull().alias("whole"), of(w).alias("hashes")))
+        return F.filter(placed, lambda w: w["whole"])
+
+    return window_words(raw), windows
 
-    return words, windows
+
+def window_hits(worded: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, text_hash, at and hash of the windows of documents that an item has, in either template.
+
+    By their first two words most windows of documents are no item's; only the others are hashed whole.
+    """
+    placed = worded.select("doc_id", "text_hash", F.posexplode(window_words(F.col("raw"))).alias("at", "words"))
+    placed = placed.where(F.col(f"words.w{WORDS - 1}").isNotNull())
+    templates = F.array(F.lit(False), F.lit(True))
+    pairs = items.select(pair_hash(lambda k: F.xxhash64(F.get("canon", F.lit(k)))).alias("pair")).distinct()
+    if pairs.count() <= BROADCAST_ROWS:
+        for name, wide in (("narrow", False), ("wide", True)):
+            paired = placed.withColumn("pair", pair_hash(word_hashes(F.col("words"), F.lit(wide))))
+            met = F.broadcast(pairs.withColumn(name, F.lit(wide)))
+            placed = paired.join(met, "pair", "left").drop("pair")
+        placed = placed.where(F.col("narrow").isNotNull() | F.col("wide").isNotNull())
+        templates = F.filter(F.array("narrow", "wide"), lambda met: met.isNotNull())
+    placed = placed.select("doc_id", "text_hash", "at", "words", F.explode(templates).alias("template"))
+    hashed = placed.select("doc_id", "text_hash", "at", window_hash(word_hashes(F.col("words"), F.col("template"))).alias("hash"))
+    return hashed.join(_few(items.select("hash").distinct()), "hash", "left_semi").distinct()
 
 
 def _starts(words: Column) -> Column:
@@ -192,10 +223,7 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stored(item_windows(benchmark), "item-windows")
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     worded = texts.withColumn("raw", raw_words(F.col("text")))
-    hashes, windows = document_windows(F.col("raw"))
-    placed = worded.withColumn("hashed", hashes).select("doc_id", "text_hash", F.explode(windows(F.col("hashed"))).alias("window"))
-    hashed = placed.select("doc_id", "text_hash", "window.at", F.explode("window.hashes").alias("hash"))
-    hits = stored(hashed.join(_few(items.select("hash").distinct()), "hash", "left_semi"), "window-hits")
+    hits = stored(window_hits(worded, items), "window-hits")
     matched = hits.join(_few(items.select("hash", "item_id", "item", "item_at", "n_windows")), "hash")
     per_item = matched.groupBy("doc_id", "text_hash", "item_id", "item").agg(
         F.countDistinct("item_at").alias("n"), F.max("n_windows").alias("n_windows")
