@@ -147,3 +147,15 @@ def test_command_line_of_a_flat_folder(spark, tmp_path):
     folders = [f"--{n}={tmp_path / n}" for n in ("landing", "checkpoint", "checked", "tables")]
     assert main(["20250120", f"--source={tmp_path / 'in'}", "--flat", *folders, "--dataset=users"]) == 0
     assert BatchTable(spark, str(tmp_path / "tables"), USERS).current().count() == 1
+
+
+def test_only_lines_that_begin_as_the_header_are_compared_with_it(spark):
+    from tidemark.sources.landing import _is_header
+
+    header = ",".join(USERS.schema.names)
+    quoted = "\t" + ",".join(f'"{name}"' for name in USERS.schema.names) + " \r"
+    lines = [None, "", header, quoted, f" {header}", f"x{header}", header[:-1], header[0], "1," + header, '"']
+    rows = spark.createDataFrame([(line,) for line in lines], "line string").select(_is_header(USERS).alias("is_header"))
+    assert [r["is_header"] for r in rows.collect()] == [None, False, True, True, True, False, False, False, False, False]
+    plan = rows._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.index("startswith(") < plan.index("translate(")  # the dear comparison stands behind the cheap one

@@ -66,7 +66,9 @@ def read_lines(spark: SparkSession, landing: str, batch_date: date | None = None
 def _is_header(spec: Dataset) -> Column:
     sep = separator(spec)
     ignored = "".join(c for c in '" \t\r' if c != sep)
-    return F.translate("line", ignored, "") == F.lit(sep.join(spec.schema.names))
+    header = sep.join(spec.schema.names)
+    # translating goes character by character, so only lines that begin as the header does are translated
+    return F.ltrim("line", F.lit(ignored)).startswith(header[0]) & (F.translate("line", ignored, "") == F.lit(header))
 
 
 def files_without_header(lines: DataFrame, spec: Dataset) -> DataFrame:
