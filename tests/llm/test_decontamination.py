@@ -136,3 +136,14 @@ def test_windows_are_hashed_by_compiled_code(spark, monkeypatch):
     assert len(wanted) > 40 and sorted(hits.select("doc_id", "at", "hash").collect()) == wanted
     monkeypatch.setattr(dc, "BROADCAST_ROWS", 0)
     assert sorted(dc.window_hits(worded, windows).select("doc_id", "at", "hash").collect()) == wanted
+
+
+LONG_NAME, LONG_NUMBER = " ".join(["Enung"] * 20_000), ",".join(["12"] * 20_000)
+
+
+def test_long_runs_are_one_word(spark):
+    """However many capitalised words or groups of digits follow each other, they take no stack."""
+    docs = documents(spark, [(1, LONG_NAME + ". " + ITEM), (2, "It is " + LONG_NUMBER + " and no more of it"), (3, LONG_NAME), (4, ITEM + " " + LONG_NUMBER)])
+    words = {r["doc_id"]: r["raw"] for r in docs.select("doc_id", dc.raw_words(F.col("text")).alias("raw")).collect()}
+    assert [len(words[k]) for k in (2, 3)] == [8, 2] and LONG_NUMBER in words[2] and LONG_NAME[6:] in words[3]
+    assert sorted(r["doc_id"] for r in dc.clean_documents(docs, items(spark, [(10, ITEM)])).collect()) == [2, 3]

@@ -64,11 +64,13 @@ NUMBERS = (
 
 _SENTENCE = r"(^|[.!?\n]\s*)(\p{Lu})"
 _WORD = r"\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)+|~?\p{L}+|[0-9]+(?:[.,][0-9]+)*"
+# The same for Java: a repeated group that may give words back calls itself for each, and long runs overflow the stack.
+_JAVA_WORD = r"\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)++|~?\p{L}+|[0-9]+(?:[.,][0-9]+)*+"
 
 
 def raw_words(text: Column) -> Column:
     """Words, numbers and runs of capitalised words; ``~`` marks a word that begins a sentence."""
-    return F.regexp_extract_all(F.regexp_replace(text, _SENTENCE, "$1~$2"), F.lit(_WORD), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(text, _SENTENCE, "$1~$2"), F.lit(_JAVA_WORD), F.lit(0))
 
 
 def _canonical(wide: Column) -> Callable[[Column, Column], Column]:
