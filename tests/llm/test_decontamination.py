@@ -147,3 +147,19 @@ def test_long_runs_are_one_word(spark):
     words = {r["doc_id"]: r["raw"] for r in docs.select("doc_id", dc.raw_words(F.col("text")).alias("raw")).collect()}
     assert [len(words[k]) for k in (2, 3)] == [8, 2] and LONG_NUMBER in words[2] and LONG_NAME[6:] in words[3]
     assert sorted(r["doc_id"] for r in dc.clean_documents(docs, items(spark, [(10, ITEM)])).collect()) == [2, 3]
+
+
+def test_the_query_equals_its_sql_on_long_runs(spark, tmp_path):
+    """Items of both kinds beside runs of capitalised words and of digits that are far longer than a stack."""
+    other = CLIPS.replace("Anna", "Dora").replace("Bert", "Adam").replace("Carl", "Fritz").replace("48", "7").replace("24", "100")
+    bench = [(10, CLIPS), (20, "Name three colours")]
+    docs = [(1, LONG_NAME + ". " + CLIPS), (2, other + ". " + LONG_NUMBER), (3, "So name three colours. " + LONG_NAME), (4, LONG_NAME), (5, LONG_NUMBER)]
+    documents(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    items(spark, bench).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = LLM_QUERIES["op9_decontamination"](spark, str(tmp_path))
+    sql = connect("/nowhere")
+    for name in ("documents", "benchmark"):
+        sql.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == sorted(sql.sql(f"SELECT {', '.join(found.columns)} FROM ({LLM_SQL['op9_decontamination']}) q").fetchall())
+    assert [r[:2] for r in got] == [(1, 10), (2, 10), (3, 20)]
